@@ -1,0 +1 @@
+"""Nothing here on purpose: the engine being matched is batch only."""

@@ -522,9 +522,9 @@ def _(d: Data) -> DataFrame:
     return spans.uncovered_patients(d("dis"), d("enr"), "drugcov", "rxdate")
 
 
-@query("x11_uncovered_encounters", _uncovered_sql("SELECT patid, adate FROM enc", "adate", "medcov"))
+@query("x11_uncovered_vitals", _uncovered_sql("SELECT patid, measure_date FROM vit", "measure_date", "medcov"))
 def _(d: Data) -> DataFrame:
-    return spans.uncovered_patients(d("enc"), d("enr"), "medcov", "adate")
+    return spans.uncovered_patients(d("vit"), d("enr"), "medcov", "measure_date")
 
 
 def _order_sql(op: str, one_sided: str) -> str:

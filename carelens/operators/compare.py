@@ -73,7 +73,7 @@ def header_differences(a: DataFrame, b: DataFrame) -> DataFrame:
         return ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
 
     def moved(c: str) -> Column:
-        shift = F.abs(F.unix_timestamp(f"a_{c}") - F.unix_timestamp(f"b_{c}"))
+        shift = F.abs(F.unix_timestamp(F.col(f"a_{c}").cast("timestamp")) - F.unix_timestamp(F.col(f"b_{c}").cast("timestamp")))
         return differs(c) & ~F.coalesce(shift == HOUR, F.lit(False))
 
     hits = F.array(
@@ -143,7 +143,7 @@ def label_check(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def snake_case(name: str) -> str:
-    """FlagType becomes flag_type, MPatID becomes mpat_id."""
+    """FlagType becomes flag_type, MPatID becomes m_pat_id."""
     words = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z0-9]+|[0-9]+", name.replace("_", " "))
     return "_".join(w.lower() for w in words)
 

@@ -207,19 +207,32 @@ def value_matrix(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     ).groupBy("value").agg(*[F.sum(t).alias(t) for t in tables])
 
 
-def pattern_count(matrix: DataFrame, present: str, absent: str) -> DataFrame:
-    """Ids in one table but not in the other, from the presence matrix."""
-    hit = (F.col(present) == "1") & (F.col(absent) == "0")
-    return matrix.agg(F.coalesce(F.sum(F.when(hit, F.col("count"))), F.lit(0)).alias("count")).select(
-        F.lit(present).alias("table1"), F.lit(absent).alias("table2"), "count"
+def _pair_counts(matrix: DataFrame, counts: dict[tuple[str, str], Column]) -> DataFrame:
+    """One row per (table1, table2) from one aggregate over the matrix."""
+    named = {pair: f"c{i}" for i, pair in enumerate(counts)}
+    rows = F.array(
+        *[
+            F.struct(F.lit(a).alias("table1"), F.lit(b).alias("table2"), F.col(c).alias("count"))
+            for (a, b), c in named.items()
+        ]
     )
+    return matrix.agg(*[counts[p].alias(c) for p, c in named.items()]).select(F.inline(rows))
+
+
+def pattern_counts(matrix: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Ids that the first table of a pair has and the second has not, from the presence matrix."""
+
+    def ids(a: str, b: str) -> Column:
+        hit = (F.col(a) == "1") & (F.col(b) == "0")
+        return F.coalesce(F.sum(F.when(hit, F.col("count"))), F.lit(0))
+
+    return _pair_counts(matrix, {(a, b): ids(a, b) for a, b in pairs})
 
 
-def value_pattern_count(matrix: DataFrame, present: str, absent: str) -> DataFrame:
-    """Values that rows of one table have and rows of the other have not."""
-    hit = (F.col(present) > 0) & (F.col(absent) == 0)
-    return matrix.agg(F.count_if(hit).alias("count")).select(
-        F.lit(present).alias("table1"), F.lit(absent).alias("table2"), "count"
+def value_pattern_counts(matrix: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Values that rows of the first table have and rows of the second have not."""
+    return _pair_counts(
+        matrix, {(a, b): F.count_if((F.col(a) > 0) & (F.col(b) == 0)) for a, b in pairs}
     )
 
 

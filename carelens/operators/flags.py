@@ -52,6 +52,11 @@ def count_messages(flagged: DataFrame) -> DataFrame:
     )
 
 
+def count_rows(flagged: DataFrame) -> DataFrame:
+    """Rows per flag, whatever their message."""
+    return flagged.groupBy(*COUNT_KEYS).agg(F.count("*").alias("count"))
+
+
 def count_flags(
     rows: DataFrame, lookup: DataFrame, on: list[str], count_column: str | None = None
 ) -> DataFrame:

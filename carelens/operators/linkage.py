@@ -192,24 +192,49 @@ def level_name(mask: Column, classes: list[str]) -> Column:
     return F.when(mask == 0, "Overall").otherwise(F.concat_ws("    ", *names))
 
 
-def cross_tab(df: DataFrame, classes: list[str], max_depth: int = 3) -> DataFrame:
-    """Row counts for every combination of at most `max_depth` class columns.
+def class_parents(n: int, max_depth: int) -> dict[int, list[int]]:
+    """A few larger choices that contain every wanted one, each with the ones it gives.
 
-    Missing is a level of its own; a column that takes no part is null and absent from the mask.
-    The rows shrink to the distinct class combinations first, which bounds what the many masks
-    multiply.
+    Greedy cover of the choices of `max_depth` columns by choices of two more.
     """
+    wanted = class_masks(n, max_depth)
+    bits = [1 << i for i in range(n)]
+    candidates = [sum(c) for c in combinations(bits, min(n, max_depth + 2))]
+    parents: dict[int, list[int]] = {}
+    while wanted:
+        best = max(candidates, key=lambda p: sum(m & p == m for m in wanted))
+        parents[best] = [m for m in wanted if m & best == m]
+        wanted = [m for m in wanted if m & best != m]
+    return parents
+
+
+def _grouped(cells: DataFrame, masks: Column, classes: list[str]) -> DataFrame:
+    """Cells summed under each mask; a column outside the mask becomes null."""
     n = len(classes)
-    cells = df.groupBy(*classes).agg(F.count("*").alias("cell"))
-    masks = F.array(*[F.lit(m) for m in class_masks(n, max_depth)])
-    spread = cells.select("*", F.explode(masks).alias("mask"))
+    spread = cells.select(*classes, "count", F.explode(masks).alias("mask"))
     taken = [
         F.when(F.col("mask").bitwiseAND(F.lit(1 << (n - 1 - i))) != 0, F.col(c)).alias(c)
         for i, c in enumerate(classes)
     ]
-    counted = spread.select("mask", *taken, "cell").groupBy("mask", *classes).agg(
-        F.sum("cell").alias("count")
+    return spread.select("mask", *taken, "count").groupBy("mask", *classes).agg(
+        F.sum("count").alias("count")
     )
+
+
+def cross_tab(df: DataFrame, classes: list[str], max_depth: int = 3) -> DataFrame:
+    """Row counts for every combination of at most `max_depth` class columns.
+
+    Missing is a level of its own; a column that takes no part is null and absent from the mask.
+    Rows shrink to distinct class combinations, these to a few combinations of two columns more
+    than wanted, and only those much smaller cells are multiplied by the many wanted combinations.
+    """
+    parents = class_parents(len(classes), max_depth)
+    cells = df.groupBy(*classes).agg(F.count("*").alias("count"))
+    larger = _grouped(cells, F.array(*[F.lit(p) for p in parents]), classes)
+    children = F.lit(None).cast("array<int>")
+    for parent, masks in parents.items():
+        children = F.when(F.col("mask") == parent, F.array(*[F.lit(m) for m in masks])).otherwise(children)
+    counted = _grouped(larger, children, classes)
     mask = F.col("mask")
     return counted.select(
         F.when(mask < 100, F.lpad(mask.cast("string"), 3, "0")).otherwise(mask.cast("string")).alias("level"),

@@ -184,16 +184,17 @@ def bridge(spans: DataFrame, keys: list[str], gap: int = BRIDGE_DAYS) -> DataFra
     pieces = (
         monthly.withColumn("opens", opens)
         .withColumn("piece", F.sum("opens").over(w))
+        .withColumn("closes", F.coalesce(F.lead("opens").over(w), F.lit(1)) == 1)
         .groupBy(*keys, "month", "piece")
         .agg(
             F.min("enr_start").alias("enr_start"),
             F.max("enr_end").alias("enr_end"),
-            F.max(F.struct("enr_start", "enr_end")).alias("last"),
+            F.max(F.when(F.col("closes"), F.col("enr_end"))).alias("last_end"),
         )
     )
     # 2. pieces of one patient: at most a few per month
     p = Window.partitionBy(*keys).orderBy(*_ordered("month", "piece"))
-    opens = _starts_anew(p, F.lag("last.enr_end").over(p), gap)
+    opens = _starts_anew(p, F.lag("last_end").over(p), gap)
     return (
         pieces.withColumn("opens", opens)
         .withColumn("period", F.sum("opens").over(p))
@@ -246,6 +247,7 @@ def day_coverage(
     keys: list[str],
     date: str,
     weights: dict[str, Column] | None = None,
+    kinds: dict[str, Column] | None = None,
     start: str = "enr_start",
     end: str = "enr_end",
 ) -> DataFrame:
@@ -253,36 +255,40 @@ def day_coverage(
 
     Spans become +1 on their first day and -1 on the day after their last; a running sum over the
     days of a key then says how many are open. No record is ever paired with a span, so a patient
-    with many of both costs no more than their days. Spans without both ends are left out.
+    with many of both costs no more than their days. Spans without both ends are left out. `kinds`
+    names predicates over the spans; each gives a count of its own, in the same pass.
     """
-    weights = weights or {"n": F.lit(1).cast("long")}
-    zero = {w: F.lit(0).cast("long").alias(w) for w in weights}
+    weights = weights or {"n": F.lit(1)}
+    kinds = kinds or {"open_spans": F.lit(True)}
+    zero = F.lit(0).cast("long")
     marks = records.where(F.col(date).isNotNull()).select(
         *keys,
         F.col(date).alias("day"),
         *[c.cast("long").alias(w) for w, c in weights.items()],
         F.lit(1).alias("is_record"),
-        F.lit(0).cast("long").alias("delta"),
-        F.lit(0).cast("long").alias("begun"),
+        *[zero.alias(k) for k in kinds],
+        zero.alias("begun"),
     )
-    valid = F.when(F.col(start) <= F.col(end), 1).otherwise(0).cast("long")
+    valid = F.col(start) <= F.col(end)
+    holds = {k: F.when(valid & p, 1).otherwise(0).cast("long") for k, p in kinds.items()}
     edges = F.array(
-        F.struct(F.col(start).alias("day"), valid.alias("delta"), F.lit(1).cast("long").alias("begun")),
         F.struct(
-            F.date_add(end, 1).alias("day"), (-valid).alias("delta"), F.lit(0).cast("long").alias("begun")
+            F.col(start).alias("day"),
+            *[h.alias(k) for k, h in holds.items()],
+            F.lit(1).cast("long").alias("begun"),
+        ),
+        F.struct(
+            F.date_add(end, 1).alias("day"), *[(-h).alias(k) for k, h in holds.items()], zero.alias("begun")
         ),
     )
     edged = spans.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
         *keys, F.inline(edges)
     )
     both = marks.unionByName(
-        edged.select(*keys, "day", *zero.values(), F.lit(0).alias("is_record"), "delta", "begun")
+        edged.select("*", *[zero.alias(w) for w in weights], F.lit(0).alias("is_record"))
     )
     daily = both.groupBy(*keys, "day").agg(
-        *[F.sum(w).alias(w) for w in weights],
-        F.max("is_record").alias("is_record"),
-        F.sum("delta").alias("delta"),
-        F.sum("begun").alias("begun"),
+        *[F.sum(c).alias(c) for c in [*weights, *kinds, "begun"]], F.max("is_record").alias("is_record")
     )
     w = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     return (
@@ -291,7 +297,7 @@ def day_coverage(
             "day",
             *weights,
             "is_record",
-            F.sum("delta").over(w).alias("open_spans"),
+            *[F.sum(k).over(w).alias(k) for k in kinds],
             F.sum("begun").over(Window.partitionBy(*keys)).alias("all_spans"),
         )
         .where("is_record = 1")

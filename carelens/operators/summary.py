@@ -280,14 +280,18 @@ def geography(dem: DataFrame, zips: DataFrame) -> DataFrame:
 # --- use of care inside enrollment ----------------------------------------------------------
 
 
-def records_in_enrollment(records: DataFrame, periods: DataFrame, date: str, key: str = "patid") -> DataFrame:
-    """Patients by their number of records inside periods.
+def records_in_enrollment(
+    records: DataFrame, periods: DataFrame, date: str, kinds: list[str], key: str = "patid"
+) -> DataFrame:
+    """Patients by coverage type and their number of records inside periods of that type.
 
-    A record inside two overlapping periods counts twice.
+    A record inside two overlapping periods counts twice. All types share one pass.
     """
-    inside = day_coverage(records, periods, [key], date).where("open_spans > 0")
-    per = inside.groupBy(key).agg(F.sum(F.col("n") * F.col("open_spans")).alias("n_records"))
-    return count_by(per, "n_records")
+    open_of = {k: F.col("cov") == k for k in kinds}
+    days = day_coverage(records, periods, [key], date, kinds=open_of)
+    per = days.groupBy(key).agg(*[F.sum(F.col("n") * F.col(k)).alias(k) for k in kinds])
+    pairs = F.array(*[F.struct(F.lit(k).alias("cov"), F.col(k).alias("n_records")) for k in kinds])
+    return count_by(per.select(F.inline(pairs)).where("n_records > 0"), "cov", "n_records")
 
 
 def lab_dates(lab: DataFrame) -> DataFrame:
@@ -318,16 +322,25 @@ def vitals_in_enrollment(vitals: DataFrame, periods: DataFrame, mode: str = "pre
     return wide.select(F.inline(rows)).where("count > 0")
 
 
-def records_of_enrolled(records: DataFrame, enrolled: DataFrame, key: str = "patid") -> DataFrame:
-    """Number of records (deaths) of enrolled patients; records shrink to one row per patient."""
-    per = count_by(records, key)
-    return per.join(enrolled.select(key), key).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count"))
+def records_of_enrolled(
+    records: DataFrame, enrolled: DataFrame, kinds: list[str], key: str = "patid"
+) -> DataFrame:
+    """Records (deaths) of enrolled patients per coverage type, 0 where there are none.
+
+    Records shrink to one row per patient before the join.
+    """
+    per = count_by(records, key).join(enrolled.select("cov", key), key)
+    totals = per.agg(
+        *[F.coalesce(F.sum(F.when(F.col("cov") == k, F.col("count"))), F.lit(0)).alias(k) for k in kinds]
+    )
+    rows = F.array(*[F.struct(F.lit(k).alias("cov"), F.col(k).alias("count")) for k in kinds])
+    return totals.select(F.inline(rows))
 
 
 def causes_per_patient(cod: DataFrame, enrolled: DataFrame, key: str = "patid") -> DataFrame:
-    """Enrolled patients by their number of cause-of-death records: 1 to 4, or more."""
-    per = count_by(cod, key).join(enrolled.select(key), key)
-    return count_by(per, formats.record_count(F.col("count")).alias("cod_count"))
+    """Enrolled patients by coverage type and number of cause-of-death records: 1 to 4, or more."""
+    per = count_by(cod, key).join(enrolled.select("cov", key), key)
+    return count_by(per, "cov", formats.record_count(F.col("count")).alias("cod_count"))
 
 
 # --- attrition ------------------------------------------------------------------------------

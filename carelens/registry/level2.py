@@ -343,10 +343,11 @@ def _(d: Data) -> DataFrame:
        FROM (SELECT COUNT(*) AS n FROM mil GROUP BY mpatid, cpatid, adate) AS g""",
 )
 def _(d: Data) -> DataFrame:
-    dup = keys.surplus_duplicates(d("mil"), IDS[:3], "mil").select(
-        F.col("tabid").alias("tableid"), F.lit("211").alias("checkid"), "count_dup"
+    dup = keys.surplus_duplicates(d("mil"), IDS[:3], "mil").unionByName(
+        keys.surplus_duplicates(d("enr"), spans.SPAN_KEYS, "enr")
     )
-    return fl.count_flags(dup, flags_frame(d.spark), ["checkid", "tableid"], "count_dup")
+    named = dup.select(F.col("tabid").alias("tableid"), F.lit("211").alias("checkid"), "count_dup")
+    return fl.count_flags(named, flags_frame(d.spark), ["checkid", "tableid"], "count_dup")
 
 
 # --- across tables --------------------------------------------------------------------------
@@ -568,9 +569,7 @@ def _(d: Data) -> DataFrame:
       UNION ALL SELECT 'enr', 'cod', COUNT(*) FROM w WHERE enr = '1' AND cod = '0'""",
 )
 def _(d: Data) -> DataFrame:
-    m = _presence(d)
-    pairs = [("dem", "enr"), ("mil", "enr"), ("enr", "cod")]
-    return tables.union_all([cross.pattern_count(m, a, b) for a, b in pairs])
+    return cross.pattern_counts(_presence(d), [("dem", "enr"), ("mil", "enr"), ("enr", "cod")])
 
 
 @query(
@@ -582,7 +581,7 @@ def _(d: Data) -> DataFrame:
 )
 def _(d: Data) -> DataFrame:
     m = cross.value_matrix({"mil": (d("mil"), "matchmethod"), "enc": (d("enc"), "enctype")})
-    return cross.value_pattern_count(m, "mil", "enc").unionByName(cross.value_pattern_count(m, "enc", "mil"))
+    return cross.value_pattern_counts(m, [("mil", "enc"), ("enc", "mil")])
 
 
 @query(

@@ -102,7 +102,7 @@ _L3 = f"SELECT flagid, abort_yn, flag_type, flag_descr, COUNT(*) AS count FROM (
 def _(d: Data) -> DataFrame:
     mil, f = d("mil"), flag("126")
     ages = [fl.with_flag(mil.where(c).select(), f) for c in ("age < 10 or age > 54", "age > 54")]
-    return fl.roll_up([fl.count_messages(x) for x in (_l3_flags(d), *ages)])
+    return fl.roll_up([fl.count_rows(x) for x in (_l3_flags(d), *ages)])
 
 
 # --- derived columns and cross tabs ---------------------------------------------------------
@@ -192,7 +192,7 @@ def _(d: Data) -> DataFrame:
       FROM new n FULL OUTER JOIN old o ON n.flagid = o.flagid""",
 )
 def _(d: Data) -> DataFrame:
-    new = fl.roll_up([fl.count_messages(_l3_flags(d))])
+    new = fl.count_rows(_l3_flags(d))
     prior = d("prior_flags").select(
         "flagid", F.lit("N").alias("abort_yn"), F.col("flagtype").alias("flag_type"), F.lit("prior").alias("flag_descr"), "count"
     )

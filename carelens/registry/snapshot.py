@@ -11,7 +11,6 @@ from carelens.registry.catalog import query
 from carelens.registry.level2 import MESSY, messy
 from carelens.registry.level3 import _FIVE
 from carelens.registry.views import Data
-from carelens.sources import tables
 
 MAXDATE = "2000-06-30"
 _COVERS = {"m": "LOWER(medcov) = 'y'", "d": "LOWER(drugcov) = 'y'", "md": "LOWER(medcov) = 'y' AND LOWER(drugcov) = 'y'"}
@@ -224,11 +223,7 @@ def _inside_sql(cov: str, records: str, date: str) -> str:
 
 @query("v1_dispensing", _PERIODS + " UNION ALL ".join(_inside_sql(c, "SELECT * FROM dis", "rxdate") for c in ("d", "md")))
 def _(d: Data) -> DataFrame:
-    parts = [
-        summary.records_in_enrollment(d("dis"), periods(d, c).drop("cov"), "rxdate").withColumn("cov", F.lit(c))
-        for c in ("d", "md")
-    ]
-    return tables.union_all(parts).select("cov", "n_records", "count")
+    return summary.records_in_enrollment(d("dis"), periods(d, "d", "md"), "rxdate", ["d", "md"])
 
 
 @query(
@@ -241,13 +236,13 @@ def _(d: Data) -> DataFrame:
 def _(d: Data) -> DataFrame:
     late = d("del").join(d("enc").where("adate >= DATE '2000-01-01' OR adate IS NULL").select("encounterid"), "encounterid")
     kept = spans.exclude(d("enc"), late, {"patid": "mpatid", "encounterid": "encounterid"})
-    return summary.records_in_enrollment(kept, md(d), "adate").select(F.lit("md").alias("cov"), "n_records", "count")
+    return summary.records_in_enrollment(kept, periods(d, "md"), "adate", ["md"])
 
 
 @query("v3_labs", _PERIODS + _inside_sql("md", "SELECT patid, COALESCE(lab_dt, result_dt, order_dt) AS testdate FROM lab", "testdate"))
 def _(d: Data) -> DataFrame:
     labs = summary.lab_dates(d("lab"))
-    return summary.records_in_enrollment(labs, md(d), "testdate").select(F.lit("md").alias("cov"), "n_records", "count")
+    return summary.records_in_enrollment(labs, periods(d, "md"), "testdate", ["md"])
 
 
 def _vitals_sql(prefix: bool) -> str:
@@ -277,11 +272,8 @@ def _(d: Data) -> DataFrame:
     ),
 )
 def _(d: Data) -> DataFrame:
-    parts = [
-        summary.records_of_enrolled(d("dth"), spans.enrolled(periods(d, c), ["patid"])).withColumn("cov", F.lit(c))
-        for c in ("m", "md")
-    ]
-    return tables.union_all(parts).select("cov", "count")
+    kinds = ["m", "md"]
+    return summary.records_of_enrolled(d("dth"), spans.enrolled(periods(d, *kinds), ["cov", "patid"]), kinds)
 
 
 @query(
@@ -294,11 +286,7 @@ def _(d: Data) -> DataFrame:
     ),
 )
 def _(d: Data) -> DataFrame:
-    parts = [
-        summary.causes_per_patient(d("cod"), spans.enrolled(periods(d, c), ["patid"])).withColumn("cov", F.lit(c))
-        for c in ("m", "md")
-    ]
-    return tables.union_all(parts).select("cov", "cod_count", "count")
+    return summary.causes_per_patient(d("cod"), spans.enrolled(periods(d, "m", "md"), ["cov", "patid"]))
 
 
 @query("v7_count_by", "SELECT CAST(YEAR(rxdate) AS INTEGER) AS year, COUNT(*) AS count FROM dis GROUP BY 1")

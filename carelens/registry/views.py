@@ -13,6 +13,8 @@ BASE = (
     " benchmark labels conversations"
 ).split()
 
+FACTS = ("lineitem", "orders")
+
 VIEWS = {
     "mil": """
 WITH b AS (
@@ -122,7 +124,13 @@ class Data:
         return {n: self(n) for n in names}
 
     def _base(self, name: str) -> DataFrame:
-        return table(read_tables(self.spark, {name: f"{self._dir}/{name}.parquet"}), name)
+        df = table(read_tables(self.spark, {name: f"{self._dir}/{name}.parquet"}), name)
+        # a fact table in one row group is read by one task: spread its rows over the cores;
+        # a table of many files already has more read tasks than cores and stays as it is
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in FACTS and df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        return df
 
     def _view(self, name: str) -> DataFrame:
         return self.sql(VIEWS[name])

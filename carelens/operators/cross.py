@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.functions.dates import or_lowest
+from carelens.functions.dates import lowest_day, or_lowest
 from carelens.functions.formats import age_days
 from carelens.sources.tables import Tables, union_all
 
@@ -170,10 +170,11 @@ def date_order_pairs(
     pairs = F.col(counted) * F.coalesce(F.sum(below).over(before), F.lit(0))
     by_key = daily.withColumn("pairs", pairs).groupBy(key).agg(
         F.sum("pairs").alias("pairs"),
-        F.sum(counted).alias("counted"),
+        # against a table without the patient, every row with a date is higher
+        F.sum(F.when(F.col("day") > lowest_day(), F.col(counted))).alias("dated"),
         F.sum(below).alias("below"),
     )
-    n = F.when(F.col("below") == 0, F.col("counted")).otherwise(F.col("pairs"))
+    n = F.when(F.col("below") == 0, F.col("dated")).otherwise(F.col("pairs"))
     return by_key.select(key, n.cast("long").alias("n_pairs")).where("n_pairs > 0")
 
 

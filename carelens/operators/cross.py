@@ -28,10 +28,12 @@ def not_in_reference(df: DataFrame, reference: DataFrame, on: dict[str, str]) ->
 def rows_not_in_reference(df: DataFrame, reference: DataFrame, column: str, ref_column: str) -> DataFrame:
     """Rows whose filled id the reference lacks; a null id passes.
 
-    The reference shrinks to distinct ids; AQE splits the row side where one id is hot.
+    The reference shrinks to distinct ids. The null-safe equality gives the join a shuffle of its
+    own after that: AQE splits a hot id only where both sides come straight from a shuffle.
     """
     ids = reference.where(F.col(ref_column).isNotNull()).select(F.col(ref_column).alias("ref_id")).distinct()
-    return df.where(F.col(column).isNotNull()).join(ids, F.col(column) == F.col("ref_id"), "left_anti")
+    same = F.col(column).eqNullSafe(F.col("ref_id"))
+    return df.where(F.col(column).isNotNull()).join(ids, same, "left_anti")
 
 
 def id_file_status(df: DataFrame, id_file: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Keys are counted by an aggregate, which combines copies before the shuffle, and the rows of the
 few bad keys are fetched back by a null-safe semi join. A window over the key would put all rows of
-a hot key into one task; the semi join lets AQE split them.
+a hot key into one task; AQE splits them in the semi join. (It does so only where both sides come
+straight from a shuffle. Plain equality would reuse the aggregate's partitioning instead.)
 """
 
 from __future__ import annotations

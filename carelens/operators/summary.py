@@ -201,16 +201,22 @@ def periods_per_patient(periods: DataFrame, key: str = "patid") -> DataFrame:
 
 
 def age_profile(periods: DataFrame, dem: DataFrame, maxdate: Column) -> DataFrame:
-    """Each patient's age at the start of the last period, and whether that period is active."""
-    born = dem.where("birth_date is not null").select("patid", "birth_date", "sex")
+    """Each patient's age at the start of the last period, and whether that period is active.
+
+    `n` counts equal demographic rows of a patient; they shrink to one before the join.
+    """
+    born = dem.where("birth_date is not null").groupBy("patid", "birth_date", F.upper("sex").alias("sex")).agg(
+        F.count("*").alias("n")
+    )
     return (
         last_span(periods, ["patid"])
         .join(born, "patid")
         .select(
             "patid",
             complete_years(F.col("birth_date"), F.col("enr_start")).alias("age"),
-            F.upper("sex").alias("sex"),
+            "sex",
             (F.col("enr_end") >= maxdate).alias("active"),
+            "n",
         )
     )
 
@@ -220,9 +226,7 @@ def age_categories(profile: DataFrame) -> DataFrame:
 
     Patients shrink to one row per age, sex and activity before the categories are listed.
     """
-    cells = profile.groupBy("age", (F.col("sex") == "F").alias("female"), "active").agg(
-        F.count("*").alias("n")
-    )
+    cells = profile.groupBy("age", (F.col("sex") == "F").alias("female"), "active").agg(F.sum("n").alias("n"))
     age = F.col("age")
     labels = F.array(
         formats.five_year_age(age),
@@ -246,9 +250,18 @@ def age_categories(profile: DataFrame) -> DataFrame:
     )
 
 
-def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+def enrolled_rows(dem: DataFrame, enrolled: DataFrame, columns: list[str]) -> DataFrame:
+    """Demographic rows of enrolled patients: the columns and `n` equal rows.
+
+    Equal rows of a patient shrink to one before the join.
+    """
+    cells = dem.groupBy("patid", *columns).agg(F.count("*").alias("n"))
+    return cells.join(enrolled.select("patid"), "patid").select(*columns, "n")
+
+
+def category_counts(df: DataFrame, columns: list[str], weight: str = "n") -> DataFrame:
     """Rows by each of several columns, in one pass."""
-    cells = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    cells = df.groupBy(*columns).agg(F.sum(weight).alias("n"))
     summed = cells.groupingSets([[F.col(c)] for c in columns], *columns).agg(
         F.sum("n").alias("count"), *[F.grouping(c).alias(f"g_{c}") for c in columns]
     )
@@ -259,7 +272,7 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return summed.select(variable.alias("variable"), value.alias("value"), "count")
 
 
-def geography(dem: DataFrame, zips: DataFrame) -> DataFrame:
+def geography(dem: DataFrame, zips: DataFrame, weight: str = "n") -> DataFrame:
     """Patients per state; '00' for a missing postal code, '99' for an unknown one.
 
     Patients shrink to one row per postal code before the lookup.
@@ -270,7 +283,8 @@ def geography(dem: DataFrame, zips: DataFrame) -> DataFrame:
         .otherwise("99")
     )
     return (
-        count_by(dem, "postalcode")
+        dem.groupBy("postalcode")
+        .agg(F.sum(weight).alias("count"))
         .join(zips.select("postalcode", "statecode"), "postalcode", "left")
         .groupBy(state.alias("statecode"))
         .agg(F.sum("count").alias("count"))

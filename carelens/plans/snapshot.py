@@ -34,7 +34,9 @@ def snapshot(
     periods = spans.bridge(spans.by_coverage(table(t, "enr")), ["cov", "patid"])
     md = periods.where("cov = 'md'").drop("cov")
     enrolled = spans.enrolled(periods, ["cov", "patid"])
-    dem = table(t, "dem").join(enrolled.where("cov = 'md'").select("patid"), "patid")
+    dem = summary.enrolled_rows(
+        table(t, "dem"), enrolled.where("cov = 'md'"), ["hispanic", "race", "sex", "postalcode"]
+    )
     out = {
         "enr_patid_count_md_y": summary.periods_by_year(md),
         "enr_rec_covlength_md": summary.length_by_record(md),

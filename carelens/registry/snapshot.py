@@ -148,7 +148,7 @@ _PROFILE = (
     _PERIODS
     + f""", {_LAST}, profile AS (SELECT l.patid,
       CAST(FLOOR(((YEAR(enr_start) - YEAR(birth_date)) * 12 + MONTH(enr_start) - MONTH(birth_date) - CASE WHEN DAY(enr_start) < DAY(birth_date) THEN 1 ELSE 0 END) / 12) AS INTEGER) AS age,
-      UPPER(sex) AS sex, enr_end >= DATE '{MAXDATE}' AS active FROM last_md l JOIN dem ON dem.patid = l.patid WHERE birth_date IS NOT NULL)
+      UPPER(sex) AS sex, enr_end >= DATE '{MAXDATE}' AS active, COUNT(*) AS n FROM last_md l JOIN dem ON dem.patid = l.patid WHERE birth_date IS NOT NULL GROUP BY ALL)
     """
 )
 
@@ -185,8 +185,11 @@ def _(d: Data) -> DataFrame:
 _DEM = _PERIODS + ", pats AS (SELECT DISTINCT patid FROM md), e AS (SELECT dem.* FROM dem JOIN pats ON pats.patid = dem.patid) "
 
 
+_DEM_COLUMNS = ["hispanic", "race", "sex", "postalcode"]
+
+
 def enrolled_dem(d: Data) -> DataFrame:
-    return d("dem").join(spans.enrolled(md(d), ["patid"]), "patid")
+    return summary.enrolled_rows(d("dem"), spans.enrolled(md(d), ["patid"]), _DEM_COLUMNS)
 
 
 @query(

@@ -19,7 +19,7 @@ WITH b AS (
   SELECT l.l_orderkey AS k, l.l_linenumber AS n, l.l_partkey AS p, o.o_custkey AS c,
          CAST(o.o_orderdate AS DATE) AS d, g.m AS m
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-  JOIN (SELECT l_orderkey AS mk, COUNT(*) AS m FROM lineitem GROUP BY l_orderkey) g ON g.mk = l.l_orderkey)
+  JOIN (SELECT l_orderkey AS mk, COUNT(*) AS m FROM lineitem GROUP BY l_orderkey) g ON g.mk IS NOT DISTINCT FROM l.l_orderkey)
 SELECT CASE WHEN k % 13 = 0 THEN NULL ELSE 'M' || CAST(c AS STRING) END AS mpatid,
        CASE WHEN k % 7 = 0 OR (k + n) % 11 = 0 THEN NULL
             ELSE 'C' || CAST(k AS STRING) || '-' || CAST(n % 4 AS STRING) END AS cpatid,

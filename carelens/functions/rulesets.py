@@ -116,7 +116,7 @@ def flag(check: str, variable: str | None = None) -> Flag:
 
 
 def flags_frame(spark: SparkSession, flags: list[Flag] = FLAGS) -> DataFrame:
-    """The lookup as a DataFrame; its size is checked because it is joined by broadcast."""
+    """The lookup as a DataFrame. Its size is checked: joins with it rely on it being small."""
     if len(flags) > MAX_LOOKUP:
         raise ValueError(f"{len(flags)} flag definitions, at most {MAX_LOOKUP} expected")
     schema = (

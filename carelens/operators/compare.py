@@ -148,13 +148,30 @@ def snake_case(name: str) -> str:
     return "_".join(w.lower() for w in words)
 
 
+COPIES = 100_000  # equal rows that one sort key may stand for
+
+
 def canonical(df: DataFrame, dates: list[str] | None = None) -> DataFrame:
-    """Snake-case names, date columns as ISO text, rows in a stable order."""
+    """Snake-case names, date columns as ISO text, rows in a stable order.
+
+    Equal rows are sorted as counted chunks and written out after the sort, so that a row with very
+    many copies is spread over tasks.
+    """
     named = df.select(*[F.col(c).alias(snake_case(c)) for c in df.columns])
     wanted = [c for c in named.columns if "date" in c] if dates is None else dates
     iso = {c: F.date_format(F.col(c).try_cast("date"), "yyyy-MM-dd") for c in wanted if c in named.columns}
     out = named.withColumns(iso) if iso else named
-    return out.orderBy(*out.columns)
+    columns = out.columns
+    last = F.floor((F.col("_n") - 1) / COPIES)
+    chunks = out.groupBy(*columns).agg(F.count("*").alias("_n")).select(
+        *columns, "_n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_chunk")
+    )
+    size = F.least(F.lit(COPIES).cast("long"), F.col("_n") - F.col("_chunk") * COPIES)
+    return (
+        chunks.orderBy(*columns, "_chunk")
+        .select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_copy"))
+        .drop("_copy")
+    )
 
 
 def result_differences(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:

@@ -62,11 +62,11 @@ def count_flags(
 ) -> DataFrame:
     """Rows per flag: counted (or their `count_column` summed) by `on`, then named by the lookup.
 
-    The rows shrink to one per key before the join, and the lookup is a size-checked rule table.
+    The rows shrink to one per key before the join; the lookup is a rule table, see `flags_frame`.
     """
     counted = F.sum(count_column) if count_column else F.count("*")
     totals = rows.groupBy(*on).agg(counted.cast("long").alias("count"))
-    named = totals.join(F.broadcast(lookup), on)
+    named = totals.join(lookup, on)
     return named.groupBy(*COUNT_KEYS).agg(F.sum("count").alias("count"))
 
 
@@ -80,7 +80,7 @@ def flag_master(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """Distinct flag, value and ids, with the lookup's description."""
     names = lookup.select("flagid", "flag_descr", "flag_type", "abort_yn", "variable1")
     distinct = rows.select("flagid", "value", "mpatid", "cpatid").distinct()
-    return distinct.join(F.broadcast(names), "flagid", "left")
+    return distinct.join(names, "flagid", "left")
 
 
 def roll_up_values(rows: DataFrame) -> DataFrame:

@@ -195,7 +195,7 @@ def population_flags(counts: DataFrame, lookup: DataFrame) -> DataFrame:
         F.max(F.when(F.col("checkid") == "120", F.col("flagid"))).alias("f120"),
     )
     c = counts.where("count_null > 0").join(
-        F.broadcast(flags),
+        flags,
         (F.upper("tabid") == F.upper("tableid")) & (F.lower("variable") == F.lower("variable1")),
     )
     unpopulated = F.col("f111").isNotNull() & (F.col("count_nomiss") + F.col("count_spmiss") == 0)

@@ -1,14 +1,17 @@
-"""Level 1 of a review: are the table and its columns as expected, are the values?"""
+"""Level 1 of a review: are the table and its columns as expected, are the values?
+
+`scans` reads the table; `results` works on what the scans gave, which is written in between.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.functions.rulesets import FLAGS, VARIABLE_RULES, Flag, VariableRule, flags_frame, rules_frame
 from carelens.operators import flags as fl
 from carelens.operators import profile
-from carelens.sources.tables import Tables, table
+from carelens.sources.tables import Tables
 
 
 def table_checks(spark: SparkSession, tables: Tables, expected: list[str]) -> Tables:
@@ -18,46 +21,55 @@ def table_checks(spark: SparkSession, tables: Tables, expected: list[str]) -> Ta
     return {"all_l1_nobs": counts, "table_flags": flags}
 
 
-def level1(
-    spark: SparkSession,
-    tables: Tables,
+def scans(
+    df: DataFrame,
     tabid: str = "mil",
     rules: list[VariableRule] = VARIABLE_RULES,
     flags: list[Flag] = FLAGS,
     window: tuple[Column, Column] | None = None,
 ) -> Tables:
-    """Contents, compliance, value counts, the flag master and its roll-up for one table."""
-    df = table(tables, tabid)
-    lookup = flags_frame(spark, flags)
-    found = profile.contents(df, tabid)
-    comp = profile.compliance(found, rules_frame(spark, rules))
-    counts = profile.value_counts(df, rules, tabid)
+    """Contents, value counts and value-rule hits of one table, one pass each."""
     low, high = window or (None, None)
-    hits = profile.value_rules(df, [f for f in flags if f.level == 1], rules, low, high)
-    column_hits = profile.structure_flags(_declared_only(comp, df)).unionByName(
-        profile.population_flags(counts, lookup)
+    return {
+        "all_l1_cont": profile.contents(df, tabid),
+        "all_l1_record_count": profile.value_counts(df, rules, tabid),
+        "l1_hits_mstr": profile.value_rules(df, [f for f in flags if f.level == 1], rules, low, high),
+    }
+
+
+def results(
+    spark: SparkSession,
+    scanned: Tables,
+    schema,
+    rules: list[VariableRule] = VARIABLE_RULES,
+    flags: list[Flag] = FLAGS,
+) -> Tables:
+    """Compliance, the flag master and its roll-up, from the scans of a table with this schema."""
+    lookup = flags_frame(spark, flags)
+    comp = profile.compliance(scanned["all_l1_cont"], rules_frame(spark, rules))
+    hits = scanned["l1_hits_mstr"]
+    column_hits = profile.structure_flags(_declared_only(comp, schema)).unionByName(
+        profile.population_flags(scanned["all_l1_record_count"], lookup)
     )
     rolled = fl.roll_up_values(
         hits.select("flagid", "variable", "value", "count").unionByName(column_hits)
     )
     names = lookup.select("flagid", "flag_descr", "flag_type", "abort_yn")
     return {
-        "all_l1_cont": found,
         "all_l1_scdm_comp": comp,
-        "all_l1_record_count": counts,
         "all_l1_flags_mstr": fl.flag_master(hits, lookup),
-        "all_l1_flags": rolled.join(F.broadcast(names), "flagid"),
+        "all_l1_flags": rolled.join(names, "flagid"),
     }
 
 
-def _declared_only(comp, df):
+def _declared_only(comp: DataFrame, schema) -> DataFrame:
     """Compliance with text lengths only where the source declares them.
 
     A plain string has no declared length, so it cannot be of the wrong one.
     """
     plain = [
         f.name.lower()
-        for f in df.schema.fields
+        for f in schema.fields
         if profile.type_class(f.dataType) == "C" and profile.declared_length(f) is None
     ]
     undeclared = F.lower("var").isin(plain) if plain else F.lit(False)

@@ -136,16 +136,20 @@ def enrollment(enr: DataFrame) -> Tables:
     return {"enr_l2_mstr": union_all(found), "enr_l2_overlap": spans.overlap_summary(flagged)}
 
 
-def level2(tables: Tables, r: LinkageRules | None = None) -> Tables:
+def masters(tables: Tables, r: LinkageRules | None = None) -> Tables:
     """Every level 2 table the given tables allow."""
     out = one_table(table(tables, "mil"), r) | across_tables(tables)
     if "enr" in tables:
         out |= enrollment(tables["enr"])
-    masters = [df for n, df in out.items() if n.endswith("l2_mstr") or n == "l2_cross_mstr"]
-    out["all_l2_flags"] = fl.roll_up([fl.count_rows(m) for m in masters])
     return out
 
 
+def results(written: Tables) -> Tables:
+    """Flag counts over the written masters of flagged rows."""
+    flagged = [df for df in written.values() if "flagid" in df.columns]
+    return {"all_l2_flags": fl.roll_up([fl.count_rows(f) for f in flagged])}
+
+
 def port_checks(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
     """The other reading of the level 2 ids: plain key, bound, domain, reference and span checks."""
     mil, enr = table(tables, "mil"), table(tables, "enr")

@@ -11,12 +11,11 @@ from carelens.sources.tables import Tables
 FLAG_KEYS = ["flagid", "message", "flag_descr", "flag_type", "abort_yn"]
 
 
-def level3(mil: DataFrame) -> Tables:
-    """Flagged linkages with messages, their counts, and the two cross tabs."""
+def masters(mil: DataFrame) -> Tables:
+    """Flagged linkages counted by message, and the two cross tabs."""
     found = linkage.birth_type_linkage(mil).select(*FLAG_KEYS).unionByName(linkage.linkage_gaps(mil, []))
     return {
         "all_l3_flags_mstr": fl.count_messages(found),
-        "all_l3_flags": fl.count_rows(found),
         "l3_mil_aggregate": linkage.cross_tab(linkage.linkage_columns(mil), linkage.ALL_CLASSES),
         "l3_mil_aggregate_deliv": linkage.cross_tab(
             linkage.delivery_columns(mil), linkage.DELIVERY_CLASSES
@@ -24,6 +23,11 @@ def level3(mil: DataFrame) -> Tables:
     }
 
 
+def results(written: Tables) -> Tables:
+    """Flag counts over the written master."""
+    return {"all_l3_flags": fl.roll_up([written["all_l3_flags_mstr"]])}
+
+
 def sign_off(new: DataFrame, old: DataFrame) -> DataFrame:
     """Flag counts against those of the previous load."""
     return compare.load_comparison(new, old)

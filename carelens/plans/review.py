@@ -1,7 +1,8 @@
 """A whole review: level by level, written as it goes, stopped by the first fatal level.
 
-Each level's results are written before the next level starts. The decision to go on reads the
-written flag counts, which are a few rows; nothing else comes to the driver.
+Each step's tables are written before the next step reads them, so nothing is computed twice and a
+lost executor costs one step at most. The decision to go on asks the written flag counts for one
+fatal row; nothing else comes to the driver.
 """
 
 from __future__ import annotations
@@ -11,10 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from carelens.operators import flags as fl
-from carelens.plans.level1 import level1, table_checks
-from carelens.plans.level2 import LinkageRules, level2
-from carelens.plans.level3 import level3
-from carelens.plans.snapshot import snapshot
+from carelens.plans import level1, level2, level3, snapshot
+from carelens.plans.level2 import LinkageRules
 from carelens.sources import sinks
 from carelens.sources.tables import Tables, table
 
@@ -57,22 +56,31 @@ def review(
     """Levels 1 to 3 of the linkage table, then the population summaries."""
     done = Outcome()
 
-    def step(level: int, built: Tables, flags: str | None = None) -> bool:
-        """Write one step's tables; False when its flags are fatal."""
+    def put(level: int, built: Tables) -> Tables:
+        """Write one step's tables and give them as read from there."""
         done.level = level
-        done.written |= _write(built, partner, out_dir)
-        if flags and _fatal(spark.read.parquet(done.written[flags])):
+        paths = _write(built, partner, out_dir)
+        done.written |= paths
+        return {name: spark.read.parquet(path) for name, path in paths.items()}
+
+    def stop(flags: DataFrame) -> bool:
+        if _fatal(flags):
             done.status = "aborted"
-        return done.status != "aborted"
+        return done.status == "aborted"
 
-    if not step(1, table_checks(spark, tables, ["mil"]), "table_flags"):
+    if stop(put(1, level1.table_checks(spark, tables, ["mil"]))["table_flags"]):
         return done
-    if not step(1, level1(spark, tables, window=window), "all_l1_flags"):
+    mil = table(tables, "mil")
+    scanned = put(1, level1.scans(mil, window=window))
+    first = put(1, level1.results(spark, scanned, mil.schema))
+    if stop(first["all_l1_flags"]):
         return done
-    if not step(2, level2(tables, rules), "all_l2_flags"):
+    second = put(2, level2.results(put(2, level2.masters(tables, rules))))
+    if stop(second["all_l2_flags"]):
         return done
-    earlier = [spark.read.parquet(done.written[n]) for n in ("all_l1_flags", "all_l2_flags")]
-    step(3, level3(table(tables, "mil")) | {"all_l1_l2_flags": fl.roll_up(earlier)})
+    put(3, level3.results(put(3, level3.masters(mil))))
+    put(3, {"all_l1_l2_flags": fl.roll_up([first["all_l1_flags"], second["all_l2_flags"]])})
     if maxdate is not None:
-        step(4, snapshot(tables, maxdate))
+        periods = put(4, snapshot.periods(tables))["enr_final_mstr"]
+        put(4, snapshot.summaries(tables, periods, maxdate))
     return done

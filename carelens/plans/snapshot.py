@@ -22,16 +22,13 @@ def without(tables: Tables, patients: DataFrame | None, encounters: DataFrame |
     return out
 
 
-def snapshot(
-    tables: Tables,
-    maxdate: Column,
-    zips: DataFrame | None = None,
-    patients: DataFrame | None = None,
-    encounters: DataFrame | None = None,
-) -> Tables:
-    """Every summary the given tables allow; only `enr` and `dem` are required."""
-    t = without(tables, patients, encounters)
-    periods = spans.bridge(spans.by_coverage(table(t, "enr")), ["cov", "patid"])
+def periods(tables: Tables) -> Tables:
+    """Bridged periods of all coverage types; written once, every summary reads them."""
+    return {"enr_final_mstr": spans.bridge(spans.by_coverage(table(tables, "enr")), ["cov", "patid"])}
+
+
+def summaries(t: Tables, periods: DataFrame, maxdate: Column, zips: DataFrame | None = None) -> Tables:
+    """Every summary the given tables allow; only `dem` is required."""
     md = periods.where("cov = 'md'").drop("cov")
     enrolled = spans.enrolled(periods, ["cov", "patid"])
     dem = summary.enrolled_rows(

@@ -253,10 +253,12 @@ def is_match(differences: DataFrame) -> DataFrame:
 def load_comparison(new: DataFrame, old: DataFrame) -> DataFrame:
     """Flag counts of two loads side by side with difference and percent change.
 
-    Takes (flagid, abort_yn, flag_type, flag_descr, count); a flag only the old load has keeps the
-    old attributes.
+    Takes (flagid, abort_yn, flag_type, flag_descr, count), and dp where both have it; a flag only
+    the old load has keeps the old attributes.
     """
     attributes = ["abort_yn", "flag_type", "flag_descr"]
+    if "dp" in new.columns and "dp" in old.columns:
+        attributes = ["dp", *attributes]
     n = new.select("flagid", *attributes, F.col("count").alias("count_new"), F.lit(1).alias("is_new"))
     o = old.select("flagid", *[F.col(c).alias(f"o_{c}") for c in attributes], F.col("count").alias("count_old"))
     diff = F.col("count_new") - F.col("count_old")

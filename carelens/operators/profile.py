@@ -164,6 +164,9 @@ def value_counts(df: DataFrame, rules: list[VariableRule], tabid: str = "MIL") -
     """
     have = {c.lower() for c in df.columns}
     here = [r for r in rules if r.variable.lower() in have]
+    if not here:
+        columns = "tabid string, varid string, variable string, count_obs long, count_nomiss long,"
+        return df.sparkSession.createDataFrame([], f"{columns} count_spmiss long, count_null long")
     counters = [F.count("*").alias("n")]
     for r in here:
         name = r.variable.lower()
@@ -212,27 +215,27 @@ def unpopulated(counts: DataFrame) -> DataFrame:
     return counts.where("count_nomiss + count_spmiss = 0")
 
 
+def _found(cond: Column, varid: str, variable: str, value: Column) -> Column:
+    return F.when(
+        cond,
+        F.struct(
+            F.lit(varid).alias("varid"),
+            F.lit(variable).alias("variable"),
+            value.cast("string").alias("value"),
+        ),
+    )
+
+
 def _per_variable(df: DataFrame, cases: list[tuple[VariableRule, Column]], keep: list[str]) -> DataFrame:
     """One row per row and variable for which the case holds, from one scan."""
-    any_holds = cases[0][1]
-    for _, c in cases[1:]:
+    never = F.lit(False)
+    any_holds, hits = never, [_found(never, "", "", F.lit(""))]
+    for r, c in cases:
         any_holds = any_holds | c
-    hits = F.array(
-        *[
-            F.when(
-                c,
-                F.struct(
-                    F.lit(r.varid).alias("varid"),
-                    F.lit(r.variable).alias("variable"),
-                    F.col(r.variable.lower()).cast("string").alias("value"),
-                ),
-            )
-            for r, c in cases
-        ]
-    )
+        hits.append(_found(c, r.varid, r.variable, F.col(r.variable.lower())))
     return (
         df.where(any_holds)
-        .select(F.explode(hits).alias("h"), *keep)
+        .select(F.explode(F.array(*hits)).alias("h"), *keep)
         .where("h is not null")
         .select("h.*", *keep)
     )
@@ -313,8 +316,24 @@ def value_rules(
     conditions = {r.variable.lower(): r.condition for r in rules}
     # a column that is absent, or of another type than its rule says, gets no value check
     wrong = {r.variable.lower() for r in rules if types.get(r.variable.lower()) != r.vartype}
-    hits: list[Column] = []
-    tests: list[Column] = []
+
+    def hit(test: Column, flagid: str, variable: str, value: Column, mother: bool, infant: bool, rowwise: bool) -> Column:
+        none = F.lit(None).cast("string")
+        return F.when(
+            test,
+            F.struct(
+                F.lit(flagid).alias("flagid"),
+                F.lit(variable).alias("variable"),
+                value.cast("string").alias("value"),
+                (F.col("mpatid") if mother else none).alias("mpatid"),
+                (F.col("cpatid") if infant else none).alias("cpatid"),
+                F.lit(rowwise).alias("rowwise"),
+            ),
+        )
+
+    # a case that never holds gives the result its shape even where no rule applies
+    tests = [F.lit(False)]
+    hits = [hit(tests[0], "", "", F.lit(""), False, False, False)]
     for f in flags:
         name = f.variable1.lower()
         if name not in types or name in wrong:
@@ -323,11 +342,11 @@ def value_rules(
         if f.check == "121":
             if not conditions.get(name):
                 continue
-            test, value = F.expr(conditions[name]), col.cast("string")
+            test, value = F.expr(conditions[name]), col
         elif f.check == "122":
             test, value = leading_blank(col), col
         elif f.check == "126":
-            test, value = outside_age(col), col.cast("string")
+            test, value = outside_age(col), col
         elif f.check == "131":
             if mindate is None or maxdate is None:
                 continue
@@ -340,19 +359,7 @@ def value_rules(
         rowwise = f.check == "121"
         mother = not rowwise and (not name.startswith("c"))
         infant = not rowwise and (not name.startswith("m") or name == "matchmethod")
-        hits.append(
-            F.when(
-                test,
-                F.struct(
-                    F.lit(f.flagid).alias("flagid"),
-                    F.lit(f.variable1).alias("variable"),
-                    value.alias("value"),
-                    (F.col("mpatid") if mother else F.lit(None).cast("string")).alias("mpatid"),
-                    (F.col("cpatid") if infant else F.lit(None).cast("string")).alias("cpatid"),
-                    F.lit(rowwise).alias("rowwise"),
-                ),
-            )
-        )
+        hits.append(hit(test, f.flagid, f.variable1, value, mother, infant, rowwise))
         tests.append(test)
     any_hit = tests[0]
     for t in tests[1:]:

@@ -100,16 +100,10 @@ def across_tables(tables: Tables) -> Tables:
         if name in tables:
             status = cross.id_file_status(mil, tables[name], on)
             out[f"mil_idfilestatus_{on[0]}_mstr"] = status
-            found.append(
-                fl.with_flag(
-                    status.where("idfilestatus = 'E'").select(*on), _l2("201", f"Id not found in {name}", "Y")
-                )
-            )
-            found.append(
-                fl.with_flag(
-                    status.where("idfilestatus = 'N'").select(*on), _l2("202", f"Id of {name} not found", "Y")
-                )
-            )
+            extra = F.struct(*fl.flag_struct(_l2("201", f"Id not found in {name}", "Y")))
+            absent = F.struct(*fl.flag_struct(_l2("202", f"Id of {name} not found", "Y")))
+            hit = F.when(F.col("idfilestatus") == "E", extra).otherwise(absent)
+            found.append(status.select(hit.alias("hit"), *on).select("hit.*", *on))
     if "dem" in tables:
         recode = F.when(F.upper("sex").isin("A", "U"), "O").otherwise(F.col("sex"))
         sex = cross.attribute_mismatch(mil, tables["dem"], ("mpatid", "patid"), ("sex", "sex"), recode)

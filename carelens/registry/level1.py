@@ -31,7 +31,7 @@ REVIEWED = ["mil", "enr", "dem", "enc", "dis", "lab", "vit", "dth", "cod"]
 
 @query("io1_read_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def _(d: Data) -> DataFrame:
-    found = tables.read_tables(d.spark, {"LineItem": f"{d._dir}/lineitem.parquet"})
+    found = tables.read_tables(d.spark, {"LineItem": f"{d.sf_dir}/lineitem.parquet"})
     return tables.table(found, "LINEITEM").select("l_orderkey", "l_linenumber", "l_quantity")
 
 

@@ -110,7 +110,7 @@ class Data:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self._dir = sf_dir
+        self.sf_dir = sf_dir
         self._known: Tables = {}
 
     def __call__(self, name: str) -> DataFrame:
@@ -122,7 +122,7 @@ class Data:
         return {n: self(n) for n in names}
 
     def _base(self, name: str) -> DataFrame:
-        return table(read_tables(self.spark, {name: f"{self._dir}/{name}.parquet"}), name)
+        return table(read_tables(self.spark, {name: f"{self.sf_dir}/{name}.parquet"}), name)
 
     def _view(self, name: str) -> DataFrame:
         return self.sql(VIEWS[name])

@@ -129,3 +129,13 @@ def test_blank_is_missing_and_bad_dates_become_null(spark):
     df = spark.createDataFrame([("  ", "2020-01-02"), ("a  ", "nope"), (None, None)], "s string, d string")
     got = [tuple(r) for r in tables.iso_dates(tables.blank_to_null(df, "s"), "d").selectExpr("s", "string(d)").collect()]
     assert got == [(None, "2020-01-02"), ("a", None), (None, None)]
+
+
+def test_tables_without_ruled_columns(spark):
+    df = spark.createDataFrame([("x",)], "other string")
+    assert profile.value_rules(df, [flag("126")], VARIABLE_RULES).count() == 0
+    assert profile.too_long(df, VARIABLE_RULES, ["other"]).count() == 0
+    assert profile.null_rows(df, VARIABLE_RULES, ["other"]).count() == 0
+    counts = profile.value_counts(df, VARIABLE_RULES)
+    assert counts.count() == 0
+    assert counts.dtypes == profile.value_counts(df.selectExpr("other mpatid"), VARIABLE_RULES).dtypes

@@ -144,8 +144,8 @@ def label_check(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 def snake_case(name: str) -> str:
     """FlagType becomes flag_type, MPatID becomes m_pat_id."""
-    words = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z0-9]+|[0-9]+", name.replace("_", " "))
-    return "_".join(w.lower() for w in words)
+    word_starts = r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Za-z0-9])(?=[A-Z][a-z])"
+    return re.sub(word_starts, "_", name).lower()
 
 
 COPIES = 100_000  # equal rows that one sort key may stand for

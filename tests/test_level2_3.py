@@ -180,7 +180,7 @@ def test_value_lengths_missing_on_one_side(spark, rows):
 # --- comparison -----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("name, want", [("FlagType", "flag_type"), ("AbortYN", "abort_yn"), ("flag_descr", "flag_descr"), ("ADate", "a_date"), ("Birth_Type", "birth_type"), ("x1Y", "x1_y")])
+@pytest.mark.parametrize("name, want", [("FlagType", "flag_type"), ("AbortYN", "abort_yn"), ("flag_descr", "flag_descr"), ("ADate", "a_date"), ("Birth_Type", "birth_type"), ("x1Y", "x1_y"), ("A1B", "a1_b"), ("ID2name", "id2name"), ("ABCd", "ab_cd"), ("MPatID", "m_pat_id")])
 def test_snake_case(name, want):
     assert compare.snake_case(name) == want
 

@@ -103,7 +103,7 @@ BIRTH_TYPES = list(range(1, 9))
 AGE_BOUNDS = (10, 54)
 IDENTIFIERS = ["mpatid", "cpatid", "patid", "encounterid"]
 TABLE_IDS = "mil enr dem dis enc dia pro dth cod lab vit irx txn pre fac pvd prr prs fea".split()
-SENTINEL = 99999  # a marker for "the whole table or column", never a row count
+WHOLE_MARK = 99999  # a marker for "the whole table or column", never a row count
 MAX_LOOKUP = 10_000  # rule tables above this are not rule tables
 
 

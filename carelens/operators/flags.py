@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions.rulesets import SENTINEL, Flag
+from carelens.functions.rulesets import WHOLE_MARK, Flag
 from carelens.sources.tables import union_all
 
 COUNT_KEYS = ["flagid", "abort_yn", "flag_type", "flag_descr"]
@@ -86,7 +86,7 @@ def flag_master(rows: DataFrame, lookup: DataFrame) -> DataFrame:
 def roll_up_values(rows: DataFrame) -> DataFrame:
     """Count per flag, variable and value; the whole-table marker is kept as it is, not summed."""
     return rows.groupBy("flagid", "variable", "value").agg(
-        F.when(F.max("count") == SENTINEL, F.lit(SENTINEL))
+        F.when(F.max("count") == WHOLE_MARK, F.lit(WHOLE_MARK))
         .otherwise(F.sum("count"))
         .cast("long")
         .alias("count")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from carelens.functions.rulesets import (
     AGE_BOUNDS,
-    SENTINEL,
+    WHOLE_MARK,
     Flag,
     VariableRule,
     flag,
@@ -40,7 +40,7 @@ def missing_tables(spark: SparkSession, expected: list[str], counts: DataFrame)
         F.lit(rule.descr).alias("flag_descr"),
         F.lit(rule.flag_type).alias("flag_type"),
         F.lit(rule.abort_yn).alias("abort_yn"),
-        F.lit(SENTINEL).cast("long").alias("count"),
+        F.lit(WHOLE_MARK).cast("long").alias("count"),
     )
 
 
@@ -52,7 +52,7 @@ def empty_tables(counts: DataFrame) -> DataFrame:
         F.lit(rule.descr).alias("flag_descr"),
         F.lit(rule.flag_type).alias("flag_type"),
         F.lit(rule.abort_yn).alias("abort_yn"),
-        F.lit(SENTINEL).cast("long").alias("count"),
+        F.lit(WHOLE_MARK).cast("long").alias("count"),
     )
 
 
@@ -144,13 +144,13 @@ def structure_flags(comp: DataFrame) -> DataFrame:
         )
 
     hits = F.array(
-        hit("110", ~present, F.lit("NA"), SENTINEL),
+        hit("110", ~present, F.lit("NA"), WHOLE_MARK),
         hit("112", present & (F.col("ms_type") != F.col("dp_type")), F.col("dp_type"), 1),
         hit(
             "113",
             present & (F.col("ms_length") != 0) & (F.col("ms_length") != F.col("dp_length")),
             F.col("dp_length"),
-            SENTINEL,
+            WHOLE_MARK,
         ),
     )
     expected = comp.where("ms_var = 'Y'")
@@ -206,7 +206,7 @@ def population_flags(counts: DataFrame, lookup: DataFrame) -> DataFrame:
         F.when(unpopulated, F.col("f111")).otherwise(F.col("f120")).alias("flagid"),
         "variable",
         F.lit("_null_").alias("value"),
-        F.when(unpopulated, F.lit(SENTINEL)).otherwise(F.col("count_null")).cast("long").alias("count"),
+        F.when(unpopulated, F.lit(WHOLE_MARK)).otherwise(F.col("count_null")).cast("long").alias("count"),
     ).where("flagid is not null")
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from carelens.functions.rulesets import SENTINEL, VARIABLE_RULES, Flag, VariableRule, flag, flags_frame, rules_frame
+from carelens.functions.rulesets import WHOLE_MARK, VARIABLE_RULES, Flag, VariableRule, flag, flags_frame, rules_frame
 from carelens.operators import flags as fl
 from carelens.operators import profile
 from carelens.sources import tables
@@ -23,13 +23,13 @@ def test_missing_and_empty_tables(spark, rows):
     assert rows(counts) == [("ENR", 3), ("MIL", 0)]
     assert [r.flagid for r in profile.empty_tables(counts).collect()] == ["MIL_1_00_00-0_101"]
     lost = profile.missing_tables(spark, ["mil", "dem"], counts).collect()
-    assert [(r.flagid, r["count"], r.abort_yn) for r in lost] == [("DEM_1_00_00-0_100", SENTINEL, "Y")]
+    assert [(r.flagid, r["count"], r.abort_yn) for r in lost] == [("DEM_1_00_00-0_100", WHOLE_MARK, "Y")]
 
 
 def test_missing_column_shows_on_an_empty_table(spark):
     df = mil(spark).drop("encounterid").limit(0)
     hits = profile.structure_flags(compliance(spark, df)).where("flagid like '%110'").collect()
-    assert [(h.flagid, h.value, h["count"]) for h in hits] == [("MIL_1_04_00-0_110", "NA", SENTINEL)]
+    assert [(h.flagid, h.value, h["count"]) for h in hits] == [("MIL_1_04_00-0_110", "NA", WHOLE_MARK)]
 
 
 def test_wrong_type_and_declared_length(spark):
@@ -46,7 +46,7 @@ def test_wrong_type_and_declared_length(spark):
 def test_unpopulated_takes_the_place_of_null_count(spark, rows):
     df = mil(spark, ("M1", None, "2020-01-01", "E1", 1, 20), (None, None, "2020-01-01", "E1", 1, 20))
     got = profile.population_flags(profile.value_counts(df, VARIABLE_RULES), flags_frame(spark))
-    assert rows(got) == [("MIL_1_01_00-0_120", "MPatID", "_null_", 1), ("MIL_1_02_00-0_111", "CPatID", "_null_", SENTINEL)]
+    assert rows(got) == [("MIL_1_01_00-0_120", "MPatID", "_null_", 1), ("MIL_1_02_00-0_111", "CPatID", "_null_", WHOLE_MARK)]
 
 
 def test_special_missing_counts_apart(spark):
@@ -99,10 +99,10 @@ def test_long_ids_and_null_rows(spark):
     assert sorted(r.variable for r in got) == ["Birth_Type", "MPatID"]
 
 
-def test_sentinel_is_kept_not_summed(spark):
-    df = spark.createDataFrame([("f", "v", "x", SENTINEL), ("f", "v", "x", SENTINEL), ("g", "v", "x", 2), ("g", "v", "x", 3)],
+def test_whole_table_mark_is_kept_not_summed(spark):
+    df = spark.createDataFrame([("f", "v", "x", WHOLE_MARK), ("f", "v", "x", WHOLE_MARK), ("g", "v", "x", 2), ("g", "v", "x", 3)],
                                "flagid string, variable string, value string, count long")
-    assert {r.flagid: r["count"] for r in fl.roll_up_values(df).collect()} == {"f": SENTINEL, "g": 5}
+    assert {r.flagid: r["count"] for r in fl.roll_up_values(df).collect()} == {"f": WHOLE_MARK, "g": 5}
 
 
 def test_lookup_changes_change_the_output(spark):

@@ -96,7 +96,7 @@ class Rolling:
     def __init__(self, symbols: int, seed: int):
         draw = np.random.default_rng(seed)
         self.values = draw.integers(1, 1 << 63, symbols, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(draw.integers(1 << 61, 1 << 62)) * 8 + 5
+        self.base = int(draw.integers(1 << 58, 1 << 60)) * 8 + 5
         self.inverse = pow(self.base, -1, 1 << 64)
         self._up = self._powers(self.base, 1024)
         self._down = self._powers(self.inverse, 1024)

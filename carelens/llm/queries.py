@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import lines, mixing
+from carelens.llm import lines, mixing, packing
 from carelens.llm.common import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = lines.line_dedup(Work(spark, "op8"), docs)
     return out.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
+def vocabulary() -> str:
+    """Where this machine, and every executor like it, has the byte-level BPE vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query("op5_pack_sequences")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(Work(spark, "op5"), _table(spark, sf_dir, "documents"), vocabulary())
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import lines, mixing, packing
+from carelens.llm import forest, lines, mixing, packing, vectors
 from carelens.llm.common import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,20 @@ def vocabulary() -> str:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(Work(spark, "op5"), _table(spark, sf_dir, "documents"), vocabulary())
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@_query("op9_near_vectors")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_vectors(Work(spark, "op9"), _table(spark, sf_dir, "embeddings"))
+
+
+@_query("op10_nearest_vectors", """
+WITH good AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+              WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+far AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
+        FROM good q JOIN good c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM far)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 10""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(Work(spark, "op10"), _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

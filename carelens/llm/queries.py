@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, lines, mixing, packing, vectors
+from carelens.llm import forest, lines, mixing, packing, toxicity, vectors
 from carelens.llm.common import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,11 @@ placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 10""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(Work(spark, "op10"), _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))

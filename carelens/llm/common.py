@@ -178,3 +178,35 @@ def components(work: Work, edges: DataFrame) -> DataFrame:
 
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in schema], schema=schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Cut rows that come sorted by integer keys into tables of about `limit` bytes, or of one group if that is more.
+
+    No group is cut in two. With each table comes the row where each of its groups starts, and the number of rows.
+    """
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        for key in keys:
+            value = table[key].to_numpy()
+            new[1:] |= value[1:] != value[:-1]
+        return np.concatenate([[0], np.flatnonzero(new), [table.num_rows]])
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            table = pa.Table.from_batches(held)
+            at = bounds(table)
+            if len(at) > 2:
+                yield table.slice(0, at[-2]), at[:-1]
+                held = pa.Table.from_batches(table.slice(at[-2]).to_batches()).combine_chunks().to_batches()
+                size = sum(b.nbytes for b in held)
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, bounds(table)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, lines, mixing, packing, toxicity, vectors
+from carelens.llm import forest, html, lines, minhash, mixing, packing, toxicity, vectors
 from carelens.llm.common import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@_query("op3_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.pages_text(_table(spark, sf_dir, "pages"))
+
+
+@_query("op6_near_documents")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_documents(Work(spark, "op6"), _table(spark, sf_dir, "documents"))

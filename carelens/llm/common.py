@@ -39,7 +39,13 @@ class Work:
         """Write df and read it again."""
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # what the step shuffled goes with it
+        before = self.spark.conf.get(cleanup, None)
+        self.spark.conf.set(cleanup, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(cleanup) if before is None else self.spark.conf.set(cleanup, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         back._kept_at = path
         return back

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, html, lines, minhash, mixing, packing, toxicity, vectors
+from carelens.llm import forest, html, lines, minhash, mixing, packing, substring, toxicity, vectors
 from carelens.llm.common import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_near_documents")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_documents(Work(spark, "op6"), _table(spark, sf_dir, "documents"))
+
+
+@_query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring.substring_dedup(Work(spark, "op1"), docs)
+    return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

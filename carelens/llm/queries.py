@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.llm import forest, html, lines, minhash, mixing, packing, substring, toxicity, vectors
 from carelens.llm.common import Work
+from carelens.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,13 +69,6 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
 
 
-def vocabulary() -> str:
-    """Where this machine, and every executor like it, has the byte-level BPE vocabulary."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @_query("op5_pack_sequences")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(Work(spark, "op5"), _table(spark, sf_dir, "documents"), vocabulary())
@@ -120,3 +115,6 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring.substring_dedup(Work(spark, "op1"), docs)
     return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -11,6 +11,15 @@ from carelens.llm.common import Rolling, mix64
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where this machine, and every executor like it, has a vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 _SYMBOLS = 0x2070
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = range(5)
 #: White space within the first symbols, as the word-splitting pattern of byte-level BPE sees it.

@@ -198,11 +198,12 @@ def near_documents(work: Work, docs: DataFrame, percent: int = PERCENT, screen:
     classes = work.keep(
         sets.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("odd").alias("odd"), F.first("bands").alias("bands")), "classes"
     )
-    banded = classes.select("rep", "odd", F.explode("bands").alias("key"))
+    banded = classes.select("rep", F.explode("bands").alias("key"))
     shared = work.keep(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     shared = shared.select("key", F.ceil(F.col("n") / bucket_block).cast("int").alias("nb"))
-    member = banded.join(shared, "key").select("key", "rep", "odd", "nb", *_blocks("nb", "rep"))
-    member = member.select("key", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "rep", "odd")
+    # Few buckets are shared, so sketches follow only then.
+    member = work.keep(banded.join(shared, "key"), "members").join(classes.select("rep", "odd"), "rep")
+    member = member.select("key", "rep", "odd", "nb", *_blocks("nb", "rep")).select("key", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "rep", "odd")
     most = most_bits(screen)
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -102,9 +102,11 @@ DATE_BOUNDS = ("2010-01-01", "2025-12-31")
 BIRTH_TYPES = list(range(1, 9))
 AGE_BOUNDS = (10, 54)
 IDENTIFIERS = ["mpatid", "cpatid", "patid", "encounterid"]
-TABLE_IDS = "mil enr dem dis enc dia pro dth cod lab vit irx txn pre fac pvd prr prs fea".split()
-WHOLE_MARK = 99999  # a marker for "the whole table or column", never a row count
-MAX_LOOKUP = 10_000  # rule tables above this are not rule tables
+TABLE_IDS = [
+    "mil", "enr", "dem", "dis", "enc", "dia", "pro", "dth", "cod", "lab", "vit", "irx", "txn", "pre", "fac", "pvd",
+    "prr", "prs", "fea",
+]
+WHOLE_MARK = 99999  # printed as the count where the column `whole` is true; a row count may be that number too
 
 
 def flag(check: str, variable: str | None = None) -> Flag:
@@ -116,9 +118,7 @@ def flag(check: str, variable: str | None = None) -> Flag:
 
 
 def flags_frame(spark: SparkSession, flags: list[Flag] = FLAGS) -> DataFrame:
-    """The lookup as a DataFrame. Its size is checked: joins with it rely on it being small."""
-    if len(flags) > MAX_LOOKUP:
-        raise ValueError(f"{len(flags)} flag definitions, at most {MAX_LOOKUP} expected")
+    """The lookup as a DataFrame; whether a join broadcasts it is left to its size."""
     schema = (
         "checkid string, tableid string, flagid string, flag_descr string, flag_type string,"
         " abort_yn string, variable1 string, variable2 string, level int"
@@ -132,8 +132,6 @@ def flags_frame(spark: SparkSession, flags: list[Flag] = FLAGS) -> DataFrame:
 
 def rules_frame(spark: SparkSession, rules: list[VariableRule] = VARIABLE_RULES) -> DataFrame:
     """The variable rules as a DataFrame."""
-    if len(rules) > MAX_LOOKUP:
-        raise ValueError(f"{len(rules)} variable rules, at most {MAX_LOOKUP} expected")
     schema = (
         "tabid string, variable string, varid string, vartype string, varlength int,"
         " valid_value_type string"

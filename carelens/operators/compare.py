@@ -175,77 +175,52 @@ def canonical(df: DataFrame, dates: list[str] | None = None) -> DataFrame:
 
 
 def result_differences(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows missing or unexpected by key, strict and informational field differences, flag ids.
+    """How often rows stand on one side more than on the other, by key, field by field, and by flag id.
 
-    Each side shrinks to one row per key with the smallest and largest value of every field, so
-    repeated keys meet once. kind is missing, unexpected, strict, message, flagid_expected_only or
-    flagid_actual_only.
+    Both sides are counted together, one row per distinct row: equal rows meet in the aggregate, however
+    often a key repeats, and a null equals a null only. kind is missing or unexpected (a key of one
+    side), rows (a common key with differing numbers of rows), strict or message (a value of a common
+    key's field, with its counts on both sides), flagid_expected_only or flagid_actual_only.
     """
     common = [c for c in expected.columns if c in actual.columns]
-    strict = [c for c in common if c in STRICT and c not in keys]
-    told = [c for c in common if c in INFORMATIONAL and c not in keys]
-
-    def by_key(df: DataFrame, side: str) -> DataFrame:
-        fields = [
-            F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(f"{side}_{c}")
-            for c in strict + told
-        ]
-        named = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in keys]
-        rest = [c for c in strict + told]
-        return df.select(*named, *rest).groupBy(*keys).agg(F.count("*").alias(f"n_{side}"), *fields)
-
-    both = by_key(expected, "e").join(by_key(actual, "a"), keys, "full_outer")
-    key_text = F.concat_ws("|", *keys)
-    matched = F.col("n_e").isNotNull() & F.col("n_a").isNotNull()
-
-    def row(kind: str, cond: Column, column: str, e: Column, a: Column) -> Column:
-        return F.when(
-            cond,
-            F.struct(
-                F.lit(kind).alias("kind"),
-                key_text.alias("key"),
-                F.lit(column).alias("field"),
-                e.cast("string").alias("expected"),
-                a.cast("string").alias("actual"),
-            ),
-        )
-
-    none = F.lit(None).cast("string")
-    hits = [
-        row("missing", F.col("n_a").isNull(), "", F.col("n_e"), none),
-        row("unexpected", F.col("n_e").isNull(), "", none, F.col("n_a")),
-    ]
-    for kind, columns in (("strict", strict), ("message", told)):
-        for c in columns:
-            e, a = F.col(f"e_{c}"), F.col(f"a_{c}")
-            hits.append(row(kind, matched & ~e.eqNullSafe(a), c, e["low"], a["low"]))
-    out = both.select(F.explode(F.array(*hits)).alias("h")).where("h is not null").select("h.*")
-    if "flagid" not in common:
-        return out
-    sides = (
-        expected.select("flagid", F.lit(1).alias("e"), F.lit(0).alias("a"))
-        .unionByName(actual.select("flagid", F.lit(0).alias("e"), F.lit(1).alias("a")))
-        .where("flagid is not null")
-        .groupBy("flagid")
-        .agg(F.max("e").alias("e"), F.max("a").alias("a"))
-        .where("e <> a")
-    )
-    return out.unionByName(
-        sides.select(
-            F.when(F.col("e") == 1, "flagid_expected_only").otherwise("flagid_actual_only").alias("kind"),
-            F.col("flagid").alias("key"),
-            F.lit("flagid").alias("field"),
-            F.when(F.col("e") == 1, F.col("flagid")).alias("expected"),
-            F.when(F.col("a") == 1, F.col("flagid")).alias("actual"),
-        )
-    )
+    fields = {c: "strict" for c in common if c in STRICT and c not in keys}
+    fields |= {c: "message" for c in common if c in INFORMATIONAL and c not in keys}
+    columns = [*keys, *fields]
+
+    def side(df: DataFrame, e: int, a: int) -> DataFrame:
+        return df.select(*[F.col(c).cast("string").alias(c) for c in columns], F.lit(e).alias("e"), F.lit(a).alias("a"))
+
+    sums = [F.sum("e").cast("long").alias("e"), F.sum("a").cast("long").alias("a")]
+    rows = side(expected, 1, 0).unionByName(side(actual, 0, 1)).groupBy(*columns).agg(*sums)
+    by_key = rows.groupBy(*keys).agg(*sums)
+    key_text = F.concat_ws("|", *[F.coalesce(k, F.lit("(null)")) for k in keys])
+    told = [F.lit("").alias("field"), F.lit(None).cast("string").alias("value"), "e", "a"]
+    kind = F.when(F.col("a") == 0, "missing").when(F.col("e") == 0, "unexpected").otherwise("rows")
+    out = by_key.where("e <> a").select(kind.alias("kind"), key_text.alias("key"), *told)
+    if fields:
+        values = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("field"), F.col(c).alias("value")) for c, k in fields.items()])
+        # Rows that stand equally often on both sides cannot make a value differ.
+        differing = rows.where("e <> a").select(*keys, F.explode(values).alias("v"), "e", "a")
+        differing = differing.groupBy(*keys, "v").agg(*sums).where("e <> a")
+        matched = by_key.where("e > 0 and a > 0").select(*[F.col(k).alias(f"m_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys]
+        differing = differing.join(matched, same, "left_semi")
+        out = out.unionByName(differing.select("v.kind", key_text.alias("key"), "v.field", "v.value", "e", "a"))
+    if "flagid" in columns:
+        ids = (by_key if "flagid" in keys else rows).where("flagid is not null").groupBy("flagid").agg(*sums)
+        one = ids.where("e = 0 or a = 0").select(
+            F.when(F.col("a") == 0, "flagid_expected_only").otherwise("flagid_actual_only").alias("kind"),
+            F.col("flagid").alias("key"), F.lit("flagid").alias("field"), F.col("flagid").alias("value"), "e", "a",
+        )
+        out = out.unionByName(one)
+    return out.withColumnsRenamed({"e": "n_expected", "a": "n_actual"})
 
 
 def is_match(differences: DataFrame) -> DataFrame:
     """Counts per kind and whether the tables agree; message differences do not matter."""
     return differences.agg(
         (F.count_if(F.col("kind") != "message") == 0).alias("is_match"),
-        *[F.count_if(F.col("kind") == k).alias(k) for k in ("missing", "unexpected", "strict", "message")],
+        *[F.count_if(F.col("kind") == k).alias(k) for k in ("missing", "unexpected", "rows", "strict", "message")],
         F.count_if(F.col("kind").startswith("flagid")).alias("flagid"),
     )
 

@@ -37,11 +37,20 @@ def rows_not_in_reference(df: DataFrame, reference: DataFrame, column: str, ref_
 
 
 def id_file_status(df: DataFrame, id_file: DataFrame, keys: list[str]) -> DataFrame:
-    """Ids only in the table (E) and ids only in the id file (N)."""
-    on = {k: k for k in keys}
-    extra = not_in_reference(df, id_file, on).withColumn("idfilestatus", F.lit("E"))
-    absent = not_in_reference(id_file, df, on).withColumn("idfilestatus", F.lit("N"))
-    return extra.unionByName(absent)
+    """Ids only in the table (E) and ids only in the id file (N), their first key filled.
+
+    Both sides are counted together, so equal ids, nulls included, meet in one aggregate.
+    """
+
+    def side(ids: DataFrame, here: bool) -> DataFrame:
+        known = ids.where(F.col(keys[0]).isNotNull())
+        return known.select(*keys, F.lit(here).alias("in_table"), F.lit(not here).alias("in_file"))
+
+    both = side(df, True).unionByName(side(id_file, False)).groupBy(*keys).agg(
+        F.max("in_table").alias("in_table"), F.max("in_file").alias("in_file")
+    )
+    status = F.when(F.col("in_table"), "E").otherwise("N")
+    return both.where("in_table <> in_file").select(*keys, status.alias("idfilestatus"))
 
 
 def declared_length_mismatch(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelens.functions.rulesets import WHOLE_MARK, Flag
 from carelens.sources.tables import union_all
 
+FLAG_COLUMNS = ["flagid", "flag_descr", "message", "flag_type", "abort_yn"]
 COUNT_KEYS = ["flagid", "abort_yn", "flag_type", "flag_descr"]
 
 
@@ -57,23 +58,34 @@ def count_rows(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy(*COUNT_KEYS).agg(F.count("*").alias("count"))
 
 
+def _whole(df: DataFrame) -> Column:
+    """Whether a row's flag is about a whole table or column; its count is then the mark, no number of rows."""
+    return F.coalesce(F.col("whole"), F.lit(False)) if "whole" in df.columns else F.lit(False)
+
+
+def _total(count: str = "count") -> list[Column]:
+    """Sum of the row counts; the mark if any of the rows is about a whole table or column."""
+    rows = F.coalesce(F.sum(F.when(~F.col("whole"), F.col(count))), F.lit(0))
+    return [F.when(F.max("whole"), F.lit(WHOLE_MARK)).otherwise(rows).cast("long").alias("count"), F.max("whole").alias("whole")]
+
+
 def count_flags(
     rows: DataFrame, lookup: DataFrame, on: list[str], count_column: str | None = None
 ) -> DataFrame:
     """Rows per flag: counted (or their `count_column` summed) by `on`, then named by the lookup.
 
-    The rows shrink to one per key before the join; the lookup is a rule table, see `flags_frame`.
+    The rows shrink to one per key before the join. `on` may name one table or two. Keys that the
+    lookup lacks stay, together, as one row without flag attributes.
     """
-    counted = F.sum(count_column) if count_column else F.count("*")
-    totals = rows.groupBy(*on).agg(counted.cast("long").alias("count"))
-    named = totals.join(lookup, on)
-    return named.groupBy(*COUNT_KEYS).agg(F.sum("count").alias("count"))
+    marked = rows.withColumn("whole", _whole(rows)).withColumn("n", F.col(count_column) if count_column else F.lit(1))
+    totals = marked.groupBy(*on).agg(*_total("n"))
+    return totals.join(lookup, on, "left").groupBy(*COUNT_KEYS).agg(*_total())
 
 
 def roll_up(frames: list[DataFrame]) -> DataFrame:
-    """Total count per flag over the outputs of several levels."""
-    both = union_all([f.select(*COUNT_KEYS, "count") for f in frames])
-    return both.where("count > 0").groupBy(*COUNT_KEYS).agg(F.sum("count").alias("count"))
+    """Total count per flag over the outputs of several levels; a whole-table flag stays one."""
+    both = union_all([f.select(*COUNT_KEYS, "count", _whole(f).alias("whole")) for f in frames])
+    return both.where("count > 0 or whole").groupBy(*COUNT_KEYS).agg(*_total())
 
 
 def flag_master(rows: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -84,13 +96,8 @@ def flag_master(rows: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def roll_up_values(rows: DataFrame) -> DataFrame:
-    """Count per flag, variable and value; the whole-table marker is kept as it is, not summed."""
-    return rows.groupBy("flagid", "variable", "value").agg(
-        F.when(F.max("count") == WHOLE_MARK, F.lit(WHOLE_MARK))
-        .otherwise(F.sum("count"))
-        .cast("long")
-        .alias("count")
-    )
+    """Count per flag, variable and value; a flag about the whole table or column keeps its mark."""
+    return rows.withColumn("whole", _whole(rows)).groupBy("flagid", "variable", "value").agg(*_total())
 
 
 def count_types(rows: DataFrame, check: str, patient: str = "patid") -> DataFrame:

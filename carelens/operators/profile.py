@@ -41,6 +41,7 @@ def missing_tables(spark: SparkSession, expected: list[str], counts: DataFrame)
         F.lit(rule.flag_type).alias("flag_type"),
         F.lit(rule.abort_yn).alias("abort_yn"),
         F.lit(WHOLE_MARK).cast("long").alias("count"),
+        F.lit(True).alias("whole"),
     )
 
 
@@ -53,6 +54,7 @@ def empty_tables(counts: DataFrame) -> DataFrame:
         F.lit(rule.flag_type).alias("flag_type"),
         F.lit(rule.abort_yn).alias("abort_yn"),
         F.lit(WHOLE_MARK).cast("long").alias("count"),
+        F.lit(True).alias("whole"),
     )
 
 
@@ -99,11 +101,11 @@ def contents(df: DataFrame, tabid: str) -> DataFrame:
     )
 
 
-def table_size(df: DataFrame, tabid: str) -> DataFrame:
-    """Bytes and files behind a file-based table."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+def table_size(spark: SparkSession, paths: str | list[str], tabid: str) -> DataFrame:
+    """Bytes and files behind a file-based table, from the file listing alone: no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "length")
     return files.agg(
-        F.sum("file_size").alias("filesize"), F.count("*").cast("long").alias("nfiles")
+        F.coalesce(F.sum("length"), F.lit(0)).alias("filesize"), F.count("*").cast("long").alias("nfiles")
     ).select(F.lit(tabid.upper()).alias("tabid"), "filesize", "nfiles")
 
 
@@ -140,6 +142,7 @@ def structure_flags(comp: DataFrame) -> DataFrame:
                 F.col("var").alias("variable"),
                 value.cast("string").alias("value"),
                 F.lit(count).cast("long").alias("count"),
+                F.lit(count == WHOLE_MARK).alias("whole"),
             ),
         )
 
@@ -207,6 +210,7 @@ def population_flags(counts: DataFrame, lookup: DataFrame) -> DataFrame:
         "variable",
         F.lit("_null_").alias("value"),
         F.when(unpopulated, F.lit(WHOLE_MARK)).otherwise(F.col("count_null")).cast("long").alias("count"),
+        unpopulated.alias("whole"),
     ).where("flagid is not null")
 
 

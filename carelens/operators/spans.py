@@ -56,11 +56,13 @@ def _invalid() -> Column:
     return or_lowest(F.col("enr_end")) < or_lowest(F.col("enr_start"))
 
 
-def _first_pass(spans: DataFrame) -> DataFrame:
-    """Each distinct span compared with the previous one of the patient.
+def classified(spans: DataFrame) -> DataFrame:
+    """Each distinct span with its state, from one pass: invalid, D, S, O (flagged), drop, or keep.
 
     In (patient, start, end) order only spans of the same start can repeat their predecessor or
-    lie within it, so the comparison needs no more than the spans of one patient and start.
+    lie within it, so that comparison needs no more than the spans of one patient and start. What
+    stays, at most one span per patient and start day, is compared with the previous one that stays;
+    the other spans keep to windows of their own start.
     """
     same_start = Window.partitionBy("patid", "enr_start").orderBy(*_ordered(*SPAN_KEYS[2:]))
     lagged = spans.select(*SPAN_KEYS).distinct().select(
@@ -69,46 +71,47 @@ def _first_pass(spans: DataFrame) -> DataFrame:
         F.row_number().over(same_start).alias("nth"),
     )
     end, lag_end = or_lowest(F.col("enr_end")), or_lowest(F.col("lag_end"))
-    return lagged.withColumn(
-        "state",
+    first = lagged.select(
+        *SPAN_KEYS,
         F.when(_invalid(), "invalid")
         .when(F.col("nth") == 1, "keep")
         .when(end == lag_end, "D")
         .when((or_lowest(F.col("enr_start")) <= lag_end) & (end <= lag_end), "S")
-        .otherwise("drop"),  # contains its predecessor: neither flagged nor kept
+        .otherwise("drop")  # contains its predecessor: neither flagged nor kept
+        .alias("state"),
     )
-
-
-def _second_pass(first: DataFrame) -> DataFrame:
-    """Kept spans, at most one per patient and start day, compared with the previous kept one."""
-    w = Window.partitionBy("patid").orderBy(*_ordered("enr_start"))
-    kept = first.where("state = 'keep'").select(
-        *SPAN_KEYS,
-        F.lag("enr_end").over(w).alias("lag_end"),
-        F.row_number().over(w).alias("nth"),
+    stays = F.col("state") == "keep"
+    w = Window.partitionBy("patid", "stays", "own").orderBy(*_ordered("enr_start"))
+    second = first.withColumn("stays", stays).withColumn("own", F.when(~stays, F.col("enr_start"))).select(
+        *SPAN_KEYS, "state", "stays", F.lag("enr_end").over(w).alias("lag_end"), F.row_number().over(w).alias("nth")
     )
     lag_end = or_lowest(F.col("lag_end"))
-    overlaps = (or_lowest(F.col("enr_start")) <= lag_end) | (or_lowest(F.col("enr_end")) <= lag_end)
-    return kept.withColumn("state", F.when((F.col("nth") > 1) & overlaps, "O").otherwise("keep"))
+    over = (or_lowest(F.col("enr_start")) <= lag_end) | (or_lowest(F.col("enr_end")) <= lag_end)
+    state = F.when(F.col("stays") & (F.col("nth") > 1) & over, "O").otherwise(F.col("state"))
+    return second.select(*SPAN_KEYS, state.alias("state"))
 
 
-def overlaps(spans: DataFrame) -> DataFrame:
-    """Spans that duplicate, lie within, or overlap an earlier span of the patient."""
-    first = _first_pass(spans)
-    flagged = first.where("state in ('D', 'S')").select(*SPAN_KEYS, "state").unionByName(
-        _second_pass(first).where("state = 'O'").select(*SPAN_KEYS, "state")
-    )
+def flagged(states: DataFrame) -> DataFrame:
+    """The classified spans that duplicate, lie within, or overlap an earlier span of the patient."""
     label = F.when(F.lit(False), "")
     for code, text in OVERLAP.items():
         label = label.when(F.col("state") == code, text)
-    return flagged.select(*SPAN_KEYS, label.alias("dateconflict"))
+    return states.where(F.col("state").isin(*OVERLAP)).select(*SPAN_KEYS, label.alias("dateconflict"))
+
+
+def unflagged(states: DataFrame) -> DataFrame:
+    """The classified spans without the overlapping ones; invalid spans stay."""
+    return states.where("state in ('keep', 'invalid')").select(*SPAN_KEYS)
+
+
+def overlaps(spans: DataFrame) -> DataFrame:
+    """Spans that duplicate, lie within, or overlap an earlier span of the patient."""
+    return flagged(classified(spans))
 
 
 def without_overlaps(spans: DataFrame) -> DataFrame:
     """Distinct spans less the overlapping ones; invalid spans stay."""
-    first = _first_pass(spans)
-    invalid = first.where("state = 'invalid'").select(*SPAN_KEYS)
-    return _second_pass(first).where("state = 'keep'").select(*SPAN_KEYS).unionByName(invalid)
+    return unflagged(classified(spans))
 
 
 def overlap_summary(flagged: DataFrame) -> DataFrame:
@@ -207,7 +210,8 @@ def bridge(spans: DataFrame, keys: list[str], gap: int = BRIDGE_DAYS) -> DataFra
 def merge_periods(spans: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """Spans joined when they overlap or touch: a pause of one day or more separates periods.
 
-    Compares with the latest end so far. Merging is associative, so it runs per start month first
+    A missing end or start counts as the other one, a span without either as none. Compares with the
+    latest end so far. Merging is associative, so it runs per start month first
     and then over the disjoint periods of a patient.
     """
 
@@ -223,7 +227,8 @@ def merge_periods(spans: DataFrame, keys: list[str], start: str, end: str) -> Da
             .drop("period")
         )
 
-    distinct = spans.select(*keys, start, end).distinct().withColumn("month", F.trunc(start, "MM"))
+    known = spans.select(*keys, F.coalesce(start, end).alias(start), F.coalesce(end, start).alias(end))
+    distinct = known.where(F.col(start).isNotNull()).distinct().withColumn("month", F.trunc(start, "MM"))
     return merge(merge(distinct, [*keys, "month"]), keys)
 
 

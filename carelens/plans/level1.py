@@ -52,7 +52,7 @@ def results(
         profile.population_flags(scanned["all_l1_record_count"], lookup)
     )
     rolled = fl.roll_up_values(
-        hits.select("flagid", "variable", "value", "count").unionByName(column_hits)
+        hits.select("flagid", "variable", "value", "count").unionByName(column_hits, allowMissingColumns=True)
     )
     names = lookup.select("flagid", "flag_descr", "flag_type", "abort_yn")
     return {

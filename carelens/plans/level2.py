@@ -22,6 +22,22 @@ from carelens.sources.tables import Tables, table, union_all
 DETAIL = ["mpatid", "cpatid", "encounterid", "adate"]
 
 
+# How messages write the columns' names.
+NAMES = {
+    "mpatid": "MPatID", "cpatid": "CPatID", "encounterid": "EncounterID", "enctype": "EncType", "adate": "ADate", "sex": "Sex",
+    "cbirth_date": "CBirth_Date", "mbirth_date": "MBirth_Date", "matchmethod": "Match_Method",
+}
+
+
+def _named(columns: list[str], text: str, colon: str = ": ") -> Column:
+    """A message that lists columns with their values, dates as month/day/year, and says what is wrong."""
+    listed = []
+    for c in columns:
+        value = F.coalesce(F.date_format(F.col(c), "MM/dd/yyyy") if "date" in c else F.trim(F.col(c).cast("string")), F.lit(""))
+        listed.append(F.concat(F.lit(f"{NAMES.get(c, c)} ("), value, F.lit(")")))
+    return F.concat(F.concat_ws(", ", *listed), F.lit(colon + text))
+
+
 def _l2(check: str, descr: str, abort: str = "N", varid: str = "00") -> Flag:
     return Flag(check, 2, varid, descr, "Abort" if abort == "Y" else "Warn", abort)
 
@@ -69,17 +85,20 @@ def one_table(mil: DataFrame, r: LinkageRules | None = None) -> Tables:
     r = r or LinkageRules()
     found = [fl.row_checks(mil, row_rules(r), DETAIL)]
 
-    def add(rows: DataFrame, f: Flag) -> None:
-        found.append(fl.with_flag(rows.select(*DETAIL), f))
+    def add(rows: DataFrame, f: Flag, message: Column) -> None:
+        found.append(fl.with_flag(rows, f, message).select(*fl.FLAG_COLUMNS, *DETAIL))
 
     for k in r.unlinked_keys:
-        add(keys.unlinked_duplicates(mil, k), _l2("217", "Unlinked mother on more than one row", "Y"))
+        told = _named(k, "Not linked, but variable combination appears on > 1 row")
+        add(keys.unlinked_duplicates(mil, k), _l2("217", "Unlinked mother on more than one row", "Y"), told)
     for k in r.linked_keys:
-        add(keys.linked_duplicates(mil, k), _l2("218", "Linked pair on more than one row", "Y"))
+        told = F.concat(F.lit("Linked: "), _named(k, "but variable combination appears on > 1 row", ":"))
+        add(keys.linked_duplicates(mil, k), _l2("218", "Linked pair on more than one row", "Y"), told)
     for k in r.conflicts:
-        add(keys.linked_value_conflict(mil, k), _l2("219", f"{k[-1]} differs across rows", "Y"))
+        told = F.concat(F.lit("Linked: "), _named(k[:-1], f"{NAMES.get(k[-1], k[-1])} values differ across rows"))
+        add(keys.linked_value_conflict(mil, k), _l2("219", f"{k[-1]} differs across rows", "Y"), told)
     for k in r.infant_keys:
-        add(keys.infant_duplicates(mil, k), _l2("272", "Infant on more than one row"))
+        add(keys.infant_duplicates(mil, k), _l2("272", "Infant on more than one row"), _named(k, "Must appear on only 1 row"))
     per_encounter = linkage.deliveries_per_encounter(mil)
     over = linkage.over_birth_type(per_encounter)
     found.append(fl.with_flag(over, _l2("223", "More delivery rows than the birth type says")))
@@ -114,33 +133,47 @@ def across_tables(tables: Tables) -> Tables:
     return out
 
 
-def enrollment(enr: DataFrame) -> Tables:
-    """Overlapping, unbridged and invalid enrollment spans."""
-    flagged, kept = spans.overlaps(enr), spans.without_overlaps(enr)
+def span_states(enr: DataFrame) -> Tables:
+    """Every distinct enrollment span with its state, the working table of `enrollment`."""
+    return {"enr_l2_states_mstr": spans.classified(enr)}
+
+
+def enrollment(states: DataFrame) -> Tables:
+    """Overlapping, unbridged and invalid enrollment spans, from the written states."""
+    flagged = spans.flagged(states)
     found = [
         fl.with_flag(flagged, Flag("215", 2, "00", "Overlapping enrollment spans", tabid="ENR")),
         fl.with_flag(
-            spans.unbridged(kept), Flag("216", 2, "00", "Consecutive spans not bridged", tabid="ENR")
+            spans.unbridged(spans.unflagged(states)), Flag("216", 2, "00", "Consecutive spans not bridged", tabid="ENR")
         ),
         fl.with_flag(
-            spans.invalid_spans(enr.select(*spans.SPAN_KEYS)),
+            states.where("state = 'invalid'").select(*spans.SPAN_KEYS),
             Flag("226", 2, "00", "Span ends before it starts", tabid="ENR"),
         ),
     ]
     return {"enr_l2_mstr": union_all(found), "enr_l2_overlap": spans.overlap_summary(flagged)}
 
 
-def masters(tables: Tables, r: LinkageRules | None = None) -> Tables:
-    """Every level 2 table the given tables allow."""
-    out = one_table(table(tables, "mil"), r) | across_tables(tables)
+def aggregates(tables: Tables) -> Tables:
+    """What level 2 publishes beside flags: surplus keys, presence and value matrices, completeness, value lengths."""
+    mil, out = table(tables, "mil"), {}
+    found = [keys.surplus_duplicates(mil, ["mpatid", "cpatid", "adate"], "mil")]
     if "enr" in tables:
-        out |= enrollment(tables["enr"])
+        found.append(keys.surplus_duplicates(tables["enr"], spans.SPAN_KEYS, "enr"))
+    out["l2_surplus_duplicates"] = union_all(found)
+    patients = {n: (tables[n], "patid") for n in ("enr", "dem", "enc", "dis", "lab", "vit", "dth", "cod") if n in tables}
+    if len(patients) > 1:
+        out["l2_presence_matrix"] = cross.presence_matrix(patients)
+        lengths = cross.value_lengths({n: df for n, (df, _) in patients.items()}, "patid")
+        out["l2_value_lengths"] = lengths
     return out
 
 
-def results(written: Tables) -> Tables:
-    """Flag counts over the written masters of flagged rows."""
+def results(written: Tables, only_abort: bool = False) -> Tables:
+    """Flag counts over the written masters of flagged rows; of an aborted level, those of abort flags alone."""
     flagged = [df for df in written.values() if "flagid" in df.columns]
+    if only_abort:
+        flagged = [df.where("abort_yn = 'Y'") for df in flagged]
     return {"all_l2_flags": fl.roll_up([fl.count_rows(f) for f in flagged])}
 
 

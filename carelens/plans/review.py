@@ -52,8 +52,12 @@ def review(
     window: tuple[Column, Column] | None = None,
     rules: LinkageRules | None = None,
     maxdate: Column | None = None,
+    previous: DataFrame | None = None,
 ) -> Outcome:
-    """Levels 1 to 3 of the linkage table, then the population summaries."""
+    """Levels 1 to 3 of the linkage table, then the population summaries.
+
+    `previous`, the flag counts of the load before, adds the comparison for sign-off.
+    """
     done = Outcome()
 
     def put(level: int, built: Tables) -> Tables:
@@ -75,11 +79,25 @@ def review(
     first = put(1, level1.results(spark, scanned, mil.schema))
     if stop(first["all_l1_flags"]):
         return done
-    second = put(2, level2.results(put(2, level2.masters(tables, rules))))
+    # The table on its own first: a fatal flag there ends the level, and only fatal flags are counted.
+    own = put(2, level2.one_table(mil, rules))
+    if not own["l2_mstr"].where("abort_yn = 'Y'").isEmpty():
+        stop(put(2, level2.results(own, only_abort=True))["all_l2_flags"])
+        return done
+    masters = own | put(2, level2.across_tables(tables))
+    if "enr" in tables:
+        states = put(2, level2.span_states(tables["enr"]))["enr_l2_states_mstr"]
+        masters |= put(2, level2.enrollment(states))
+    fatal = [df for df in masters.values() if "abort_yn" in df.columns]
+    aborted = any(not df.where("abort_yn = 'Y'").isEmpty() for df in fatal)
+    second = put(2, level2.results(masters, only_abort=aborted))
     if stop(second["all_l2_flags"]):
         return done
+    put(2, level2.aggregates(tables))
     put(3, level3.results(put(3, level3.masters(mil))))
-    put(3, {"all_l1_l2_flags": fl.roll_up([first["all_l1_flags"], second["all_l2_flags"]])})
+    both = put(3, {"all_l1_l2_flags": fl.roll_up([first["all_l1_flags"], second["all_l2_flags"]])})
+    if previous is not None:
+        put(3, {"sign_off": level3.sign_off(both["all_l1_l2_flags"].drop("dp", "whole"), previous)})
     if maxdate is not None:
         periods = put(4, snapshot.periods(tables))["enr_final_mstr"]
         put(4, snapshot.summaries(tables, periods, maxdate))

@@ -151,18 +151,21 @@ _KEYS = ["flagid", *_IDS]
 
 
 def _results(d: Data) -> tuple[DataFrame, DataFrame]:
-    """The linkage flags, and a second run that lost, gained and changed some."""
+    """The linkage flags, and a second run that lost, gained, changed and repeated some; and took no id for an empty one."""
     mil = d("mil")
     expected = linkage.linkage_gaps(mil, [*_IDS, "age", "sex", "birth_type"])
+    expected = expected.unionByName(expected.where("age = 21"))
     lost = expected.where("age <> 15 and flagid <> 'MIL_3_00_00-0_397'")
     changed = lost.withColumns(
         {
             "abort_yn": F.when(F.col("birth_type") == 4, "Y").otherwise(F.col("abort_yn")),
             "message": F.when(F.col("sex") == "F", "reworded").otherwise(F.col("message")),
+            "cpatid": F.when(F.col("age") == 30, F.coalesce("cpatid", F.lit(""))).otherwise(F.col("cpatid")),
         }
     )
     gained = fl.with_flag(mil.where("birth_type = 9"), _GAINED).select(*changed.columns)
-    return expected.drop("age", "sex", "birth_type"), changed.unionByName(gained).drop("age", "sex", "birth_type")
+    changed = changed.unionByName(gained).unionByName(changed.where("age = 22"))
+    return expected.drop("age", "sex", "birth_type"), changed.drop("age", "sex", "birth_type")
 
 
 _GAINED = fl.Flag("121", 1, "05", "Invalid data value")
@@ -170,28 +173,28 @@ _GAINED = fl.Flag("121", 1, "05", "Invalid data value")
 
 def _results_sql() -> str:
     more = ", age, sex, birth_type FROM mil WHERE"
-    e = " UNION ALL ".join(_gap_sql(c).replace(" FROM mil WHERE", more) for c in _GAPS)
+    gaps = " UNION ALL ".join(_gap_sql(c).replace(" FROM mil WHERE", more) for c in _GAPS)
+    fields = {"flag_descr": "strict", "flag_type": "strict", "abort_yn": "strict", "message": "message"}
     cols = ", ".join(["flagid", "flag_descr", "message", "flag_type", "abort_yn", *_IDS])
-    changed = f"""SELECT flagid, flag_descr, CASE WHEN sex = 'F' THEN 'reworded' ELSE message END AS message, flag_type,
-      CASE WHEN birth_type = 4 THEN 'Y' ELSE abort_yn END AS abort_yn, {", ".join(_IDS)} FROM e0 WHERE age <> 15 AND flagid <> 'MIL_3_00_00-0_397'
-      UNION ALL SELECT 'MIL_1_05_00-0_121', 'Invalid data value', '', 'Warn', 'N', {", ".join(_IDS)} FROM mil WHERE birth_type = 9"""
-    key = "flagid || '|' || COALESCE(mpatid, '') || '|' || COALESCE(cpatid, '') || '|' || COALESCE(encounterid, '') || '|' || COALESCE(CAST(adate AS VARCHAR), '')"
-    fields = ["flag_descr", "flag_type", "abort_yn", "message"]
-    grouped = ", ".join(f"MIN({f}) AS lo_{f}, MAX({f}) AS hi_{f}" for f in fields)
-    side = "SELECT " + key + f" AS key, COUNT(*) AS n, {grouped} FROM {{}} GROUP BY 1"
-    parts = [
-        "SELECT 'missing' AS kind, a.key, '' AS field, CAST(a.n AS VARCHAR) AS expected, CAST(NULL AS VARCHAR) AS actual FROM ga a LEFT JOIN gb b ON a.key = b.key WHERE b.key IS NULL",
-        "SELECT 'unexpected', b.key, '', NULL, CAST(b.n AS VARCHAR) FROM gb b LEFT JOIN ga a ON a.key = b.key WHERE a.key IS NULL",
-        *[
-            f"SELECT '{'message' if f == 'message' else 'strict'}', a.key, '{f}', a.lo_{f}, b.lo_{f} FROM ga a JOIN gb b ON a.key = b.key"
-            f" WHERE a.lo_{f} IS DISTINCT FROM b.lo_{f} OR a.hi_{f} IS DISTINCT FROM b.hi_{f}"
-            for f in fields
-        ],
-        "SELECT 'flagid_expected_only', flagid, 'flagid', flagid, NULL FROM (SELECT flagid FROM ea EXCEPT SELECT flagid FROM eb) AS p",
-        "SELECT 'flagid_actual_only', flagid, 'flagid', NULL, flagid FROM (SELECT flagid FROM eb EXCEPT SELECT flagid FROM ea) AS q",
-    ]
-    return f"""WITH e0 AS ({e}), ea AS (SELECT {cols} FROM e0), eb AS ({changed}), ga AS ({side.format("ea")}), gb AS ({side.format("eb")}),
-      diffs AS ({" UNION ALL ".join(parts)}) """
+    ids = ", ".join("CASE WHEN age = 30 THEN COALESCE(cpatid, '') ELSE cpatid END AS cpatid" if c == "cpatid" else c for c in _IDS)
+    keys = ", ".join(_KEYS)
+    key = " || '|' || ".join(f"COALESCE(CAST({k} AS VARCHAR), '(null)')" for k in _KEYS)
+    same = " AND ".join(f"d.{k} IS NOT DISTINCT FROM k.{k}" for k in _KEYS)
+    values = " UNION ALL ".join(f"SELECT {keys}, '{kind}' AS kind, '{f}' AS field, {f} AS value, e, a FROM t WHERE e <> a" for f, kind in fields.items())
+    return f"""WITH g AS ({gaps}), e0 AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE age = 21),
+      c0 AS (SELECT flagid, flag_descr, CASE WHEN sex = 'F' THEN 'reworded' ELSE message END AS message, flag_type,
+        CASE WHEN birth_type = 4 THEN 'Y' ELSE abort_yn END AS abort_yn, {ids}, age FROM e0 WHERE age <> 15 AND flagid <> 'MIL_3_00_00-0_397'),
+      b0 AS (SELECT {cols} FROM c0 UNION ALL SELECT {cols} FROM c0 WHERE age = 22
+        UNION ALL SELECT 'MIL_1_05_00-0_121', 'Invalid data value', '', 'Warn', 'N', {", ".join(_IDS)} FROM mil WHERE birth_type = 9),
+      t AS (SELECT {cols}, CAST(SUM(x) AS BIGINT) AS e, CAST(SUM(y) AS BIGINT) AS a
+        FROM (SELECT {cols}, 1 AS x, 0 AS y FROM e0 UNION ALL SELECT {cols}, 0, 1 FROM b0) GROUP BY {cols}),
+      k AS (SELECT {keys}, CAST(SUM(e) AS BIGINT) AS e, CAST(SUM(a) AS BIGINT) AS a FROM t GROUP BY {keys}),
+      d AS (SELECT {keys}, kind, field, value, CAST(SUM(e) AS BIGINT) AS e, CAST(SUM(a) AS BIGINT) AS a FROM ({values}) GROUP BY ALL HAVING SUM(e) <> SUM(a)),
+      f AS (SELECT flagid, CAST(SUM(e) AS BIGINT) AS e, CAST(SUM(a) AS BIGINT) AS a FROM k GROUP BY flagid),
+      diffs AS (
+        SELECT CASE WHEN a = 0 THEN 'missing' WHEN e = 0 THEN 'unexpected' ELSE 'rows' END AS kind, {key} AS key, '' AS field, CAST(NULL AS VARCHAR) AS value, e AS n_expected, a AS n_actual FROM k WHERE e <> a
+        UNION ALL SELECT d.kind, {key.replace("CAST(", "CAST(d.")}, field, value, d.e, d.a FROM d JOIN k ON {same} WHERE k.e > 0 AND k.a > 0
+        UNION ALL SELECT CASE WHEN a = 0 THEN 'flagid_expected_only' ELSE 'flagid_actual_only' END, flagid, 'flagid', flagid, e, a FROM f WHERE e = 0 OR a = 0) """
 
 
 @query("t6_result_differences", _results_sql() + "SELECT * FROM diffs")
@@ -203,7 +206,8 @@ def _(d: Data) -> DataFrame:
     "t6_is_match",
     _results_sql()
     + """SELECT COUNT(*) FILTER (WHERE kind <> 'message') = 0 AS is_match, COUNT(*) FILTER (WHERE kind = 'missing') AS missing,
-      COUNT(*) FILTER (WHERE kind = 'unexpected') AS unexpected, COUNT(*) FILTER (WHERE kind = 'strict') AS strict,
+      COUNT(*) FILTER (WHERE kind = 'unexpected') AS unexpected,
+      COUNT(*) FILTER (WHERE kind = 'rows') AS rows, COUNT(*) FILTER (WHERE kind = 'strict') AS strict,
       COUNT(*) FILTER (WHERE kind = 'message') AS message, COUNT(*) FILTER (WHERE kind LIKE 'flagid%') AS flagid FROM diffs""",
 )
 def _(d: Data) -> DataFrame:
@@ -242,9 +246,8 @@ _NOTE = " OR ".join(
 )
 
 
-@query(
-    "t8_log_lines",
-    f"""WITH w AS (SELECT *, LOWER(logline) AS t, LOWER(SPLIT_PART(TRIM(logline), ' ', 1)) AS w1, LOWER(SPLIT_PART(TRIM(logline), ' ', 2)) AS w2 FROM ({LOG_LINES}) AS s),
+def _classified_sql(lines: str) -> str:
+    return f"""WITH w AS (SELECT *, LOWER(logline) AS t, LOWER(SPLIT_PART(TRIM(logline), ' ', 1)) AS w1, LOWER(SPLIT_PART(TRIM(logline), ' ', 2)) AS w2 FROM ({lines}) AS s),
       m AS (SELECT *, CASE WHEN w1 LIKE 'mprint%' THEN SUBSTRING(w1, 8, LENGTH(w1) - 9) END AS mac,
         CASE WHEN w1 LIKE '%warning%' AND w2 LIKE '%package%' THEN 'Package Warning' WHEN w1 LIKE '%error%' AND w2 LIKE '%package%' THEN 'Package Error'
              WHEN REGEXP_MATCHES(w1, '\\berror\\b') THEN 'SAS Error' WHEN REGEXP_MATCHES(w1, '\\bwarning\\b') THEN 'SAS Warning'
@@ -253,7 +256,24 @@ _NOTE = " OR ".join(
         WINDOW o AS (PARTITION BY logname ORDER BY logline_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
       l AS (SELECT CASE WHEN description = 'SAS Note' AND t NOT LIKE '%data step stopped due to looping%' AND ({_NOTE}) THEN 5
         WHEN des = 'Package Warning' THEN 4 WHEN des = 'Package Error' THEN 2 WHEN des = 'SAS Error' THEN 1 WHEN des = 'SAS Warning' THEN 3 END AS level, * FROM f)
-      SELECT level, description, logname, logline_number, logline, macro FROM l WHERE level IS NOT NULL""",
-)
+      SELECT level, description, logname, logline_number, logline, macro FROM l WHERE level IS NOT NULL"""
+
+
+@query("t8_log_lines", _classified_sql(LOG_LINES))
 def _(d: Data) -> DataFrame:
     return logs.classify_lines(d.sql(LOG_LINES))
+
+
+# the documents as logs, each line behind a word that its number and its document decide
+_SPOKEN = """CASE (doc_id + n) % 6 WHEN 0 THEN 'NOTE: ' WHEN 1 THEN 'ERROR: (Package) ' WHEN 2 THEN 'MPRINT(M' || CAST(doc_id % 9 AS STRING) || '):  '
+  WHEN 3 THEN 'WARNING: ' WHEN 4 THEN 'NOTE: converted ' ELSE '' END || line AS logline"""
+_DOC_LINES = f"""SELECT 'doc' || CAST(doc_id AS VARCHAR) AS logname, CAST(n AS BIGINT) AS logline_number, {_SPOKEN.replace("STRING", "VARCHAR")}
+  FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents) AS a) AS b"""
+
+
+@query("t8_document_lines", _classified_sql(_DOC_LINES))
+def _(d: Data) -> DataFrame:
+    split = d("documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    numbered = split.withColumn("n", F.col("i") + 1)
+    named = [F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("logname"), F.col("n").cast("long").alias("logline_number")]
+    return logs.classify_lines(numbered.select(*named, F.expr(_SPOKEN)))

@@ -320,7 +320,7 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "k26_count_flags",
-    """SELECT flagid, abort_yn, flag_type, flag_descr, COUNT(*) AS count FROM (
+    """SELECT flagid, abort_yn, flag_type, flag_descr, COUNT(*) AS count, FALSE AS whole FROM (
        SELECT 'MIL_2_00_00-0_201' AS flagid, 'N' AS abort_yn, 'Warn' AS flag_type, 'Date ADate outside valid range' AS flag_descr
        FROM mil WHERE adate < DATE '1996-01-01' OR adate > DATE '2000-12-31'
        UNION ALL SELECT 'MIL_2_00_00-0_204', 'N', 'Warn', 'Variable Birth_Type has invalid value' FROM mil WHERE birth_type NOT BETWEEN 1 AND 8
@@ -338,16 +338,44 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "k26_sum_counts",
-    """SELECT 'MIL_2_00_00-0_211' AS flagid, 'N' AS abort_yn, 'Warn' AS flag_type,
-       'Duplicate records by MPatID, CPatID, ADate' AS flag_descr, CAST(SUM(n - 1) AS BIGINT) AS count
-       FROM (SELECT COUNT(*) AS n FROM mil GROUP BY mpatid, cpatid, adate) AS g""",
+    """WITH t AS (SELECT CAST(SUM(n - 1) AS BIGINT) AS count FROM (SELECT COUNT(*) AS n FROM mil GROUP BY mpatid, cpatid, adate) AS g),
+       e AS (SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS count FROM (SELECT COUNT(*) AS n FROM enr GROUP BY patid, enr_start, enr_end, medcov, drugcov, chart) AS g)
+       SELECT 'MIL_2_00_00-0_211' AS flagid, 'N' AS abort_yn, 'Warn' AS flag_type,
+       'Duplicate records by MPatID, CPatID, ADate' AS flag_descr, count + 99999 AS count, FALSE AS whole FROM t
+       UNION ALL SELECT NULL, NULL, NULL, NULL, count, FALSE FROM e
+       UNION ALL SELECT 'MIL_1_00_00-0_101', 'Y', 'Abort', 'Table is not populated', 99999, TRUE FROM t""",
 )
 def _(d: Data) -> DataFrame:
+    """Surplus rows of two tables, of which the lookup knows one; a count that equals the mark; a mark beside a larger count."""
     dup = keys.surplus_duplicates(d("mil"), IDS[:3], "mil").unionByName(
         keys.surplus_duplicates(d("enr"), spans.SPAN_KEYS, "enr")
     )
-    named = dup.select(F.col("tabid").alias("tableid"), F.lit("211").alias("checkid"), "count_dup")
-    return fl.count_flags(named, flags_frame(d.spark), ["checkid", "tableid"], "count_dup")
+    named = dup.select(F.col("tabid").alias("tableid"), F.lit("211").alias("checkid"), "count_dup", F.lit(False).alias("whole"))
+    marks = d("mil").agg(F.count("*").alias("n")).select(F.inline(F.array(*[
+        F.struct(F.lit("MIL").alias("tableid"), F.lit(c).alias("checkid"), (F.lit(n) + 0 * F.col("n")).cast("long").alias("count_dup"), F.lit(w).alias("whole"))
+        for c, n, w in (("211", 99999, False), ("101", 99999, True), ("101", 150000, False))
+    ])))
+    return fl.count_flags(named.unionByName(marks), flags_frame(d.spark), ["checkid", "tableid"], "count_dup")
+
+
+@query(
+    "k26_two_tables",
+    """WITH r AS (SELECT 'ENR' AS table2, COUNT(DISTINCT mpatid) AS n FROM mil WHERE mpatid NOT IN (SELECT patid FROM enr WHERE patid IS NOT NULL)
+       UNION ALL SELECT 'DTH', COUNT(DISTINCT mpatid) FROM mil WHERE mpatid NOT IN (SELECT patid FROM dth WHERE patid IS NOT NULL))
+       SELECT 'MIL_2_00_00-0_221' AS flagid, 'N' AS abort_yn, 'Warn' AS flag_type, 'MIL records without matching enr record' AS flag_descr,
+              n AS count, FALSE AS whole FROM r WHERE table2 = 'ENR' AND n > 0
+       UNION ALL SELECT NULL, NULL, NULL, NULL, n, FALSE FROM r WHERE table2 = 'DTH' AND n > 0""",
+)
+def _(d: Data) -> DataFrame:
+    """Mothers that two other tables lack; the lookup names one of the two pairs of tables."""
+    lost = [
+        cross.not_in_reference(d("mil"), d(t), {"mpatid": "patid"}).select(
+            F.lit("221").alias("checkid"), F.lit("MIL").alias("table1"), F.lit(t.upper()).alias("table2")
+        )
+        for t in ("enr", "dth")
+    ]
+    lookup = flags_frame(d.spark).withColumnRenamed("tableid", "table1").withColumn("table2", F.lit("ENR"))
+    return fl.count_flags(lost[0].unionByName(lost[1]), lookup, ["checkid", "table1", "table2"])
 
 
 # --- across tables --------------------------------------------------------------------------

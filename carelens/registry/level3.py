@@ -96,13 +96,22 @@ def _(d: Data) -> DataFrame:
 _L3 = f"SELECT flagid, abort_yn, flag_type, flag_descr, COUNT(*) AS count FROM ({_MSG}) AS m GROUP BY ALL"
 
 
-@query("c6_roll_up", f"""SELECT flagid, abort_yn, flag_type, flag_descr, CAST(SUM(count) AS BIGINT) AS count FROM ({_L3}
-  UNION ALL SELECT 'MIL_1_06_00-0_126', 'N', 'Warn', 'Age value outside range 10-54', COUNT(*) FROM mil WHERE age < 10 OR age > 54
-  UNION ALL SELECT 'MIL_1_06_00-0_126', 'N', 'Warn', 'Age value outside range 10-54', COUNT(*) FROM mil WHERE age > 54) AS u GROUP BY ALL""")
+# A count that equals the mark, beside another; and an empty table's mark beside a larger count.
+_MARKS = """SELECT 'MIL_1_05_00-0_121' AS flagid, 'N' AS abort_yn, 'Warn' AS flag_type, 'Invalid data value' AS flag_descr, CAST(99999 + 0 * COUNT(*) AS BIGINT) AS count, FALSE AS whole FROM mil
+  UNION ALL SELECT 'MIL_1_05_00-0_121', 'N', 'Warn', 'Invalid data value', CAST(5 + 0 * COUNT(*) AS BIGINT), FALSE FROM mil
+  UNION ALL SELECT 'MIL_1_00_00-0_101', 'Y', 'Abort', 'Table is not populated', CAST(99999 + 0 * COUNT(*) AS BIGINT), TRUE FROM mil
+  UNION ALL SELECT 'MIL_1_00_00-0_101', 'Y', 'Abort', 'Table is not populated', CAST(150000 + COUNT(*) AS BIGINT), FALSE FROM mil"""
+
+
+@query("c6_roll_up", f"""SELECT flagid, abort_yn, flag_type, flag_descr, CAST(CASE WHEN BOOL_OR(whole) THEN 99999 ELSE SUM(count) END AS BIGINT) AS count, BOOL_OR(whole) AS whole FROM (
+  SELECT *, FALSE AS whole FROM ({_L3}) AS l
+  UNION ALL SELECT 'MIL_1_06_00-0_126', 'N', 'Warn', 'Age value outside range 10-54', COUNT(*), FALSE FROM mil WHERE age < 10 OR age > 54 HAVING COUNT(*) > 0
+  UNION ALL SELECT 'MIL_1_06_00-0_126', 'N', 'Warn', 'Age value outside range 10-54', COUNT(*), FALSE FROM mil WHERE age > 54 HAVING COUNT(*) > 0
+  UNION ALL SELECT * FROM ({_MARKS}) AS m) AS u GROUP BY 1, 2, 3, 4""")
 def _(d: Data) -> DataFrame:
     mil, f = d("mil"), flag("126")
     ages = [fl.with_flag(mil.where(c).select(), f) for c in ("age < 10 or age > 54", "age > 54")]
-    return fl.roll_up([fl.count_rows(x) for x in (_l3_flags(d), *ages)])
+    return fl.roll_up([*[fl.count_rows(x) for x in (_l3_flags(d), *ages)], d.sql(_MARKS)])
 
 
 # --- derived columns and cross tabs ---------------------------------------------------------

@@ -45,22 +45,21 @@ def _(d: Data) -> DataFrame:
     return profile.contents(d("part"), "part")
 
 
-@query("x1_native_customers", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+@query("x1_native_customers", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")
 def _(d: Data) -> DataFrame:
-    open_orders = d("orders").where("o_orderstatus = 'P'")
-    return cross.not_in_reference(d("customer"), open_orders, {"c_custkey": "o_custkey"})
+    return cross.not_in_reference(d("customer"), d("events"), {"c_custkey": "user_id"})
 
 
 @query(
     "x12_native_dates",
-    """SELECT a.user_id, COUNT(*) AS n_pairs FROM (SELECT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase') AS a
-       JOIN (SELECT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'signup') AS b ON a.user_id = b.user_id WHERE a.d > b.d GROUP BY 1
-       UNION ALL SELECT user_id, COUNT(*) FROM events WHERE event_type = 'purchase' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup') GROUP BY 1""",
+    """SELECT a.user_id, COUNT(*) AS n_pairs FROM (SELECT user_id, CAST(ts AS DATE) AS d FROM events) AS a
+       JOIN (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders) AS b ON a.user_id = b.o_custkey WHERE a.d > b.d GROUP BY 1
+       UNION ALL SELECT user_id, COUNT(*) FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders) GROUP BY 1""",
 )
 def _(d: Data) -> DataFrame:
-    day = d("events").select("user_id", "event_type", F.col("ts").cast("date").alias("d"))
-    bought, joined = (day.where(F.col("event_type") == t).drop("event_type") for t in ("purchase", "signup"))
-    return cross.date_order_pairs(bought, joined, "d", "d", later=True, key="user_id")
+    seen = d("events").select("user_id", F.col("ts").cast("date").alias("d"))
+    ordered = d("orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("date").alias("d"))
+    return cross.date_order_pairs(seen, ordered, "d", "d", later=True, key="user_id")
 
 
 @query(
@@ -105,7 +104,7 @@ def _(d: Data) -> DataFrame:
 
 
 # every event holds its user for as many days as its id says
-SPANS = "SELECT user_id, CAST(ts AS DATE) AS first_day, CAST(ts AS DATE) + CAST(event_id % 3 AS INT) AS last_day FROM events WHERE event_type = 'error'"
+SPANS = "SELECT user_id, CAST(ts AS DATE) AS first_day, CAST(ts AS DATE) + CAST(event_id % 3 AS INT) AS last_day FROM events"
 
 
 @query(
@@ -122,11 +121,11 @@ def _(d: Data) -> DataFrame:
 @query(
     "x10_native_event_coverage",
     f"""SELECT user_id, day, COUNT(*) AS n, (SELECT COUNT(*) FROM ({SPANS}) AS s WHERE s.user_id = q.user_id AND q.day BETWEEN s.first_day AND s.last_day) AS open_spans
-      FROM (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click') AS q GROUP BY user_id, day""",
+      FROM (SELECT user_id, CAST(ts AS DATE) AS day FROM events) AS q GROUP BY user_id, day""",
 )
 def _(d: Data) -> DataFrame:
-    clicks = d("events").where("event_type = 'click'").select("user_id", F.col("ts").cast("date").alias("d"))
-    days = spans.day_coverage(clicks, d.sql(SPANS), ["user_id"], "d", start="first_day", end="last_day")
+    seen = d("events").select("user_id", F.col("ts").cast("date").alias("d"))
+    days = spans.day_coverage(seen, d.sql(SPANS), ["user_id"], "d", start="first_day", end="last_day")
     return days.select("user_id", "day", "n", "open_spans")
 
 

@@ -54,7 +54,7 @@ def _(d: Data) -> DataFrame:
 _LOW = "DATE '0001-01-01'"
 _PERIODS = f"""WITH src AS (SELECT DISTINCT cov, patid, enr_start, enr_end FROM ({_E4}) AS e4),
   l AS (SELECT *, LAG(enr_end) OVER w AS le, ROW_NUMBER() OVER w AS rn FROM src
-        WINDOW w AS (PARTITION BY cov, patid ORDER BY enr_start NULLS FIRST, enr_end NULLS FIRST)),
+        WINDOW w AS (PARTITION BY cov, patid ORDER BY enr_start, enr_end)),
   f AS (SELECT *, SUM(CASE WHEN rn > 1 AND COALESCE(enr_start, {_LOW}) > COALESCE(le + 46, {_LOW}) THEN 1 ELSE 0 END)
           OVER (PARTITION BY cov, patid ORDER BY rn) AS period FROM l),
   periods AS (SELECT cov, patid, MIN(enr_start) AS enr_start, MAX(enr_end) AS enr_end FROM f GROUP BY cov, patid, period),
@@ -77,14 +77,14 @@ def _(d: Data) -> DataFrame:
 
 @query(
     "e6_merge_periods",
-    f"""WITH src AS (SELECT DISTINCT patid, enr_start, enr_end FROM ({MESSY}) AS m WHERE enr_start IS NOT NULL AND enr_end IS NOT NULL),
+    f"""WITH src AS (SELECT DISTINCT patid, COALESCE(enr_start, enr_end) AS enr_start, COALESCE(enr_end, enr_start) AS enr_end FROM ({MESSY}) AS m
+        WHERE enr_start IS NOT NULL OR enr_end IS NOT NULL),
       r AS (SELECT *, MAX(enr_end) OVER (PARTITION BY patid ORDER BY enr_start, enr_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM src),
       f AS (SELECT *, SUM(CASE WHEN enr_start > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY patid ORDER BY enr_start, enr_end) AS period FROM r)
       SELECT patid, MIN(enr_start) AS enr_start, MAX(enr_end) AS enr_end FROM f GROUP BY patid, period""",
 )
 def _(d: Data) -> DataFrame:
-    whole = messy(d).where("enr_start IS NOT NULL AND enr_end IS NOT NULL")
-    return spans.merge_periods(whole, ["patid"], "enr_start", "enr_end")
+    return spans.merge_periods(messy(d), ["patid"], "enr_start", "enr_end")
 
 
 @query("e7_enrolled", _PERIODS + "SELECT DISTINCT cov, patid FROM periods")
@@ -233,12 +233,11 @@ def _(d: Data) -> DataFrame:
     "v2_encounters",
     _PERIODS
     + _inside_sql(
-        "md", "SELECT * FROM enc WHERE adate < DATE '2000-01-01' OR NOT EXISTS (SELECT 1 FROM del WHERE del.mpatid = enc.patid AND del.encounterid = enc.encounterid)", "adate"
+        "md", "SELECT * FROM enc WHERE NOT EXISTS (SELECT 1 FROM del WHERE del.mpatid = enc.patid AND del.encounterid = enc.encounterid)", "adate"
     ),
 )
 def _(d: Data) -> DataFrame:
-    late = d("del").join(d("enc").where("adate >= DATE '2000-01-01' OR adate IS NULL").select("encounterid"), "encounterid")
-    kept = spans.exclude(d("enc"), late, {"patid": "mpatid", "encounterid": "encounterid"})
+    kept = spans.exclude(d("enc"), d("del"), {"patid": "mpatid", "encounterid": "encounterid"})
     return summary.records_in_enrollment(kept, periods(d, "md"), "adate", ["md"])
 
 

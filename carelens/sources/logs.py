@@ -16,9 +16,11 @@ LINES_PER_GROUP = 100_000
 
 
 def read_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """(logname, logline_number, logline) of every text file, each file split over many tasks.
+    """(path, logname, logline_number, logline) of every text file, each file split over many tasks.
 
-    A line's number is its position within its file block plus the lines of the earlier blocks.
+    A line's number is its position within its file block plus the lines of the earlier blocks. A
+    file whose compression cannot be split is one block. Files of one name in different folders
+    differ by path.
     """
     lines = spark.read.text(directory).select(
         F.col("_metadata.file_path").alias("path"),
@@ -35,6 +37,7 @@ def read_lines(spark: SparkSession, directory: str) -> DataFrame:
         lines.withColumn("nth", within)
         .join(starts, ["path", "block"])
         .select(
+            "path",
             F.element_at(F.split("path", "/"), -1).alias("logname"),
             (F.col("before") + F.col("nth")).alias("logline_number"),
             "logline",
@@ -73,11 +76,13 @@ def classify_lines(lines: DataFrame, tag: str = "package", notes: list[str] = NO
 
     Levels: 1 error, 2 error raised by the package itself (its second word holds `tag`), 3 warning,
     4 warning by the package, 5 note with one of the listed texts. The macro is the last one a line
-    named; a macro line also keeps the last description.
+    named; a macro line also keeps the last description. A log is known by its path where lines have
+    one, else by its name.
     """
+    log = "path" if "path" in lines.columns else "logname"
     words = F.split(F.trim("logline"), " +")
     word1, word2 = F.lower(words[0]), F.lower(F.coalesce(F.get(words, F.lit(1)), F.lit("")))
-    told = lines.select("logname", "logline_number", "logline", word1.alias("w1"), word2.alias("w2")).where(
+    told = lines.select(*dict.fromkeys([log, "logname"]), "logline_number", "logline", word1.alias("w1"), word2.alias("w2")).where(
         F.left("w1", F.lit(4)).isin("note", "erro", "warn", "mpri")
     )
     macro = F.when(
@@ -97,15 +102,15 @@ def classify_lines(lines: DataFrame, tag: str = "package", notes: list[str] = NO
     )
     level = F.when(own_warning, 4).when(own_error, 2).when(error, 1).when(warning, 3)
     marked = told.select(
-        "logname", "logline_number", "logline",
+        *dict.fromkeys([log, "logname"]), "logline_number", "logline",
         macro.alias("macro"), description.alias("description"), level.alias("level"),
     )
-    filled = fill_forward(marked, "logname", "logline_number", ["macro", "description"])
+    filled = fill_forward(marked, log, "logline_number", ["macro", "description"])
     notable = (F.col("description") == "SAS Note") & _mentions(F.lower("logline"), notes)
     return filled.withColumn(
         "level", F.when(notable, 5).otherwise(F.col("level"))
     ).where("level is not null").select(
-        "level", "description", "logname", "logline_number", "logline", "macro"
+        "level", "description", *dict.fromkeys([log, "logname"]), "logline_number", "logline", "macro"
     )
 
 

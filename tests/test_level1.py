@@ -46,7 +46,7 @@ def test_wrong_type_and_declared_length(spark):
 def test_unpopulated_takes_the_place_of_null_count(spark, rows):
     df = mil(spark, ("M1", None, "2020-01-01", "E1", 1, 20), (None, None, "2020-01-01", "E1", 1, 20))
     got = profile.population_flags(profile.value_counts(df, VARIABLE_RULES), flags_frame(spark))
-    assert rows(got) == [("MIL_1_01_00-0_120", "MPatID", "_null_", 1), ("MIL_1_02_00-0_111", "CPatID", "_null_", WHOLE_MARK)]
+    assert rows(got) == [("MIL_1_01_00-0_120", "MPatID", "_null_", 1, False), ("MIL_1_02_00-0_111", "CPatID", "_null_", WHOLE_MARK, True)]
 
 
 def test_special_missing_counts_apart(spark):
@@ -99,17 +99,49 @@ def test_long_ids_and_null_rows(spark):
     assert sorted(r.variable for r in got) == ["Birth_Type", "MPatID"]
 
 
-def test_whole_table_mark_is_kept_not_summed(spark):
-    df = spark.createDataFrame([("f", "v", "x", WHOLE_MARK), ("f", "v", "x", WHOLE_MARK), ("g", "v", "x", 2), ("g", "v", "x", 3)],
-                               "flagid string, variable string, value string, count long")
-    assert {r.flagid: r["count"] for r in fl.roll_up_values(df).collect()} == {"f": WHOLE_MARK, "g": 5}
+MARKED = [("f", "v", "x", WHOLE_MARK, True), ("f", "v", "x", 150_000, False), ("g", "v", "x", WHOLE_MARK, False), ("g", "v", "x", 5, False)]
+
+
+def test_only_marked_rows_keep_the_mark(spark):
+    """A count may equal the mark; a mark beside a larger count stays the mark."""
+    df = spark.createDataFrame(MARKED, "flagid string, variable string, value string, count long, whole boolean")
+    assert {r.flagid: (r["count"], r.whole) for r in fl.roll_up_values(df).collect()} == {"f": (WHOLE_MARK, True), "g": (100_004, False)}
+    named = df.selectExpr("flagid", "'N' abort_yn", "'Warn' flag_type", "'d' flag_descr", "count", "whole")
+    plain = spark.createDataFrame([("h", "N", "Warn", "d", 7)], "flagid string, abort_yn string, flag_type string, flag_descr string, count long")
+    assert {r.flagid: (r["count"], r.whole) for r in fl.roll_up([named, plain]).collect()} == {
+        "f": (WHOLE_MARK, True), "g": (100_004, False), "h": (7, False)}
+
+
+def test_counts_without_a_lookup_row_stay(spark):
+    df = spark.createDataFrame([("126", "MIL", 99_999, False), ("126", "MIL", 5, False), ("000", "MIL", 4, False), (None, "MIL", 1, False)],
+                               "checkid string, tableid string, n long, whole boolean")
+    got = {(r.flagid, r["count"], r.whole) for r in fl.count_flags(df, flags_frame(spark), ["checkid", "tableid"], "n").collect()}
+    assert got == {("MIL_1_06_00-0_126", 100_004, False), (None, 5, False)}
+
+
+def test_lookups_of_any_size(spark):
+    many = [Flag(str(i), 1, "00", f"check {i}") for i in range(20_000)]
+    df = spark.createDataFrame([("19999", "MIL"), ("7", "MIL")], "checkid string, tableid string")
+    got = {r.flag_descr: r["count"] for r in fl.count_flags(df, flags_frame(spark, many), ["checkid", "tableid"]).collect()}
+    assert got == {"check 19999": 1, "check 7": 1}
+    rules = [VariableRule(f"v{i}", f"{i:05}", "C", 20) for i in range(20_000)]
+    assert rules_frame(spark, rules).count() == 20_000
+
+
+def test_table_size_is_what_the_file_system_says(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    files = [f for f in (tmp_path / "t").iterdir() if f.name.startswith("part-")]
+    got = profile.table_size(spark, [str(f) for f in files], "t").collect()[0]
+    assert (got.tabid, got.filesize, got.nfiles) == ("T", sum(f.stat().st_size for f in files), len(files))
+    plan = profile.table_size(spark, str(tmp_path / "t"), "t")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
 
 
 def test_lookup_changes_change_the_output(spark):
     df = spark.createDataFrame([("126", "MIL"), ("126", "MIL"), ("999", "MIL")], "checkid string, tableid string")
     renamed = [Flag("126", 1, "77", "other text", "Abort", "Y")]
     got = [tuple(r) for r in fl.count_flags(df, flags_frame(spark, renamed), ["checkid", "tableid"]).collect()]
-    assert got == [("MIL_1_77_00-0_126", "Y", "Abort", "other text", 2)]
+    assert sorted(got, key=repr) == sorted([("MIL_1_77_00-0_126", "Y", "Abort", "other text", 2, False), (None, None, None, None, 1, False)], key=repr)
 
 
 def test_tables_by_name_and_prefix(spark, tmp_path):

@@ -190,11 +190,27 @@ def test_result_differences(spark):
     e = spark.createDataFrame([("f1", "m", "N", "M1"), ("f1", "m", "N", None), ("f2", "m", "N", "M1")], schema)
     a = spark.createDataFrame([("f1", "other", "N", "M1"), ("f1", "m", "Y", None), ("f3", "m", "N", "M9")], schema)
     got = Counter((r.kind, r.key) for r in compare.result_differences(e, a, ["flagid", "mpatid"]).collect())
-    assert got == Counter([("missing", "f2|M1"), ("unexpected", "f3|M9"), ("message", "f1|M1"), ("strict", "f1|"),
-                           ("flagid_expected_only", "f2"), ("flagid_actual_only", "f3")])
+    assert got == Counter([("missing", "f2|M1"), ("unexpected", "f3|M9"), ("message", "f1|M1"), ("message", "f1|M1"),
+                           ("strict", "f1|(null)"), ("strict", "f1|(null)"), ("flagid_expected_only", "f2"), ("flagid_actual_only", "f3")])
     told = e.withColumn("message", F.lit("reworded"))
     match = compare.is_match(compare.result_differences(e, told, ["flagid", "mpatid"])).collect()[0]
-    assert match.is_match and match.message == 3
+    assert match.is_match and match.message == 6  # two values of each of three keys
+
+
+def test_result_differences_of_repeated_keys(spark):
+    """Values and row counts of a key are compared as often as they stand; null is not the empty string."""
+    def table(*rows):
+        return spark.createDataFrame([("f", d, "N", p) for p, d in rows], "flagid string, flag_descr string, abort_yn string, mpatid string")
+
+    def told(e, a):
+        return sorted((r.kind, r.key, r.field, r.value or "", r.n_expected, r.n_actual) for r in compare.result_differences(e, a, ["flagid", "mpatid"]).collect())
+
+    e = table(("M", "d1"), ("M", "d2"), ("M", "d3"))
+    a = table(("M", "d1"), ("M", "d3"), ("M", "d3"), ("M", "d1"))
+    assert told(e, e) == []
+    assert told(e, a) == sorted([("rows", "f|M", "", "", 3, 4), ("strict", "f|M", "flag_descr", "d1", 1, 2), ("strict", "f|M", "flag_descr", "d2", 1, 0),
+                                 ("strict", "f|M", "flag_descr", "d3", 1, 2), ("strict", "f|M", "abort_yn", "N", 3, 4)])
+    assert [t[:2] for t in told(table((None, "d")), table(("", "d")))] == [("missing", "f|(null)"), ("unexpected", "f|")]
 
 
 def test_header_ignores_exactly_one_hour(spark):

@@ -71,6 +71,15 @@ def test_lines_are_numbered_across_file_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_logs_of_one_name_do_not_mix(spark, tmp_path):
+    for folder, text in (("a", "MPRINT(ONE):  x\nNOTE: fine\n"), ("b", "ERROR: bad\n")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "run.log").write_text(text)
+    got = logs.classify_lines(logs.read_lines(spark, str(tmp_path / "*"))).collect()
+    assert [(r.level, r.logname, r.logline_number, r.macro) for r in got] == [(1, "run.log", 1, None)]
+    assert got[0].path.endswith("b/run.log")
+
+
 @pytest.mark.parametrize("group", [2, 100_000])
 def test_log_classification(spark, monkeypatch, group):
     monkeypatch.setattr(logs, "LINES_PER_GROUP", group)
@@ -105,6 +114,11 @@ def test_review_stops_at_fatal_level_2_flags(spark, tmp_path):
     assert (done.status, done.level) == ("aborted", 2)
     found = spark.read.parquet(done.written["all_l2_flags"])
     assert found.where("abort_yn = 'Y' and count > 0").count() > 0
+    # the table on its own was fatal: only fatal flags are counted, and no other table was looked at
+    assert found.where("abort_yn <> 'Y'").count() == 0
+    assert not {"l2_cross_mstr", "enr_l2_mstr", "mil_l2_cenrstart_agedays_cat"} & set(done.written)
+    told = {r.flagid[-3:]: r.message for r in spark.read.parquet(done.written["l2_mstr"]).where("message <> ''").collect()}
+    assert told["217"].startswith("MPatID (M") and told["217"].endswith("): Not linked, but variable combination appears on > 1 row")
     assert "l3_mil_aggregate" not in done.written
 
 
@@ -119,13 +133,16 @@ def test_review_to_the_end(spark, tmp_path):
     few = {n: d(n) for n in ("dem", "enc", "dis", "lab", "vit", "dth", "cod")}
     enr = mil.selectExpr("mpatid patid", "adate - 100 enr_start", "adate + 100 enr_end", "'Y' medcov", "'Y' drugcov", "'N' chart")
     ids = {"del": mil.select("mpatid", "encounterid"), "inf": mil.select("cpatid")}
-    done = review(spark, few | ids | {"mil": mil, "enr": enr}, str(tmp_path), "site", maxdate=F.lit("2000-06-01").cast("date"))
+    old = spark.createDataFrame([("MIL_9", "N", "Warn", "x", 3)], "flagid string, abort_yn string, flag_type string, flag_descr string, count long")
+    done = review(spark, few | ids | {"mil": mil, "enr": enr}, str(tmp_path), "site", maxdate=F.lit("2000-06-01").cast("date"), previous=old)
     assert (done.status, done.level) == ("completed", 4)
     flags = spark.read.parquet(done.written["all_l3_flags"])
     assert [(r.flagid, r.dp) for r in flags.collect()] == [("MIL_3_00_00-0_372", "SITE")]
     for name, path in done.written.items():
         if f"/{sinks.AGGREGATE_ZONE}/" in path:
             sinks.refuse_identifiers(spark.read.parquet(path))
+    assert {"sign_off", "l2_presence_matrix", "l2_surplus_duplicates", "enr_l2_overlap"} <= set(done.written)
+    assert "MIL_9" in {r.flagid for r in spark.read.parquet(done.written["sign_off"]).collect()}
     assert {"dis_pat_rxcount", "mil_linkage_rates", "l3_mil_aggregate_deliv", "all_l1_l2_flags"} <= set(done.written)
 
 

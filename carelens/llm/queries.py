@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, html, lines, minhash, mixing, packing, substring, toxicity, vectors
+from carelens.llm import forest, html, lines, minhash, mixing, packing, substring, toxicity, units, vectors
 from carelens.llm.common import Work
 from carelens.llm.tokens import vocabulary
 
@@ -100,6 +100,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@_query("op2_unit_dedup", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+p AS (SELECT *, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_at FROM l),
+u AS (SELECT r, doc_id, CAST(line_at + strlen(line) - strlen(ltrim(line, {_WHITE})) AS BIGINT) AS start, strlen(trim(line, {_WHITE})) AS size,
+        regexp_replace(translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g') AS unit FROM p),
+w AS (SELECT *, CAST(len(string_split(unit, ' ')) AS BIGINT) AS n_words FROM u WHERE unit <> ''),
+f AS (SELECT *, row_number() OVER o AS place, first_value(doc_id) OVER o AS kept_doc_id, first_value(start) OVER o AS kept_start
+      FROM w WHERE n_words >= {units.MIN_WORDS} WINDOW o AS (PARTITION BY unit ORDER BY doc_id NULLS LAST, r, start))
+SELECT doc_id, start, CAST(start + size AS BIGINT) AS "end", n_words, kept_doc_id, kept_start FROM f WHERE place > 1""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = units.unit_dedup(Work(spark, "op2"), docs).select("doc.doc_id", F.explode("gone").alias("g"))
+    return out.select("doc_id", "g.start", "g.end", "g.n_words", "g.kept_doc_id", "g.kept_start")
+
+
 @_query("op3_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.pages_text(_table(spark, sf_dir, "pages"))

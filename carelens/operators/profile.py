@@ -69,18 +69,18 @@ def declared_length(field: T.StructField) -> int | None:
     return int(text[text.index("(") + 1 : -1]) if "(" in text else None
 
 
-def contents(df: DataFrame, tabid: str) -> DataFrame:
-    """One row per column: name, position, type class, length and the table's row count.
-
-    The length is the declared one, else the longest value for text, else 8.
-    """
-    fields = df.schema.fields
-    counters: list[Column] = [F.count("*").alias("nobs")]
-    for i, f in enumerate(fields):
+def _content_counters(schema: T.StructType) -> list[Column]:
+    found = [F.count("*").alias("nobs")]
+    for i, f in enumerate(schema.fields):
         if type_class(f.dataType) == "C" and declared_length(f) is None:
-            counters.append(F.max(F.length(f.name)).alias(f"len_{i}"))
+            found.append(F.max(F.length(f.name)).alias(f"len_{i}"))
+    return found
+
+
+def contents_of(counters: DataFrame, schema: T.StructType, tabid: str) -> DataFrame:
+    """`contents` from the row of counters of a table with this schema."""
     rows = []
-    for i, f in enumerate(fields):
+    for i, f in enumerate(schema.fields):
         known = declared_length(f)
         if type_class(f.dataType) == "N":
             length = F.lit(8)
@@ -96,9 +96,15 @@ def contents(df: DataFrame, tabid: str) -> DataFrame:
                 length.cast("int").alias("length"),
             )
         )
-    return df.agg(*counters).select(
-        F.lit(tabid.upper()).alias("tabid"), "nobs", F.inline(F.array(*rows))
-    )
+    return counters.select(F.lit(tabid.upper()).alias("tabid"), "nobs", F.inline(F.array(*rows)))
+
+
+def contents(df: DataFrame, tabid: str) -> DataFrame:
+    """One row per column: name, position, type class, length and the table's row count.
+
+    The length is the declared one, else the longest value for text, else 8.
+    """
+    return contents_of(df.agg(*_content_counters(df.schema)), df.schema, tabid)
 
 
 def table_size(spark: SparkSession, paths: str | list[str], tabid: str) -> DataFrame:
@@ -160,38 +166,57 @@ def structure_flags(comp: DataFrame) -> DataFrame:
     return expected.select(F.explode(hits).alias("h")).where("h is not null").select("h.*")
 
 
-def value_counts(df: DataFrame, rules: list[VariableRule], tabid: str = "MIL") -> DataFrame:
-    """Non-missing, special-missing and null values of every rule's column, from one aggregate.
+def _ruled(columns: list[str], rules: list[VariableRule]) -> list[VariableRule]:
+    have = {c.lower() for c in columns}
+    return [r for r in rules if r.variable.lower() in have]
 
-    A source that keeps special missing codes has them in `<column>__miss`.
-    """
-    have = {c.lower() for c in df.columns}
-    here = [r for r in rules if r.variable.lower() in have]
-    if not here:
-        columns = "tabid string, varid string, variable string, count_obs long, count_nomiss long,"
-        return df.sparkSession.createDataFrame([], f"{columns} count_spmiss long, count_null long")
-    counters = [F.count("*").alias("n")]
-    for r in here:
+
+def _value_counters(columns: list[str], rules: list[VariableRule]) -> list[Column]:
+    have = {c.lower() for c in columns}
+    found = [F.count("*").alias("nobs")]
+    for r in _ruled(columns, rules):
         name = r.variable.lower()
-        counters.append(F.count(name).alias(f"full_{r.varid}"))
+        found.append(F.count(name).alias(f"full_{r.varid}"))
         special = (
             F.count_if(F.col(name).isNull() & F.col(f"{name}__miss").isNotNull())
             if f"{name}__miss" in have and r.valid_value_type == "special_missing"
             else F.lit(0).cast("long")
         )
-        counters.append(special.alias(f"special_{r.varid}"))
+        found.append(special.alias(f"special_{r.varid}"))
+    return found
+
+
+def value_counts_of(counters: DataFrame, columns: list[str], rules: list[VariableRule], tabid: str) -> DataFrame:
+    """`value_counts` from the row of counters of a table with these columns."""
+    here = _ruled(columns, rules)
+    if not here:
+        shape = "tabid string, varid string, variable string, count_obs long, count_nomiss long,"
+        return counters.sparkSession.createDataFrame([], f"{shape} count_spmiss long, count_null long")
     rows = [
         F.struct(
             F.lit(r.varid).alias("varid"),
             F.lit(r.variable).alias("variable"),
-            F.col("n").alias("count_obs"),
+            F.col("nobs").alias("count_obs"),
             F.col(f"full_{r.varid}").alias("count_nomiss"),
             F.col(f"special_{r.varid}").alias("count_spmiss"),
-            (F.col("n") - F.col(f"full_{r.varid}") - F.col(f"special_{r.varid}")).alias("count_null"),
+            (F.col("nobs") - F.col(f"full_{r.varid}") - F.col(f"special_{r.varid}")).alias("count_null"),
         )
         for r in here
     ]
-    return df.agg(*counters).select(F.lit(tabid.upper()).alias("tabid"), F.inline(F.array(*rows)))
+    return counters.select(F.lit(tabid.upper()).alias("tabid"), F.inline(F.array(*rows)))
+
+
+def value_counts(df: DataFrame, rules: list[VariableRule], tabid: str = "MIL") -> DataFrame:
+    """Non-missing, special-missing and null values of every rule's column, from one aggregate.
+
+    A source that keeps special missing codes has them in `<column>__miss`.
+    """
+    return value_counts_of(df.agg(*_value_counters(df.columns, rules)), df.columns, rules, tabid)
+
+
+def counters(df: DataFrame, rules: list[VariableRule]) -> DataFrame:
+    """One row with all that `contents` and `value_counts` need, from one scan."""
+    return df.agg(*_content_counters(df.schema), *_value_counters(df.columns, rules)[1:])
 
 
 def population_flags(counts: DataFrame, lookup: DataFrame) -> DataFrame:

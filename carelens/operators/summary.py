@@ -313,11 +313,11 @@ def lab_dates(lab: DataFrame) -> DataFrame:
     return lab.select("patid", F.coalesce("lab_dt", "result_dt", "order_dt").alias("testdate"))
 
 
-def vitals_in_enrollment(vitals: DataFrame, periods: DataFrame, mode: str = "prefix") -> DataFrame:
+def vitals_in_enrollment(vitals: DataFrame, periods: DataFrame, mode: str = "all") -> DataFrame:
     """Distinct patients with each vital sign inside periods.
 
-    mode 'prefix': a missing measure hides the later ones of its row (order HGT, WGT, DIA, SYS);
-    mode 'all': every filled measure counts. Measures stay columns until one row is left.
+    mode 'all': every filled measure counts; mode 'prefix', for parity: a missing measure hides the
+    later ones of its row (order HGT, WGT, DIA, SYS). Measures stay columns until one row is left.
     """
     if mode not in ("prefix", "all"):
         raise ValueError(f"mode must be 'prefix' or 'all', got {mode!r}")

@@ -113,7 +113,7 @@ def run_checks(
     for n, build in enumerate(levels, 1):
         check = F.substring_index("flagid", "_", -1)
         wanted = check.isin(enabled) if enabled else ~check.isin(done.disabled) if done.disabled else F.lit(True)
-        path = f"{out_dir}/{sinks.ROW_ZONE}/level_{n}"
+        path = f"{out_dir}/{sinks.WORK_ZONE}/level_{n}"  # may hold flags that the result leaves out
         build().where(wanted).write.mode("overwrite").parquet(path)
         flags = spark.read.parquet(path)
         fatal = check.isin(sorted(ABORT_CHECKS)) & (F.col("abort_yn") == "Y")

@@ -28,11 +28,10 @@ def scans(
     flags: list[Flag] = FLAGS,
     window: tuple[Column, Column] | None = None,
 ) -> Tables:
-    """Contents, value counts and value-rule hits of one table, one pass each."""
+    """All counters of one table in one pass, and its value-rule hits in another."""
     low, high = window or (None, None)
     return {
-        "all_l1_cont": profile.contents(df, tabid),
-        "all_l1_record_count": profile.value_counts(df, rules, tabid),
+        "l1_counters_mstr": profile.counters(df, rules),
         "l1_hits_mstr": profile.value_rules(df, [f for f in flags if f.level == 1], rules, low, high),
     }
 
@@ -43,19 +42,25 @@ def results(
     schema,
     rules: list[VariableRule] = VARIABLE_RULES,
     flags: list[Flag] = FLAGS,
+    tabid: str = "mil",
 ) -> Tables:
-    """Compliance, the flag master and its roll-up, from the scans of a table with this schema."""
+    """Contents, value counts, compliance, the flag master and its roll-up, from the scans of a table with this schema."""
     lookup = flags_frame(spark, flags)
-    comp = profile.compliance(scanned["all_l1_cont"], rules_frame(spark, rules))
+    counted = scanned["l1_counters_mstr"]
+    cont = profile.contents_of(counted, schema, tabid)
+    counts = profile.value_counts_of(counted, schema.names, rules, tabid)
+    comp = profile.compliance(cont, rules_frame(spark, rules))
     hits = scanned["l1_hits_mstr"]
     column_hits = profile.structure_flags(_declared_only(comp, schema)).unionByName(
-        profile.population_flags(scanned["all_l1_record_count"], lookup)
+        profile.population_flags(counts, lookup), allowMissingColumns=True
     )
     rolled = fl.roll_up_values(
         hits.select("flagid", "variable", "value", "count").unionByName(column_hits, allowMissingColumns=True)
     )
     names = lookup.select("flagid", "flag_descr", "flag_type", "abort_yn")
     return {
+        "all_l1_cont": cont,
+        "all_l1_record_count": counts,
         "all_l1_scdm_comp": comp,
         "all_l1_flags_mstr": fl.flag_master(hits, lookup),
         "all_l1_flags": rolled.join(names, "flagid"),

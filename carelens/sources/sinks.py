@@ -13,6 +13,7 @@ FLAG_COLUMNS = ["flagid", "flag_descr", "message", "flag_type", "abort_yn"]
 FLAG_SCHEMA = ", ".join(f"{c} string" for c in FLAG_COLUMNS)
 ROW_ZONE = "row_level"
 AGGREGATE_ZONE = "aggregate"
+WORK_ZONE = "working"
 # Local working tables that are not published.
 NOT_PUBLISHED = [
     "all_l1_flags",

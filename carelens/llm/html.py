@@ -23,7 +23,8 @@ MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
     " notices alert popup modal overlay newsletter subscribe signup login share sharing social sidebar rail menu nav navbar navigation"
     " breadcrumb breadcrumbs footer header masthead topbar toolbar comment comments disqus replies related recommended recommendations"
-    " widget pagination pager skip hidden".split()
+    " widget pagination pager skip hidden commentlist commentform respond reply adsbygoogle disclaimer copyright paywall toast subscription"
+    " feedback trending popular outbrain taboola".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Such names belong to the article even beside a mark, as in "post-header".
@@ -35,14 +36,20 @@ STOP = frozenset(
     " de la le et les des en un du une que est pour qui dans par plus pas au sur se ce il sont avec aux ne son"
     " el y los del las por con para no su al lo como más pero sus o este sí porque esta entre".split()
 )
+# Class and id names and roles of an element that holds the article where no article or main element does.
+HOLDERS = frozenset(
+    "article article-body articlebody article-content article-text post-body post-content post-text entry-content entry-body story-body"
+    " story-content main-content maincontent body-content page-content content".split()
+)
+HOLDER_ROLES = frozenset(("main", "article"))
 #: Least share of stop words and most share of linked characters of a text block, least characters of a decided one.
 STOP_SHARE, LINK_SHARE, SHORT = 0.2, 0.4, 80
 
 _TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[a-zA-Z/!?][^>]*\Z""")
-_NAME = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/]|$)""", re.I)
+_NAME = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/]|$)""", re.I)
 _COMMENT_END = re.compile(r"--!?>")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
-_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_PARTS = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"\w+")
 
 GOOD, BAD, UNSURE = "good", "bad", "unsure"
@@ -52,11 +59,24 @@ GOOD, BAD, UNSURE = "good", "bad", "unsure"
 class Block:
     text: str
     linked: int  # characters inside links
-    inside: bool  # an article or main element holds it
+    inside: int  # 2 if an article or main element holds it, 1 if an element named like one does
     heading: bool
 
 
-def _dropped(name: str, attributes: str, inside: bool) -> bool:
+def _holds(name: str, attributes: str) -> int:
+    """Whether an element holds the article: 2 if its name says so, 1 if an attribute does."""
+    if name in ("article", "main"):
+        return 2
+    if not attributes or name in ("html", "body"):
+        return 0
+    for m in _NAME.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key in ("class", "id") and HOLDERS & set(value.split()) or key == "role" and value in HOLDER_ROLES or key == "itemprop" and value == "articlebody":
+            return 1
+    return 0
+
+
+def _dropped(name: str, attributes: str, inside: int) -> bool:
     """Whether an element and all in it is no part of the article."""
     if name in DROPPED or name == "header" and not inside:
         return True
@@ -72,7 +92,7 @@ def _dropped(name: str, attributes: str, inside: bool) -> bool:
             return True
         if key in ("class", "id"):
             for one in value.split():
-                parts = set(_PARTS.split(one)) | set(_PARTS.split(one.lower()))
+                parts = {p.lower().rstrip("0123456789") for p in (*_PARTS.split(one), *_PARTS.split(one.lower()))}
                 if parts & MARKS and not parts & OWN:
                     return True
     return False
@@ -84,8 +104,8 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked = 0
-    # Name, whether it is dropped, whether it is or lies in an article, whether it is a link or heading.
-    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    # Name, whether it is dropped, how surely it is or lies in an article, whether it is a link or heading.
+    stack: list[tuple[str, bool, int, bool, bool]] = [("", False, 0, False, False)]
 
     def close() -> None:
         nonlocal linked
@@ -135,7 +155,7 @@ def blocks(html: str) -> list[Block]:
                 stack.pop()
                 _, gone, inside, link, heading = stack[-1]
         gone = gone or _dropped(name, attributes, inside)
-        stack.append((name, gone, inside or name in ("article", "main"), link or name == "a", heading or re.fullmatch("h[1-6]", name) is not None))
+        stack.append((name, gone, max(inside, _holds(name, attributes)), link or name == "a", heading or re.fullmatch("h[1-6]", name) is not None))
     add(html[at:])
     close()
     return out
@@ -161,8 +181,8 @@ def decide(found: list[Block]) -> list[Block]:
 
     A page that marks its article says itself that text outside is something else.
     """
-    if any(b.inside for b in found):
-        found = [b for b in found if b.inside]
+    best = max((b.inside for b in found), default=0)
+    found = [b for b in found if b.inside == best]
     labels = [judge(b) for b in found]
     ahead: list[tuple[int, str] | None] = [None] * len(found)
     nearest = None

@@ -53,6 +53,15 @@ def test_post_header_belongs_to_the_article():
     assert extract(f'<article><div class="post-header"><h1>A title</h1></div><p>{GOOD}</p></article>') == f"A title {GOOD}"
 
 
+def test_elements_named_like_an_article():
+    noise = "zq " * 60
+    page = f'<body><div>{GOOD}</div><div class="entry-content"><p>{noise}</p><div id="ad3">{GOOD}</div><ol class="commentlist"><li>{GOOD}</li></ol></div></body>'
+    assert extract(page) == noise.strip()
+    assert extract(f'<div class="content"><div>{GOOD}</div><main><p>x</p></main></div>') == "x"
+    assert extract(f'<div role="main"><p>{noise}</p></div><p>{GOOD}</p>') == noise.strip()
+    assert extract(f'<article><div class="siteHeader">{GOOD}</div><p>x</p><div class="AdBox">{GOOD}</div></article>') == "x"
+
+
 def test_broken_markup():
     assert extract(None) == extract("") == extract("<") == extract("<p") == ""
     assert extract(f"<article><p>{GOOD}<p>{GOOD}<br>more</article><p>{GOOD}") == f"{GOOD} {GOOD} more"

@@ -120,7 +120,8 @@ def _padded(lists: list[np.ndarray]) -> np.ndarray:
 def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: int = TREES, spill: float = SPILL, leaf: int = LEAF, fit_rows: int = FIT_ROWS, block: int = BLOCK, seed: int = 9) -> DataFrame:
     """Per row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
 
-    The trees' cuts come from at most fit_rows rows, chosen by a hash; every row goes down every tree. Rows of a leaf
+    Rows with equal vectors are one class, which counts as often as it has rows. The trees' cuts come from at most
+    fit_rows classes, chosen by a hash; every class goes down every tree. Classes of a leaf
     are compared with each other, so a pair is found if any tree leaves it together. A pair counts in the first of
     the leaves that it shares: rows carry their leaves of all trees, so links are counted without being listed. Leaves
     hand on counts per row and a star of edges per group of linked rows; these stars are joined up.
@@ -131,6 +132,12 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
     """
     rows = work.keep(vectors.select("vec_id", "embedding", F.monotonically_increasing_id().alias("r")), "rows")
     good = rows.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).withColumn("dim", F.size("embedding"))
+    good = good.withColumns({"e1": F.xxhash64("embedding"), "e2": F.xxhash64(F.lit(9), "embedding")})
+    whole = good
+    good = good.groupBy("dim", "e1", "e2").agg(
+        F.first("embedding").alias("embedding"), F.count("*").alias("w"), F.min("vec_id").alias("vec_id"), F.min("r").alias("r")
+    )
+    good = work.keep(good, "classes")
     sizes = {r["dim"]: r["n"] for r in good.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     drawn = good.orderBy(F.xxhash64("vec_id", "r")).limit(fit_rows).select("dim", "embedding").toArrow()
     forests: dict[int, list[Tree]] = {}
@@ -141,10 +148,10 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(3).to_numpy(zero_copy_only=False)
+            dims = batch.column("dim").to_numpy(zero_copy_only=False)
             for dim in np.unique(dims).tolist():
                 own = batch.filter(pa.array(dims == dim))
-                x = unit(_dense(own.column(1), dim))
+                x = unit(_dense(own.column("embedding"), dim))
                 at = [tree.descend(x) for tree in forests[dim]]
                 row = np.concatenate([a for a, _ in at])
                 spot = np.concatenate([(t << 24) + b for t, (_, b) in enumerate(at)])
@@ -154,17 +161,17 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
                 spots = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(spot.astype(np.int32)))
                 back = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(2).take(back), own.column(0).take(back), own.column(1).take(back), own.column(3).take(back), pa.array(spot.astype(np.int32)), spots.take(back)],
-                    names=["r", "vec_id", "embedding", "dim", "leaf", "leaves"],
+                    [*[own.column(c).take(back) for c in ("r", "vec_id", "w", "embedding", "dim")], pa.array(spot.astype(np.int32)), spots.take(back)],
+                    names=["r", "vec_id", "w", "embedding", "dim", "leaf", "leaves"],
                 )
 
     kinds = {f.name: f.dataType.simpleString() for f in good.schema}
-    shape = f"r long, vec_id {kinds['vec_id']}, embedding {kinds['embedding']}, dim int, leaf int, leaves array<int>"
-    placed = work.keep(good.select("vec_id", "embedding", "r", "dim").mapInArrow(place, shape), "leaves")
+    shape = f"r long, vec_id {kinds['vec_id']}, w long, embedding {kinds['embedding']}, dim int, leaf int, leaves array<int>"
+    placed = work.keep(good.select("r", "vec_id", "w", "embedding", "dim").mapInArrow(place, shape), "leaves")
     blocks = placed.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
     units = placed.join(blocks, ["dim", "leaf"]).withColumn("b", F.pmod(F.xxhash64("r"), F.col("nb")).cast("int"))
     units = units.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    units = units.select("dim", "leaf", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "r", "vec_id", "embedding", "leaves")
+    units = units.select("dim", "leaf", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "r", "vec_id", "w", "embedding", "leaves")
 
     def compare(found: pd.DataFrame) -> pd.DataFrame:
         leaf = int(found["leaf"].iloc[0])
@@ -179,7 +186,10 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
             i, j = _pairs(x[one], x[two], least)
             i, j = one[i], two[j]
         new = ~_met_before(earlier, i, j)
-        n = np.bincount(i[new], minlength=len(x)) + np.bincount(j[new], minlength=len(x))
+        w = found["w"].to_numpy()
+        n = np.zeros(len(x), np.int64)
+        np.add.at(n, i[new], w[j[new]])
+        np.add.at(n, j[new], w[i[new]])
         ids = found["vec_id"].to_numpy()
         order = np.argsort(ids, kind="stable")  # so that a group is named by its smallest id
         back = np.empty(len(ids), int)
@@ -190,8 +200,11 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
 
     links = units.groupBy("dim", "leaf", "bi", "bj").applyInPandas(compare, f"r long, vec_id {kinds['vec_id']}, n long, low {kinds['vec_id']}")
     links = work.keep(links, "links")
-    joined = components(work, links.select(F.col("vec_id").alias("a"), F.col("low").alias("b")))
-    counts = links.groupBy("r").agg(F.sum("n").alias("n_links"))
+    member = work.keep(whole.select("r", "vec_id", "e1", "e2", "dim").join(good.select("dim", "e1", "e2", "w", F.col("vec_id").alias("low"), F.col("r").alias("first")), ["dim", "e1", "e2"]), "members")
+    edges = links.select(F.col("vec_id").alias("a"), F.col("low").alias("b")).unionByName(member.select(F.col("vec_id").alias("a"), F.col("low").alias("b")))
+    joined = components(work, edges)
+    counts = links.groupBy(F.col("r").alias("first")).agg(F.sum("n").alias("n"))
+    counts = member.join(counts, "first", "left").select("r", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"))
     out = rows.select("r", "vec_id").join(counts, "r", "left").join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left")
     component = F.coalesce("component", "vec_id")
     return out.select(

@@ -15,11 +15,13 @@ from carelens.functions.rulesets import (
     Flag,
     flag,
 )
-from carelens.operators import cross, keys, linkage, rules, spans
+from carelens.operators import cross, keys, linkage, rules, spans, summary
 from carelens.operators import flags as fl
 from carelens.sources.tables import Tables, table, union_all
 
 DETAIL = ["mpatid", "cpatid", "encounterid", "adate"]
+# The date that places a row of a table in time.
+DATES = {"enr": "enr_start", "enc": "adate", "dis": "rxdate", "vit": "measure_date"}
 
 
 # How messages write the columns' names.
@@ -155,7 +157,8 @@ def enrollment(states: DataFrame) -> Tables:
 
 
 def aggregates(tables: Tables) -> Tables:
-    """What level 2 publishes beside flags: surplus keys, presence and value matrices, completeness, value lengths."""
+    """What level 2 publishes beside flags: surplus keys, presence of patients in tables and what lacks where, value
+    lengths, complete months and percentiles of dates."""
     mil, out = table(tables, "mil"), {}
     found = [keys.surplus_duplicates(mil, ["mpatid", "cpatid", "adate"], "mil")]
     if "enr" in tables:
@@ -164,11 +167,21 @@ def aggregates(tables: Tables) -> Tables:
     patients = {n: (tables[n], "patid") for n in ("enr", "dem", "enc", "dis", "lab", "vit", "dth", "cod") if n in tables}
     if len(patients) > 1:
         out["l2_presence_matrix"] = cross.presence_matrix(patients)
-        lengths = cross.value_lengths({n: df for n, (df, _) in patients.items()}, "patid")
-        out["l2_value_lengths"] = lengths
+        out["l2_value_lengths"] = cross.value_lengths({n: df for n, (df, _) in patients.items()}, "patid")
+    dated = {n: (tables[n], d) for n, d in DATES.items() if n in tables}
+    out["l2_completeness"] = summary.completeness({"mil": (mil, "adate"), **dated})
+    days = mil.groupBy("adate").agg(F.count("*").alias("n"))
+    out["l2_adate_percentiles"] = summary.date_percentiles(days, ["adate"])
     return out
 
 
+def patterns(matrix: DataFrame) -> Tables:
+    """For each two tables, the patients that one has and the other lacks, from the written presence matrix."""
+    names = [c for c in matrix.columns if c not in ("dp", "count")]
+    pairs = [(a, b) for a in names for b in names if a != b]
+    return {"l2_pattern_counts": cross.pattern_counts(matrix, pairs)}
+
+
 def results(written: Tables, only_abort: bool = False) -> Tables:
     """Flag counts over the written masters of flagged rows; of an aborted level, those of abort flags alone."""
     flagged = [df for df in written.values() if "flagid" in df.columns]

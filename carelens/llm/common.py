@@ -147,6 +147,17 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by keys that are unique on the right, so that a key which very many rows of the left share may be split.
+
+    The adaptive planner splits a partition only where both sides come straight from a shuffle. An aggregate by the same
+    keys would be joined in place; null-safe equality gives both sides a shuffle of their own.
+    """
+    other = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(other, same, how).drop(*[f"_{k}" for k in keys])
+
+
 def components(work: Work, edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the smallest node being the component's name.
 
@@ -162,11 +173,11 @@ def components(work: Work, edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            split_join(both.where("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
         large = work.keep(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
+        small = split_join(large, least, ["u"]).select(
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v").where("u <> v").distinct()
         small = work.keep(small, "small")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Work, components, local_components
+from carelens.llm.common import Work, components, local_components, split_join
 from carelens.llm.vectors import usable
 
 #: Least cosine of a link.
@@ -169,7 +169,7 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
     shape = f"r long, vec_id {kinds['vec_id']}, w long, embedding {kinds['embedding']}, dim int, leaf int, leaves array<int>"
     placed = work.keep(good.select("r", "vec_id", "w", "embedding", "dim").mapInArrow(place, shape), "leaves")
     blocks = placed.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
-    units = placed.join(blocks, ["dim", "leaf"]).withColumn("b", F.pmod(F.xxhash64("r"), F.col("nb")).cast("int"))
+    units = split_join(placed, blocks, ["dim", "leaf"]).withColumn("b", F.pmod(F.xxhash64("r"), F.col("nb")).cast("int"))
     units = units.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     units = units.select("dim", "leaf", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "r", "vec_id", "w", "embedding", "leaves")
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Work, components, flat, local_components, mix64, steps, whole_groups
+from carelens.llm.common import Work, components, flat, local_components, mix64, split_join, steps, whole_groups
 from carelens.llm.words import WHITE, hashes, spans
 
 #: Words in a shingle; a link needs 100 * intersection >= PERCENT * union.
@@ -221,7 +221,7 @@ def near_documents(work: Work, docs: DataFrame, percent: int = PERCENT, screen:
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(cluster.withColumnRenamed("node", "doc_id"), "doc_id")
     texts = work.keep(texts.select("component", "doc_id", "text", F.octet_length("text").alias("bytes")), "texts")
     sizes = texts.groupBy("component").agg(F.ceil(F.sum("bytes") / text_block).cast("int").alias("nb")).select("component", F.greatest("nb", F.lit(1)).alias("nb"))
-    pieces = texts.join(sizes, "component").select("component", "doc_id", "text", *_blocks("nb", "doc_id"))
+    pieces = split_join(texts, sizes, ["component"]).select("component", "doc_id", "text", *_blocks("nb", "doc_id"))
     pieces = pieces.select("component", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "doc_id", "text")
 
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

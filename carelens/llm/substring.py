@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm import suffixes
-from carelens.llm.common import Work, flat, mix64, steps, whole_groups
+from carelens.llm.common import Work, flat, mix64, split_join, steps, whole_groups
 from carelens.llm.words import byte_hashes
 
 #: Bytes of a string that may stand only once; bytes of an anchor; windows of the cells that units are cut into.
@@ -160,7 +160,7 @@ _UNIT = ["k1", "k2", "p", "lo"]
 def _shared_cores(cells: DataFrame) -> DataFrame:
     """Cells whose core is met twice or more, once at least in a cell that is undecided."""
     met = cells.groupBy("h").agg(F.sum("w").alias("n"), F.max("und").alias("open")).where("n > 1 AND open").select("h")
-    return cells.join(met, "h")
+    return split_join(cells, met, ["h"])
 
 
 def _judged(work: Work, cells: DataFrame) -> DataFrame:
@@ -171,8 +171,8 @@ def _judged(work: Work, cells: DataFrame) -> DataFrame:
     classes = cells.groupBy("joint").agg(
         F.sum("w").alias("n"), F.min(place).alias("first"), F.min(F.when(~F.col("und"), place)).alias("old"), F.max("und").alias("open")
     )
-    judged = cells.join(classes, "joint")
-    alone = F.col("n") == 1
+    judged = split_join(cells, classes.where("n > 1"), ["joint"], "left")
+    alone = F.col("n").isNull()
     judged = judged.select(
         *_UNIT, "w", "h", "a", "b", (F.col("und") & ~alone).alias("claimed"), F.coalesce(F.col("open") & (place == F.col("old")), F.lit(False)).alias("witness"),
         (alone | (place == F.col("first"))).alias("on"), (F.col("und") & alone).alias("und"),
@@ -200,7 +200,7 @@ def claims(work: Work, docs: DataFrame, length: int = LENGTH, anchor: int = ANCH
 
     found = work.keep(rows.mapInArrow(find, "k1 long, k2 long, p long, lo long, hi long, h long"), "units")
     twice = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    per_text = found.join(twice, "h").dropDuplicates(["k1", "k2", "p", "lo"]).groupBy("k1", "k2").agg(
+    per_text = split_join(found, twice, ["h"]).dropDuplicates(["k1", "k2", "p", "lo"]).groupBy("k1", "k2").agg(
         F.collect_list(F.struct("p", "lo", "hi", "h")).alias("units")
     )
     per_text = work.keep(per_text, "anchored")
@@ -215,7 +215,7 @@ def claims(work: Work, docs: DataFrame, length: int = LENGTH, anchor: int = ANCH
     for size in (c for c in CELLS if 4 * c <= length):  # a core has most of the length
         going = judged.where("on")
         met = going.groupBy("h").agg(F.max("und").alias("open")).where("open").select("h")
-        going = going.join(met, "h").groupBy(*_UNIT).agg(F.collect_list(F.struct("a", "b", "und")).alias("open"))
+        going = split_join(going, met, ["h"]).groupBy(*_UNIT).agg(F.collect_list(F.struct("a", "b", "und")).alias("open"))
         live = contexts.select(*_UNIT, "w", "hi", "bytes").join(work.keep(going, "open"), _UNIT)
         cells = work.keep(_cells(live.select(*_UNIT, "w", "hi", "bytes", "open"), size, length), "cells")
         judged = _judged(work, _shared_cores(cells))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Work, flat, mix64, steps
+from carelens.llm.common import Work, flat, mix64, split_join, steps
 from carelens.llm.words import WHITE, hashes, spans
 
 #: Units of fewer words are left alone: short lines recur in clean text.
@@ -76,7 +76,7 @@ def repeats(work: Work, rows: DataFrame, breaks: int = LINE, min_words: int = MI
     found = work.keep(occurrences(rows, breaks, min_words), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r", "start")
     first = found.groupBy("a", "b").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select("a", "b", "first")
-    later = found.join(first, ["a", "b"]).where((F.col("r") != F.col("first.r")) | (F.col("start") != F.col("first.start")))
+    later = split_join(found, first, ["a", "b"]).where((F.col("r") != F.col("first.r")) | (F.col("start") != F.col("first.start")))
     return later.select("r", "doc_id", "start", "end", "n_words", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start"))
 
 

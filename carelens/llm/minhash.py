@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from carelens.llm.common import Work, components, flat, local_components, mix64, split_join, steps, whole_groups
 from carelens.llm.words import WHITE, hashes, spans
@@ -22,7 +23,7 @@ SAMPLES = BANDS * ROWS
 BITS, SCREEN = 256, 0.55
 #: Rows of a bucket, and bytes of a cluster's texts, that are compared in one piece; larger ones are compared in pairs of pieces.
 BUCKET_BLOCK, TEXT_BLOCK = 1024, 4 << 20
-_CHUNK = 8 << 20
+_CHUNK = 4 << 20
 _STEP = 8192
 _Q = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(6).integers(1 << 62, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -261,7 +262,8 @@ def drop_near(work: Work, docs: DataFrame) -> DataFrame:
     gone = found.where("NOT kept").select("doc_id").distinct()
     rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("doc"))
     left = rows.join(gone.withColumnRenamed("doc_id", "id"), "id", "left_anti")
-    again = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id")
-    once = left.join(again, "id", "left_anti")
-    several = left.join(again, "id", "left_semi").groupBy("id").agg(F.first("doc").alias("doc"))
-    return once.select("doc.*").unionByName(several.select("doc.*"))
+    # The rows lie by id already; rows without one are groups of their own, by a hash of all they hold.
+    digest = F.xxhash64("doc")
+    own = Window.partitionBy("id", F.when(F.col("id").isNull(), digest)).orderBy(digest)
+    nth = F.when(F.col("id").isNotNull(), F.row_number().over(own)).otherwise(1)
+    return left.withColumn("nth", nth).where("nth = 1").select("doc.*")

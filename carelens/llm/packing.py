@@ -17,7 +17,7 @@ from carelens.llm.tokens import encoder
 
 #: Tokens in a sequence.
 SEQUENCE = 2048
-_TEXT_BYTES = 1 << 20
+_TEXT_BYTES = 1 << 18
 
 
 def cut(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

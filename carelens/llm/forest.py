@@ -1,4 +1,4 @@
-"""Near-duplicate vectors by a forest of random-projection trees whose splits overlap."""
+"""Near-duplicate vectors: dense groups are compared whole, the rest by random-projection trees whose splits overlap."""
 
 from __future__ import annotations
 
@@ -23,12 +23,15 @@ LEAF, FIT_ROWS = 1024, 32_768
 #: Leaves of more rows, such as those of one vector that very many rows repeat, are compared block by block.
 BLOCK = 2048
 _LEAST_FIT = 32
+#: A row of the sample is dense if it stands for links to a leaf's fourth of rows, and has so many in the sample; rows
+#: whose cosine to a group's centre reaches CORE are the group's own.
+DENSE_SHARE, _LEAST_DENSE, CORE = 0.25, 8, 0.92
 
 
 class Tree:
     """Splits drawn from a sample: every node projects on a direction of its own, cut at the median of its rows."""
 
-    def __init__(self, sample: np.ndarray, rows: int, seed: tuple[int, ...], spill: float, leaf: int):
+    def __init__(self, sample: np.ndarray, rows: float, seed: tuple[int, ...], spill: float, leaf: int):
         self.seed, self.splits, self.dim = seed, {}, sample.shape[1]
         open_nodes = [(1, sample)]
         while open_nodes:
@@ -69,6 +72,49 @@ class Tree:
         return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
 
 
+def dense_centres(sample: np.ndarray, rows: int, least: float, leaf: int) -> np.ndarray:
+    """Centres of groups that the trees would cut: every dense row of the sample is near one, the densest come first."""
+    if rows <= leaf:
+        return sample[:0]
+    low = sample.astype(np.float32)
+    links = np.concatenate([[0], *[(low[i : i + 256] @ low.T >= least).sum(axis=1) - 1 for i in range(0, len(low), 256)]])[1:]
+    bound = max(_LEAST_DENSE, DENSE_SHARE * leaf * len(sample) / rows)
+    open_rows, centres = links >= bound, []
+    while open_rows.any():
+        first = int(np.argmax(np.where(open_rows, links, -1)))
+        centre = sample[sample @ sample[first] >= least - 1e-6].mean(axis=0)
+        centre /= np.sqrt((centre**2).sum())
+        if centre @ sample[first] < CORE:
+            centre = sample[first]
+        centres.append(centre)
+        open_rows &= sample @ centre < CORE
+        open_rows[first] = False
+    return np.array(centres).reshape(-1, sample.shape[1])
+
+
+def gather(rows: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's own group or -1, and pairs of row number and group to which the row is sent besides.
+
+    A row's own group has the nearest centre, if its cosine reaches CORE. By the triangle inequality of angles all that
+    links to a row of a group lies within the two angles' sum of the centre, and is sent there; a row that has a group
+    itself only to groups before it, so that two groups' rows meet once.
+    """
+    own = np.full(len(rows), -1)
+    reach = CORE * least - np.sqrt((1 - CORE**2) * (1 - least**2)) - 1e-9
+    near, to = [np.zeros(0, int)], [np.zeros(0, int)]
+    step = max(1, (1 << 21) // max(1, len(centres)))
+    for start in range(0, len(rows) if len(centres) else 0, step):
+        cosine = rows[start : start + step] @ centres.T
+        best = cosine.argmax(axis=1)
+        own[start : start + step] = np.where(cosine.max(axis=1) >= CORE, best, -1)
+        i, j = np.nonzero(cosine >= reach)
+        mine = own[start + i]
+        sent = (mine < 0) | (j < mine)
+        near.append(start + i[sent])
+        to.append(j[sent])
+    return own, np.concatenate(near), np.concatenate(to)
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     """Rows of length one, in double precision."""
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
@@ -121,10 +167,12 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
     """Per row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Rows with equal vectors are one class, which counts as often as it has rows. The trees' cuts come from at most
-    fit_rows classes, chosen by a hash; every class goes down every tree. Classes of a leaf
-    are compared with each other, so a pair is found if any tree leaves it together. A pair counts in the first of
-    the leaves that it shares: rows carry their leaves of all trees, so links are counted without being listed. Leaves
-    hand on counts per row and a star of edges per group of linked rows; these stars are joined up.
+    fit_rows classes, chosen by a hash. Where that sample is dense, any cut would part links, so a dense group's classes
+    go down no tree: they are compared with each other and with all classes that can link to them, so all their links
+    are found. Every other class goes down every tree. Classes of a leaf are compared with each other, so a pair is
+    found if any tree leaves it together. A pair counts in the first of the leaves that it shares: rows carry their
+    leaves of all trees, so links are counted without being listed. Groups and leaves hand on counts per row and a star
+    of edges per group of linked rows; these stars are joined up.
 
     Null vec_id: no links, component_id null, kept. A vector that is null, empty, zero or holds a null or non-finite
     component: no links, a component of its own. Vectors of different lengths never link. Rows that repeat a vec_id
@@ -141,10 +189,13 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
     sizes = {r["dim"]: r["n"] for r in good.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     drawn = good.orderBy(F.xxhash64("vec_id", "r")).limit(fit_rows).select("dim", "embedding").toArrow()
     forests: dict[int, list[Tree]] = {}
+    centres: dict[int, np.ndarray] = {}
     for dim, n in sizes.items():
         own = drawn.filter(pa.compute.equal(drawn["dim"], dim))["embedding"].combine_chunks()
         sample = unit(_dense(own, dim)) if len(own) else np.zeros((0, dim))
-        forests[dim] = [Tree(sample, n, (seed, dim, t), spill, leaf) for t in range(trees)]
+        centres[dim] = dense_centres(sample, n, least, leaf)
+        rest = sample[gather(sample, centres[dim], least)[0] < 0]
+        forests[dim] = [Tree(rest, n * len(rest) / max(1, len(sample)), (seed, dim, t), spill, leaf) for t in range(trees)]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,25 +203,33 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
             for dim in np.unique(dims).tolist():
                 own = batch.filter(pa.array(dims == dim))
                 x = unit(_dense(own.column("embedding"), dim))
-                at = [tree.descend(x) for tree in forests[dim]]
-                row = np.concatenate([a for a, _ in at])
+                group, near, to = gather(x, centres[dim], least)
+                core, free = np.flatnonzero(group >= 0), np.flatnonzero(group < 0)
+                at = [tree.descend(x[free]) for tree in forests[dim]]
+                row = np.concatenate([free[a] for a, _ in at])
                 spot = np.concatenate([(t << 24) + b for t, (_, b) in enumerate(at)])
                 order = np.lexsort((spot, row))
                 row, spot = row[order], spot[order]
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(x)))])
                 spots = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(spot.astype(np.int32)))
-                back = pa.array(row)
+                guest = np.repeat([False, True], [len(row) + len(core), len(near)])
+                spot = np.concatenate([spot, (trees << 24) + group[core], (trees << 24) + to])
+                back = pa.array(np.concatenate([row, core, near]))
                 yield pa.RecordBatch.from_arrays(
-                    [*[own.column(c).take(back) for c in ("r", "vec_id", "w", "embedding", "dim")], pa.array(spot.astype(np.int32)), spots.take(back)],
-                    names=["r", "vec_id", "w", "embedding", "dim", "leaf", "leaves"],
+                    [*[own.column(c).take(back) for c in ("r", "vec_id", "w", "embedding", "dim")], pa.array(spot.astype(np.int32)), spots.take(back), pa.array(guest)],
+                    names=["r", "vec_id", "w", "embedding", "dim", "leaf", "leaves", "guest"],
                 )
 
     kinds = {f.name: f.dataType.simpleString() for f in good.schema}
-    shape = f"r long, vec_id {kinds['vec_id']}, w long, embedding {kinds['embedding']}, dim int, leaf int, leaves array<int>"
+    shape = f"r long, vec_id {kinds['vec_id']}, w long, embedding {kinds['embedding']}, dim int, leaf int, leaves array<int>, guest boolean"
     placed = work.keep(good.select("r", "vec_id", "w", "embedding", "dim").mapInArrow(place, shape), "leaves")
-    blocks = placed.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
-    units = split_join(placed, blocks, ["dim", "leaf"]).withColumn("b", F.pmod(F.xxhash64("r"), F.col("nb")).cast("int"))
-    units = units.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    # Own rows have the first nb blocks, guests the ng after them; guests of a group are not compared with each other.
+    number = [F.ceil(F.count_if(kind) / block).cast("int").alias(name) for kind, name in ((~F.col("guest"), "nb"), (F.col("guest"), "ng"))]
+    blocks = placed.groupBy("dim", "leaf").agg(*number).where("nb > 0")
+    spread = F.xxhash64("r")
+    units = split_join(placed, blocks, ["dim", "leaf"])
+    units = units.withColumn("b", F.when(F.col("guest"), F.col("nb") + F.pmod(spread, F.greatest("ng", F.lit(1)))).otherwise(F.pmod(spread, F.greatest("nb", F.lit(1)))).cast("int"))
+    units = units.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") + F.when(F.col("guest"), 0).otherwise(F.col("ng")) - 1)))
     units = units.select("dim", "leaf", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "r", "vec_id", "w", "embedding", "leaves")
 
     def compare(found: pd.DataFrame) -> pd.DataFrame:

@@ -106,3 +106,35 @@ def test_a_deep_forest_finds_the_links(spark, work):
     true = (unit @ unit.T >= 0.9).sum(axis=1) - 1
     mine = np.array([r.n_links for r in got.orderBy("vec_id").collect()])
     assert (mine <= true).all() and mine.sum() >= 0.99 * true.sum()
+
+
+def near_group(rng, n, spread, dim=64):
+    """Rows around one centre; at spread 0.23 two of them have a cosine of about 0.95, at 0.34 of about 0.9."""
+    centre = rng.standard_normal(dim)
+    noise = rng.standard_normal((n, dim)) / np.sqrt(dim)
+    return centre / np.linalg.norm(centre) + noise * spread
+
+
+@pytest.mark.parametrize("spreads", [(0.23,), (0.34,), (0.23, 0.34, 0.28)])
+def test_a_near_group_of_several_leaves_keeps_all_its_links(spark, work, spreads):
+    """Groups of alike but unequal vectors, each far larger than a leaf, among others: no link is lost, none counts twice."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.standard_normal((1500, 64)), *[near_group(rng, 700, s) for s in spreads]])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = forest.near_vectors(work, table, leaf=100, block=90).orderBy("vec_id").collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.9
+    assert [r.n_links for r in got] == (link.sum(axis=1) - 1).tolist()
+    i, j = np.nonzero(np.triu(link, 1))
+    label = forest.local_components(len(x), i, j)
+    assert [r.component_id for r in got] == label.tolist()
+
+
+def test_groups_whose_rows_reach_into_each_other(spark, work):
+    """A dense arc, longer than any link: its groups overlap, every pair still counts once."""
+    angle = np.random.default_rng(6).uniform(0, 2, 1500)
+    x = np.stack([np.cos(angle), np.sin(angle), np.full(1500, 0.1)], axis=1)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = forest.near_vectors(work, table, leaf=60, block=100, fit_rows=400).orderBy("vec_id").collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert [r.n_links for r in got] == ((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist()

@@ -11,13 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements by what they mean for the text around them.
-RAW = frozenset("script style noscript template iframe object svg math canvas audio video title textarea xmp noembed noframes".split())
+RAW = frozenset("script style noscript iframe title textarea xmp noembed noframes".split())
+EMBEDDED = frozenset("template object svg math canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head nav footer aside form button select dialog menu fieldset datalist map".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike"
     " strong sub sup time tt u var wbr".split()
 )
+# Elements that svg and math cannot hold, so that they end these, and those in them that hold HTML again.
+HTML_ONLY = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s"
+    " small span strong strike sub sup table tt u ul var".split()
+)
+HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 # Parts of class and id names, and roles, that mark what is not the article.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
@@ -49,10 +56,12 @@ _TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)
 _NAME = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/]|$)""", re.I)
 _COMMENT_END = re.compile(r"--!?>")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in EMBEDDED}
+_SELF_CLOSED = re.compile(r"(?<!=)(?:^|[\s\"'/]|(?:^|[\s\"'/])[^\s\"'=/]+)/\Z")
 _PARTS = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"\w+")
 
-GOOD, BAD, UNSURE = "good", "bad", "unsure"
+GOOD, BAD, UNSURE, LONG = "good", "bad", "unsure", "long"
 
 
 @dataclass
@@ -100,12 +109,14 @@ def _dropped(name: str, attributes: str, inside: int) -> bool:
 
 def blocks(html: str) -> list[Block]:
     """Text between block-level tags, in page order, without dropped elements. Broken markup is read as far as it goes:
-    an end tag closes the nearest open element of its name, and all left open inside it."""
+    an end tag closes the nearest open element of its name, and all left open inside it; an embedded element that no later
+    tag of the page ends holds nothing."""
     out: list[Block] = []
     text: list[str] = []
     linked = 0
-    # Name, whether it is dropped, how surely it is or lies in an article, whether it is a link or heading.
-    stack: list[tuple[str, bool, int, bool, bool]] = [("", False, 0, False, False)]
+    # Name, whether it is dropped, how surely it is or lies in an article, whether it is a link, a heading, and of svg or math.
+    stack: list[tuple[str, bool, int, bool, bool, bool]] = [("", False, 0, False, False, False)]
+    last_end: dict[str, int] = {}
 
     def close() -> None:
         nonlocal linked
@@ -142,20 +153,34 @@ def blocks(html: str) -> list[Block]:
                 if stack[i][0] == name:
                     del stack[i:]
                     break
+                if stack[i][0] == "template":  # what it holds ends nothing outside
+                    break
+            continue
+        foreign = stack[-1][5] and stack[-1][0] not in HTML_AGAIN
+        if foreign and name in HTML_ONLY:
+            while stack[-1][5]:
+                stack.pop()
+            foreign = False
+        if (foreign or name in ("svg", "math")) and _SELF_CLOSED.search(attributes):
             continue
-        if name in RAW:
+        if name in EMBEDDED:
+            if name not in last_end:
+                last_end[name] = max((e.start() for e in _END[name].finditer(html, at)), default=-1)
+            if last_end[name] < at:
+                continue
+        if name in RAW and not foreign:
             end = _RAW_END[name].search(html, at)
             at = end.end() if end else len(html)
             continue
         if name in VOID:
             continue
-        _, gone, inside, link, heading = stack[-1]
+        _, gone, inside, link, heading, _ = stack[-1]
         if name == "p" or name == "li":  # a new one ends the last one of its kind
             if stack[-1][0] == name:
                 stack.pop()
-                _, gone, inside, link, heading = stack[-1]
-        gone = gone or _dropped(name, attributes, inside)
-        stack.append((name, gone, max(inside, _holds(name, attributes)), link or name == "a", heading or re.fullmatch("h[1-6]", name) is not None))
+                _, gone, inside, link, heading, _ = stack[-1]
+        gone = gone or name in EMBEDDED or _dropped(name, attributes, inside)
+        stack.append((name, gone, max(inside, _holds(name, attributes)), link or name == "a", heading or re.fullmatch("h[1-6]", name) is not None, foreign or name in ("svg", "math")))
     add(html[at:])
     close()
     return out

@@ -86,3 +86,18 @@ def test_edges(spark):
     got = sorted((repr(r.page_id), r.text, r.n_chars) for r in pages_text(pages).collect())
     assert got == sorted([("1", "", 0), ("1", "", 0), ("None", "", 0), ("2", GOOD + " \U0001f600", len(GOOD) + 2)])
     assert pages_text(pages.where("false")).count() == 0
+
+
+def test_embedded_elements_do_not_cut_the_page():
+    for name in ("svg", "math"):
+        assert extract(f'<article><p>{GOOD}</p><{name} class="x"/><p>{GOOD}</p><{name}/>more</article>') == f"{GOOD} {GOOD} more"
+        assert extract(f'<article><{name}><title>t</title><style/><path d="x"/>gone</{name}><p>{GOOD}</p></article>') == GOOD
+        assert extract(f"<article><{name}><g>gone<p>{GOOD}</p><{name}>gone</{name}><p>{GOOD}</p></article>") == f"{GOOD} {GOOD}"
+    for name in ("svg", "object", "template", "video", "audio", "canvas", "math"):
+        assert extract(f"<article><{name}>gone<{name}>gone</{name}>gone</{name}><p>{GOOD}</p></article>") == GOOD
+        assert extract(f'<article><p>{GOOD}</p><{name} src="a"><p>{GOOD}</p></article>') == f"{GOOD} {GOOD}"
+        assert extract(f"<article><p><{name}>gone</{name}>{GOOD}</p><{name.upper()}>gone</{name.upper()} ></article>") == GOOD
+    assert extract(f"<article><div><p><video src=a></p><p>{GOOD}</p><video>gone</video></div></article>") == GOOD
+    assert extract(f"<article><div><template></div><p>gone</p></template><p>{GOOD}</p></div></article>") == GOOD
+    assert extract(f"<article><svg width=1/>gone</svg><p>{GOOD}</p></article>") == GOOD  # the slash is the value's
+    assert extract("<svg><video><object>" * 30_000 + f"<p>{GOOD}</p>") == GOOD

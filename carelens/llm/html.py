@@ -187,7 +187,10 @@ def blocks(html: str) -> list[Block]:
 
 
 def judge(block: Block) -> str:
-    """First pass. Link density, then length and stop words; inside an article only links speak against a block."""
+    """First pass. Link density, then length and stop words; inside an article only links speak against a block.
+
+    Elsewhere few stop words do not: another language, names, tables and code have few. But no word, or one over and over, is no text.
+    """
     length = len(block.text)
     words = _WORD.findall(block.text.lower())
     share = sum(w in STOP for w in words) / max(1, len(words))
@@ -197,18 +200,39 @@ def judge(block: Block) -> str:
         return GOOD if length >= SHORT or share >= STOP_SHARE else UNSURE
     if length < SHORT or block.heading:
         return UNSURE
-    return GOOD if share >= STOP_SHARE else BAD
+    if share >= STOP_SHARE:
+        return GOOD
+    return LONG if len(words) == 1 or len(set(words)) > 1 else BAD
+
+
+def _settle(found: list[Block], labels: list[str]) -> list[str]:
+    """The labels with long blocks of few stop words made good or bad."""
+    size = {kind: sum(len(b.text) for b, x in zip(found, labels, strict=True) if x == kind) for kind in (GOOD, LONG)}
+    if size[LONG] >= size[GOOD]:
+        return [GOOD if x == LONG else x for x in labels]
+    sides: list[set[str]] = [set() for _ in labels]
+    for order in (range(len(labels)), range(len(labels) - 1, -1, -1)):
+        last = None
+        for i in order:
+            if labels[i] in (GOOD, BAD):
+                last = labels[i]
+            elif last:
+                sides[i].add(last)
+    return [(BAD if sides[i] == {BAD} else GOOD) if x == LONG else x for i, x in enumerate(labels)]
 
 
 def decide(found: list[Block]) -> list[Block]:
     """Second pass: a block left open takes the label of the nearest decided one, of two equally near ones the good one
     inside an article and the bad one elsewhere; a heading goes with what follows. Where none is decided, an article's blocks are good.
 
+    Before, long blocks of few stop words: all are good if they outweigh the page's blocks that stop words speak for. Else
+    such a run of blocks is bad only if links or emptiness speak against it on every side where anything is decided.
+
     A page that marks its article says itself that text outside is something else.
     """
     best = max((b.inside for b in found), default=0)
     found = [b for b in found if b.inside == best]
-    labels = [judge(b) for b in found]
+    labels = _settle(found, [judge(b) for b in found])
     ahead: list[tuple[int, str] | None] = [None] * len(found)
     nearest = None
     for i in range(len(found) - 1, -1, -1):

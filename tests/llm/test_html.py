@@ -3,7 +3,7 @@
 import html as decode
 import re
 
-from carelens.llm.html import extract
+from carelens.llm.html import blocks, extract
 from carelens.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -101,3 +101,36 @@ def test_embedded_elements_do_not_cut_the_page():
     assert extract(f"<article><div><template></div><p>gone</p></template><p>{GOOD}</p></div></article>") == GOOD
     assert extract(f"<article><svg width=1/>gone</svg><p>{GOOD}</p></article>") == GOOD  # the slash is the value's
     assert extract("<svg><video><object>" * 30_000 + f"<p>{GOOD}</p>") == GOOD
+
+
+#: Paragraphs with few stop words of the list, or none: Polish, Finnish, Japanese, Russian, names, code, a table's row.
+OTHERS = [
+    "Wszystkie stare domy przy rynku spłonęły zimą, lecz mieszkańcy odbudowali je przed nadejściem kolejnej wiosny, bez niczyjej pomocy.",
+    "Vanhassa kaupungissa asui kauan sitten kalastaja, jonka vene katosi myrskyssä eikä kukaan enää nähnyt sitä missään rannalla.",
+    "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。吾輩はここで始めて人間というものを見た。",
+    "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему, говорил когда-то один писатель.",
+    "Anna Schmidt, Peter Novak, Maria Rossi, John Smith, Olga Petrova, Luis Gomez, Chen Wei, Fatima Hassan, Ingrid Larsen, Paul Dupont",
+    "def area(width, height): result = width * height; print(result); return result # computes rectangles quickly without checking input",
+    "Berlin 3645000 891.7 Hamburg 1841000 755.2 München 1472000 310.7 Köln 1086000 405.0 Frankfurt 753000 248.3 Stuttgart 635000 207.4",
+]
+
+
+def test_paragraphs_with_few_stop_words_on_pages_of_divs():
+    links = "<div>" + "".join(f'<a href="/{i}">entry number {i}</a> ' for i in range(8)) + "</div>"
+    for text in OTHERS:
+        assert extract(f"<body>{links}<div>{text}</div><div>{text}</div>{links}</body>") == f"{text} {text}"
+        assert extract(f"<body>{links}<div>{text}</div><div>{GOOD}</div>{links}</body>") == f"{text} {GOOD}"
+        assert extract(f"<body>{links}<div>{GOOD}</div><div>{text}</div><div>{GOOD}</div>{links}</body>") == f"{GOOD} {text} {GOOD}"
+        # A notice in a language of the list does not take the place of the text.
+        assert extract(f"<body><div>{GOOD}</div>{links}<div>{text}</div><div>{text}</div>{links}</body>") == f"{GOOD} {text} {text}"
+        # Where the page has more that is surely text, what stands between links only goes.
+        assert extract(f"<body><div>{GOOD}</div><div>{GOOD}</div>{links}<div>{text}</div>{links}</body>") == f"{GOOD} {GOOD}"
+    assert extract(f"<div>{'=' * 100}</div><div>{GOOD}</div>") == GOOD
+
+
+def test_given_pages_without_their_article_elements(spark):
+    """Every paragraph of 80 characters or more, in four languages, stays on the page made of divs."""
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        got = extract(re.sub(r"(</?)article>", r"\1div>", r.html))
+        assert all(b.text in got for b in blocks(body) if len(b.text) >= 80)

@@ -253,12 +253,12 @@ def _sets_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(values), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
-def drop_near(work: Work, docs: DataFrame) -> DataFrame:
-    """docs, all columns, with one document of each component: the one whose doc_id names it.
+def drop_near(work: Work, docs: DataFrame, percent: int = PERCENT, screen: float = SCREEN) -> DataFrame:
+    """docs, all columns, with one document of each component of links from percent: the one whose doc_id names it.
 
     Of rows that repeat a doc_id one stays. Rows without doc_id stay.
     """
-    found = work.keep(near_documents(work, docs), "near")
+    found = work.keep(near_documents(work, docs, percent, screen), "near")
     gone = found.where("NOT kept").select("doc_id").distinct()
     rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("doc"))
     left = rows.join(gone.withColumnRenamed("doc_id", "id"), "id", "left_anti")

@@ -112,3 +112,22 @@ def test_a_long_text_is_read_in_parts():
     assert np.diff(at).tolist() == [29_996, 1, 29_996]
     samples = minhash.minima(value, at)
     assert (samples[0] == samples[2]).all() and (samples[0] == (value[at[0] : at[1], None] * minhash._FACTORS).min(axis=0)).all()
+
+
+def kept_by_all_pairs(rows, percent):
+    """Ids that name their component when all pairs from percent are linked."""
+    sets, low = [(i, shingles(t)) for i, t in rows], {i: i for i, _ in rows}
+    links = [(a, b) for a, s in sets for b, t in sets if a < b and s and t and 100 * len(s & t) >= percent * len(s | t)]
+    for _ in rows:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    return sorted(i for i in low if low[i] == i)
+
+
+def test_drop_near_at_another_percent(work, frame):
+    """At 80, with a screen of 0.5, the copies of similarity 0.80 to 0.85 go that 85 leaves."""
+    rows = families(2)
+    docs = frame([(i, t, None) for i, t in rows])
+    left = {p: sorted(r.doc_id for r in minhash.drop_near(work, docs, p, s).collect()) for p, s in ((80, 0.5), (85, minhash.SCREEN))}
+    assert left == {p: kept_by_all_pairs(rows, p) for p in left}
+    assert len(left[80]) < len(left[85])

@@ -11,8 +11,9 @@ from carelens.llm.common import Work
 
 #: Lines found in so many documents go.
 MIN_DOCS = 10
-#: Shards of the index. A shard's filter holds the frequent lines whose digest falls to it, 5 to 10 bytes for each.
-SHARDS = 64
+#: Least shards of the index, and most lines for which a shard is meant; more lines get more shards, since one task holds
+#: the digests of a whole shard. A shard's filter holds the frequent lines whose digest falls to it, 5 to 10 bytes for each.
+SHARDS, SHARD_LINES = 64, 1 << 19
 _SPACE = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SLOTS, _KICKS = 4, 200
@@ -135,13 +136,19 @@ def _row_key(docs: DataFrame) -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "doc_id", "text").alias("k2")]
 
 
+def shards_for(found: DataFrame) -> int:
+    """Shards for an index of these occurrences. Lines are counted once per row, which is no less than the distinct ones."""
+    return max(SHARDS, -(-found.where("first").count() // SHARD_LINES))
+
+
 class LineIndex:
     """Which lines are frequent, kept up to date as documents come and go.
 
     counts: exact reference counts, one row per line digest of 128 bits, with the shard that the digest falls to.
     filters: one cuckoo filter per shard over the lines whose count has reached min_docs. A batch asks the filters
     first and confirms what they let through against counts, so the filters cost no exactness.
-    Every row of a batch is a document. insert and delete take whole documents; delete undoes insert.
+    Every row of a batch is a document. insert and delete take whole documents; delete undoes insert. The number of
+    shards stays as it was given; `shards_for` tells how many a batch asks for.
     """
 
     def __init__(self, work: Work, min_docs: int = MIN_DOCS, shards: int = SHARDS):
@@ -211,14 +218,14 @@ def strip(docs: DataFrame, found: DataFrame, frequent: DataFrame) -> DataFrame:
     return rows.select("doc", "n_lines", F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
 
 
-def line_dedup(work: Work, docs: DataFrame, min_docs: int = MIN_DOCS, shards: int = SHARDS) -> DataFrame:
+def line_dedup(work: Work, docs: DataFrame, min_docs: int = MIN_DOCS, shards: int | None = None) -> DataFrame:
     """`strip` of docs against an index that holds just docs.
 
     Null or empty text: one empty line, which stays. Repeated rows count as documents of their own and are treated
     alike. Null doc_id: a document like any other. A text whose lines all go is left empty. No rows: no rows.
     """
     found = work.keep(occurrences(docs), "lines")
-    index = LineIndex(work, min_docs, shards)
+    index = LineIndex(work, min_docs, shards or shards_for(found))
     index.insert(found)
     frequent = work.keep(index.frequent(found), "frequent")
     return strip(docs, found, frequent)

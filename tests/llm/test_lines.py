@@ -86,3 +86,20 @@ def test_filter_holds_what_it_was_given():
     assert held.contains(a[2500:], b[2500:]).all() and held.contains(a[:2500], b[:2500]).sum() < 5
     held.add(a[:2500], b[:2500])
     assert held.contains(a, b).all()
+
+
+def test_shards_grow_with_the_lines(work, frame, monkeypatch):
+    """No shard is meant for more than SHARD_LINES lines, and the result does not depend on it."""
+    made = []
+
+    class Seen(lines.LineIndex):
+        def __init__(self, work, min_docs, shards):
+            made.append(shards)
+            super().__init__(work, min_docs, shards)
+
+    monkeypatch.setattr(lines, "LineIndex", Seen)
+    monkeypatch.setattr(lines, "SHARD_LINES", 5, raising=False)
+    texts = [f"common\nown {i}\nmore {i}\ncommon" for i in range(200)]
+    out = lines.line_dedup(work, frame([(i, t, None) for i, t in enumerate(texts)]), 10).collect()
+    assert sorted(r.kept for r in out) == sorted(t.replace("common\n", "").replace("\ncommon", "") for t in texts)
+    assert made == [120]

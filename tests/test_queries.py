@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
-from carelens.registry import BUILDS
+from carelens.registry import BUILDS, ORACLES
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
+#: More rows, so that spans with a missing end meet other spans of the same patient.
+LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -14,11 +16,21 @@ def con():
     return connect(SF)
 
 
+@pytest.fixture(scope="module")
+def larger():
+    return connect(LARGER)
+
+
 @pytest.mark.parametrize("name", list(BUILDS))
 def test_same_as_sql(spark, con, name):
     assert compare(spark, con, name, SF).startswith("ok")
 
 
+@pytest.mark.parametrize("name", [n for n in BUILDS if n.startswith(("e", "d1", "d2", "d3", "v", "k2", "x9", "x10", "x11")) and n in ORACLES])
+def test_spans_on_more_rows(spark, larger, name):
+    assert compare(spark, larger, name, LARGER).startswith("ok")
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, html, lines, minhash, mixing, packing, substring, toxicity, units, vectors
+from carelens.llm import forest, html, lines, merkle, minhash, mixing, packing, substring, toxicity, units, vectors
 from carelens.llm.common import Work
 from carelens.llm.tokens import vocabulary
 
@@ -136,4 +136,48 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: The unsigned CRC-32 of a text, byte by byte with the table of its polynomial.
+_CRC = """bits AS (SELECT i, 0 AS k, i AS v FROM range(256) AS r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crcs AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII text, where the table crcs is joined."""
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda a, b: xor(a >> 8, t[CAST(xor(a & 255, b) AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _hashed(fields: dict[str, str]) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in (f"CAST({v} AS VARCHAR)" for v in fields.values())) + ")"
+
+
+_FIELDS = {c: c for c in merkle.FIELDS}
+
+
+@_query("op13_merkle_manifest", f"""
+WITH RECURSIVE {_CRC},
+hashed AS (SELECT row_number() OVER () AS r, doc_id, lang, {_hashed(_FIELDS)} AS leaf,
+             CASE WHEN n_chars IS NOT NULL AND {_crc("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_hashed(_FIELDS | {"n_chars": "(n_chars + 1)"})} END AS raised
+           FROM documents, crcs),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+up AS (SELECT lang, 0 AS level, i, n, leaf AS node FROM leaves
+  UNION ALL SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY lang, level, i // 2, n),
+langs AS (SELECT lang, node, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+high AS (SELECT 0 AS level, i, n, node FROM langs
+  UNION ALL SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 2, n),
+way AS (SELECT r, lang, 0 AS level, i, n, coalesce(raised, leaf) AS node, '' AS seen FROM leaves
+  UNION ALL SELECT r, w.lang, w.level + 1, w.i // 2, (w.n + 1) // 2, sha256(CASE w.i % 2 WHEN 1 THEN u.node || w.node ELSE w.node || coalesce(u.node, '') END), seen || coalesce(u.node, '')
+    FROM way w LEFT JOIN up u ON u.lang IS NOT DISTINCT FROM w.lang AND u.level = w.level AND u.i = w.i + 1 - 2 * (w.i % 2) WHERE w.n > 1),
+on_top AS (SELECT r, lang, 0 AS level, l.i, l.n, w.node, seen, l.node AS subroot FROM way w JOIN langs l USING (lang) WHERE w.n = 1 AND lang IS NOT NULL
+  UNION ALL SELECT r, w.lang, 0, l.i, l.n, w.node, seen, l.node FROM way w JOIN langs l ON l.lang IS NULL AND w.lang IS NULL WHERE w.n = 1
+  UNION ALL SELECT r, lang, w.level + 1, w.i // 2, (w.n + 1) // 2, sha256(CASE w.i % 2 WHEN 1 THEN u.node || w.node ELSE w.node || coalesce(u.node, '') END), seen || coalesce(u.node, ''), subroot
+    FROM on_top w LEFT JOIN high u ON u.level = w.level AND u.i = w.i + 1 - 2 * (w.i % 2) WHERE w.n > 1)
+SELECT l.doc_id, l.leaf, w.subroot, h.node AS root, sha256(w.seen) AS proof_sha256, w.node AS folded_root, w.node = h.node AS verified
+FROM leaves l JOIN on_top w ON w.r = l.r AND w.n = 1 JOIN high h ON h.n = 1""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    out = merkle.manifest(Work(spark, "op13"), _table(spark, sf_dir, "documents"), tampered)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 _query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

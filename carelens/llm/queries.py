@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, html, lines, merkle, minhash, mixing, packing, substring, toxicity, units, vectors
+from carelens.llm import forest, html, lines, merkle, minhash, mixing, packing, substring, toxicity, trie, units, vectors
 from carelens.llm.common import Work
 from carelens.llm.tokens import vocabulary
 
@@ -151,6 +151,28 @@ def _hashed(fields: dict[str, str]) -> str:
     return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in (f"CAST({v} AS VARCHAR)" for v in fields.values())) + ")"
 
 
+@_query("op11_prefix_trie", f"""
+WITH RECURSIVE {_CRC},
+own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p,
+          coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id AS c, conv_id - conv_id % 20 AS base, {_crc("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own, crcs),
+rebuilt AS (SELECT c, p, role, text FROM convs JOIN own ON conv_id = base WHERE p <= h UNION ALL SELECT c, p + 3, role, text FROM convs JOIN own ON conv_id = c WHERE p > h),
+turned AS (SELECT c, row_number() OVER w AS d, count(*) OVER (PARTITION BY c) AS n, text,
+             md5(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY p)) AS start FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY p)),
+ways AS (SELECT c, d, n, start, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM turned
+  UNION ALL SELECT c, 0, coalesce(n, 0), '', 0 FROM convs LEFT JOIN (SELECT DISTINCT c, n FROM turned) AS t USING (c)),
+named AS (SELECT *, min(c) OVER (PARTITION BY d, start) AS node FROM ways),
+nodes AS (SELECT node, d, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = n), '')) AS ends_sha256,
+            CAST(count(*) = count(*) FILTER (d = n) AS BIGINT) AS leaf FROM named GROUP BY node, d),
+below AS (SELECT w.node, w.d, sum(u.leaf) AS n_leaves, sum(u.saved) AS saved_tokens, count(*) FILTER (u.d = w.d + 1) AS n_children
+          FROM nodes u JOIN named w ON w.c = u.node AND w.d <= u.d GROUP BY w.node, w.d)
+SELECT m.node AS conv_id, m.d AS depth, w.node AS parent_conv_id, m.n_convs, b.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM nodes m JOIN below b ON b.node = m.node AND b.d = m.d LEFT JOIN named w ON w.c = m.node AND w.d = m.d - 1""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Work(spark, "op11")
+    return trie.trie(work, *trie.share_starts(work, trie.turns(work, _table(spark, sf_dir, "conversations"))))
+
+
 _FIELDS = {c: c for c in merkle.FIELDS}
 
 

@@ -1 +1 @@
-"""Operators of a training-data pipeline: ten text and vector operators, each by a method of its own."""
+"""Operators of a training-data pipeline: thirteen operators on texts, vectors, conversations and rows, each by a method of its own."""

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import forest, html, lines, merkle, minhash, mixing, packing, substring, toxicity, trie, units, vectors
+from carelens.llm import forest, html, lines, merkle, minhash, mixing, packing, spots, substring, toxicity, trie, units, vectors
 from carelens.llm.common import Work
 from carelens.llm.tokens import vocabulary
 
@@ -136,6 +136,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("op12_spot_fingerprints")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.fingerprint_docs(Work(spark, "op12"), _table(spark, sf_dir, "documents"))
+
+
 #: The unsigned CRC-32 of a text, byte by byte with the table of its polynomial.
 _CRC = """bits AS (SELECT i, 0 AS k, i AS v FROM range(256) AS r(i)
   UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),

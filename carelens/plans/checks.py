@@ -14,7 +14,7 @@ from carelens.functions.rulesets import VARIABLE_RULES, Flag, VariableRule, flag
 from carelens.operators import flags as fl
 from carelens.operators import linkage, profile
 from carelens.plans.level2 import DETAIL, port_checks
-from carelens.sources import sinks
+from carelens.sources import runs, sinks
 from carelens.sources.tables import Tables, table, union_all
 
 ABORT_CHECKS = {"100", "101", "200", "217", "218", "219"}
@@ -97,11 +97,20 @@ def run_checks(
     enabled: list[str] | None = None,
     disabled: list[str] | None = None,
 ) -> Outcome:
-    """Run the checks and write their flags; `enabled`, if given, wins over `disabled`.
+    """Run the checks and publish their flags; `enabled`, if given, wins over `disabled`.
 
     A level is written before the next one is built. Only the smallest id of a fatal check with
-    flags comes to the driver.
+    flags comes to the driver. Flags and counts are published together; a check that fails leaves
+    those published before (see `runs`).
     """
+    with runs.Run(spark, out_dir) as run:
+        done = _levels(run, tables, enabled, disabled)
+        run.status, run.stopped_at = done.status, done.stopped_at
+    return done
+
+
+def _levels(run: runs.Run, tables: Tables, enabled: list[str] | None, disabled: list[str] | None) -> Outcome:
+    spark = run.spark
     done = Outcome(disabled=[] if enabled else list(disabled or []))
     mil = table(tables, "mil")
     levels = [
@@ -113,16 +122,14 @@ def run_checks(
     for n, build in enumerate(levels, 1):
         check = F.substring_index("flagid", "_", -1)
         wanted = check.isin(enabled) if enabled else ~check.isin(done.disabled) if done.disabled else F.lit(True)
-        path = f"{out_dir}/{sinks.WORK_ZONE}/level_{n}"  # may hold flags that the result leaves out
-        build().where(wanted).write.mode("overwrite").parquet(path)
-        flags = spark.read.parquet(path)
+        flags = spark.read.parquet(run.write_work(build().where(wanted), f"level_{n}"))  # may hold flags that the result leaves out
         fatal = check.isin(sorted(ABORT_CHECKS)) & (F.col("abort_yn") == "Y")
         first = flags.where(fatal).agg(F.min(check).alias("c")).first()["c"]
         kept.append(flags if first is None else flags.where(check <= first))
         if first is not None:
             done.status, done.stopped_at = "aborted", first
             break
-    done.flags = sinks.write_row_flags(spark, kept, out_dir)
+    done.flags = run.write_rows(sinks.align_flags(spark, kept), "flags")
     written = spark.read.parquet(done.flags)
-    done.counts = sinks.write_aggregate(fl.count_rows(written), out_dir, "flag_counts")
+    done.counts = run.write_aggregate(fl.count_rows(written), "flag_counts")
     return done

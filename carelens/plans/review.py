@@ -2,7 +2,8 @@
 
 Each step's tables are written before the next step reads them, so nothing is computed twice and a
 lost executor costs one step at most. The decision to go on asks the written flag counts for one
-fatal row; nothing else comes to the driver.
+fatal row; nothing else comes to the driver. The tables are staged and published together when the
+review ends, also when fatal flags ended it; one that fails leaves the published tables alone.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from carelens.operators import flags as fl
 from carelens.plans import level1, level2, level3, snapshot
 from carelens.plans.level2 import LinkageRules
-from carelens.sources import sinks
+from carelens.sources import runs, sinks
 from carelens.sources.tables import Tables, table
 
 
@@ -27,15 +28,14 @@ class Outcome:
     written: dict[str, str] = field(default_factory=dict)
 
 
-def _write(tables: Tables, partner: str, out_dir: str) -> dict[str, str]:
+def _write(run: runs.Run, tables: Tables, partner: str) -> dict[str, str]:
     """Masters and working tables to the row zone, the rest past the guard to the aggregate zone."""
     written = {}
     for name, df in tables.items():
         if "mstr" in name or name in sinks.NOT_PUBLISHED:
-            written[name] = f"{out_dir}/{sinks.ROW_ZONE}/{name}"
-            df.write.mode("overwrite").parquet(written[name])
+            written[name] = run.write_rows(df, name)
         else:
-            written[name] = sinks.write_aggregate(sinks.add_partner(df, partner), out_dir, name)
+            written[name] = run.write_aggregate(sinks.add_partner(df, partner), name)
     return written
 
 
@@ -56,14 +56,30 @@ def review(
 ) -> Outcome:
     """Levels 1 to 3 of the linkage table, then the population summaries.
 
-    `previous`, the flag counts of the load before, adds the comparison for sign-off.
+    `previous`, the flag counts of the load before, adds the comparison for sign-off; they may be those published in
+    out_dir. Where an exception ends the review, what was published before stays (see `runs`).
     """
-    done = Outcome()
+    with runs.Run(spark, out_dir) as run:
+        done = _levels(run, tables, partner, window, rules, maxdate, previous)
+        run.status, run.stopped_at = done.status, None if done.status == runs.COMPLETED else f"level {done.level}"
+    return done
+
+
+def _levels(
+    run: runs.Run,
+    tables: Tables,
+    partner: str,
+    window: tuple[Column, Column] | None,
+    rules: LinkageRules | None,
+    maxdate: Column | None,
+    previous: DataFrame | None,
+) -> Outcome:
+    spark, done = run.spark, Outcome()
 
     def put(level: int, built: Tables) -> Tables:
         """Write one step's tables and give them as read from there."""
         done.level = level
-        paths = _write(built, partner, out_dir)
+        paths = _write(run, built, partner)
         done.written |= paths
         return {name: spark.read.parquet(path) for name, path in paths.items()}
 

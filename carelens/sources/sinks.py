@@ -94,5 +94,11 @@ def publishable(tables: Tables, partner: str, deny: list[str] = NOT_PUBLISHED) -
 
 
 def publish(tables: Tables, partner: str, out_dir: str, deny: list[str] = NOT_PUBLISHED) -> list[str]:
-    """Write every publishable table to the aggregate zone."""
-    return [write_aggregate(df, out_dir, n) for n, df in publishable(tables, partner, deny).items()]
+    """Write every publishable table and publish them together; where they lie. One that fails keeps all back."""
+    from carelens.sources.runs import Run  # which builds on the zones above
+
+    ready = publishable(tables, partner, deny)
+    if not ready:
+        return []
+    with Run(next(iter(ready.values())).sparkSession, out_dir) as run:
+        return [run.write_aggregate(df, n) for n, df in ready.items()]

@@ -137,19 +137,18 @@ def _edit(text: str, other: str) -> str:
     return text[: len(text) - k] + other[:k]
 
 
-def _rows(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
-    """Fingerprints of texts, of their edited forms, and how alike both and the texts that follow them are."""
-    n = len(texts)
-    edited = [_edit(t, f) for t, f in zip(texts, following, strict=True)]
-    body = [t.encode() for t in edited]
-    keys, starts = signatures([*(t.encode() for t in texts), *(t.encode() for t in following), *body])
+def _rows(ids: list, texts: list[str]) -> pa.RecordBatch:
+    """Fingerprints of all texts but the last, of their edited forms, and how alike both and the next texts are."""
+    n = len(ids)
+    edited = [_edit(t, f).encode() for t, f in zip(texts, texts[1:], strict=False)]
+    keys, starts = signatures([*(t.encode() for t in texts), *edited])
     own = np.arange(n)
     prints = fingerprints(keys, starts)
     columns = {
-        "doc_id": pa.array(ids, pa.int64()), "n_chars": pa.array([len(t) for t in texts], pa.int64()),
-        "edited_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in body]),
-        "fingerprint": pa.array(prints[:n], pa.string()), "edited_fingerprint": pa.array(prints[2 * n :], pa.string()),
-        "near_edited": pa.array(likeness(keys, starts, own, own + 2 * n)), "near_next": pa.array(likeness(keys, starts, own, own + n)),
+        "doc_id": pa.array(ids, pa.int64()), "n_chars": pa.array([len(t) for t in texts[:n]], pa.int64()),
+        "edited_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in edited]),
+        "fingerprint": pa.array(prints[:n], pa.string()), "edited_fingerprint": pa.array(prints[n + 1 :], pa.string()),
+        "near_edited": pa.array(likeness(keys, starts, own, own + n + 1)), "near_next": pa.array(likeness(keys, starts, own, own + 1)),
     }
     return pa.RecordBatch.from_pydict(columns)
 
@@ -195,7 +194,7 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, texts = [held[0], *ids], [held[1], *texts]
             held = ids[-1], texts[-1], place
             if len(ids) > 1:
-                done = _rows(ids[:-1], texts[:-1], texts[1:])
+                done = _rows(ids[:-1], texts)
                 blank = [pa.nulls(done.num_rows, shape.field(x).type) for x in ("edge", "range", "text")]
                 yield pa.RecordBatch.from_arrays([*blank, *done.columns], schema=shape)
     if held is not None:
@@ -206,7 +205,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             ids, text, following = (batch.column(k)[i].as_py() for k in range(3))
-            yield _rows([ids], [text], [following])
+            yield _rows([ids], [text, following])
 
 
 def fingerprint_docs(work: Work, docs: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelens.sources import work
+
 # Fields that must agree, and the one that is only reported.
 STRICT = ["flagid", "flag_descr", "flag_type", "abort_yn"]
 INFORMATIONAL = ["message"]
@@ -178,7 +180,8 @@ def result_differences(expected: DataFrame, actual: DataFrame, keys: list[str])
     """How often rows stand on one side more than on the other, by key, field by field, and by flag id.
 
     Both sides are counted together, one row per distinct row: equal rows meet in the aggregate, however
-    often a key repeats, and a null equals a null only. kind is missing or unexpected (a key of one
+    often a key repeats, and a null equals a null only. These counts are written once (`work.cut`), so each
+    side is computed once; all that follows reads them. kind is missing or unexpected (a key of one
     side), rows (a common key with differing numbers of rows), strict or message (a value of a common
     key's field, with its counts on both sides), flagid_expected_only or flagid_actual_only.
     """
@@ -191,28 +194,41 @@ def result_differences(expected: DataFrame, actual: DataFrame, keys: list[str])
         return df.select(*[F.col(c).cast("string").alias(c) for c in columns], F.lit(e).alias("e"), F.lit(a).alias("a"))
 
     sums = [F.sum("e").cast("long").alias("e"), F.sum("a").cast("long").alias("a")]
-    rows = side(expected, 1, 0).unionByName(side(actual, 0, 1)).groupBy(*columns).agg(*sums)
-    by_key = rows.groupBy(*keys).agg(*sums)
+    rows = work.cut(side(expected, 1, 0).unionByName(side(actual, 0, 1)).groupBy(*columns).agg(*sums))
+
+    # Every count that is told is a sum over one grouping of these rows: by key, by key and a field's value, by flag id.
+    def entry(kind: str, key: bool, field: str | None = None, value: Column | None = None) -> Column:
+        nothing = F.lit(None).cast("string")
+        named = [(F.col(k) if key else nothing).alias(k) for k in keys]
+        return F.struct(F.lit(kind).alias("kind"), *named, F.lit(field).cast("string").alias("field"), (nothing if value is None else value).alias("value"))
+
+    entries = [entry("key", True)]
+    # Rows that stand equally often on both sides cannot make a value differ.
+    entries += [F.when(F.col("e") != F.col("a"), entry(kind, True, c, F.col(c))) for c, kind in fields.items()]
+    if "flagid" in columns:
+        entries.append(F.when(F.col("flagid").isNotNull(), entry("flagid", False, "flagid", F.col("flagid"))))
+    told = rows.select(F.explode(F.array(*entries)).alias("t"), "e", "a").where("t is not null")
+    told = work.cut(told.groupBy("t").agg(*sums).select("t.*", "e", "a").where("e <> a or kind = 'key'"))
+
     key_text = F.concat_ws("|", *[F.coalesce(k, F.lit("(null)")) for k in keys])
-    told = [F.lit("").alias("field"), F.lit(None).cast("string").alias("value"), "e", "a"]
-    kind = F.when(F.col("a") == 0, "missing").when(F.col("e") == 0, "unexpected").otherwise("rows")
-    out = by_key.where("e <> a").select(kind.alias("kind"), key_text.alias("key"), *told)
+    side_only = F.when(F.col("a") == 0, "expected").when(F.col("e") == 0, "actual")
+    kind = (
+        F.when((F.col("kind") == "key") & (side_only == "expected"), "missing")
+        .when((F.col("kind") == "key") & (side_only == "actual"), "unexpected")
+        .when(F.col("kind") == "key", "rows")
+        .when(F.col("kind") == "flagid", F.concat(F.lit("flagid_"), side_only, F.lit("_only")))
+    )
+    first = F.col("kind").isin("key", "flagid")
+    whole = told.where(first & (F.col("e") != F.col("a"))).select(
+        kind.alias("kind"), F.when(F.col("kind") == "flagid", F.col("value")).otherwise(key_text).alias("key"), F.coalesce("field", F.lit("")).alias("field"), "value", "e", "a"
+    )
+    out = whole.where("kind is not null")
     if fields:
-        values = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("field"), F.col(c).alias("value")) for c, k in fields.items()])
-        # Rows that stand equally often on both sides cannot make a value differ.
-        differing = rows.where("e <> a").select(*keys, F.explode(values).alias("v"), "e", "a")
-        differing = differing.groupBy(*keys, "v").agg(*sums).where("e <> a")
-        matched = by_key.where("e > 0 and a > 0").select(*[F.col(k).alias(f"m_{k}") for k in keys])
+        # A field is told for keys of both sides only.
+        matched = told.where("kind = 'key' and e > 0 and a > 0").select(*[F.col(k).alias(f"m_{k}") for k in keys])
         same = [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys]
-        differing = differing.join(matched, same, "left_semi")
-        out = out.unionByName(differing.select("v.kind", key_text.alias("key"), "v.field", "v.value", "e", "a"))
-    if "flagid" in columns:
-        ids = (by_key if "flagid" in keys else rows).where("flagid is not null").groupBy("flagid").agg(*sums)
-        one = ids.where("e = 0 or a = 0").select(
-            F.when(F.col("a") == 0, "flagid_expected_only").otherwise("flagid_actual_only").alias("kind"),
-            F.col("flagid").alias("key"), F.lit("flagid").alias("field"), F.col("flagid").alias("value"), "e", "a",
-        )
-        out = out.unionByName(one)
+        differing = told.where(~first).join(matched, same, "left_semi")
+        out = out.unionByName(differing.select("kind", key_text.alias("key"), "field", "value", "e", "a"))
     return out.withColumnsRenamed({"e": "n_expected", "a": "n_actual"})
 
 

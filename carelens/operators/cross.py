@@ -110,26 +110,33 @@ def value_lengths(tables: Tables, variable: str) -> DataFrame:
     )
 
 
-def value_length_mismatch(lengths: DataFrame, table1: str, table2: str, variable: str) -> DataFrame:
-    """Pairs of observed lengths that differ between two tables.
+def _observed(table: str, variable: str) -> Column:
+    return (F.col("tabid") == table.upper()) & (F.col("variable") == variable)
+
 
-    Works on distinct lengths, at most as many as the longest id has characters; a table without
-    values has one missing length.
+def value_length_differences(lengths: DataFrame, table1: str, table2: str, variable: str) -> DataFrame:
+    """Observed lengths that only one of two tables has: the other side is null; and how many values have them.
+
+    Compares the histograms that `value_lengths` gives, by two sums per length, so there are no more rows than lengths.
     """
-    def of(table: str) -> Column:
-        here = (F.col("tabid") == table.upper()) & (F.col("variable") == variable)
-        return F.collect_set(F.when(here, F.col("valuelength")))
+    here = [_observed(t, variable) for t in (table1, table2)]
+    sums = [F.sum(F.when(on, F.col("count"))).alias(f"count{n}") for n, on in enumerate(here, 1)]
+    sides = [F.when(F.col(f"count{n}").isNotNull(), F.col("valuelength")).alias(f"length{n}") for n in (1, 2)]
+    names = [F.lit(table1.upper()).alias("table1"), F.lit(table2.upper()).alias("table2"), F.lit(variable).alias("variable")]
+    both = lengths.where(here[0] | here[1]).groupBy("valuelength").agg(*sums)
+    return both.where("count1 IS NULL OR count2 IS NULL").select(*names, *sides, "count1", "count2")
 
-    sets = lengths.agg(of(table1).alias("s1"), of(table2).alias("s2"))
-    pairs = sets.select(F.explode_outer("s1").alias("length1"), "s2").select(
-        "length1", F.explode_outer("s2").alias("length2")
-    )
+
+def value_length_mismatch(lengths: DataFrame, table1: str, table2: str, variable: str) -> DataFrame:
+    """Every pair of unequal observed lengths of two tables, for parity; `value_length_differences` tells which differ.
+
+    As many rows as the product of both numbers of lengths, of which there are at most as many as the longest id has
+    characters; a table without values has one missing length.
+    """
+    sets = lengths.agg(*[F.collect_set(F.when(_observed(t, variable), F.col("valuelength"))).alias(f"s{n}") for n, t in ((1, table1), (2, table2))])
+    pairs = sets.select(F.explode_outer("s1").alias("length1"), "s2").select("length1", F.explode_outer("s2").alias("length2"))
     return pairs.where(~F.col("length1").eqNullSafe(F.col("length2"))).select(
-        F.lit(table1.upper()).alias("table1"),
-        F.lit(table2.upper()).alias("table2"),
-        F.lit(variable).alias("variable"),
-        "length1",
-        "length2",
+        F.lit(table1.upper()).alias("table1"), F.lit(table2.upper()).alias("table2"), F.lit(variable).alias("variable"), "length1", "length2"
     )
 
 

@@ -484,6 +484,25 @@ def _(d: Data) -> DataFrame:
     return cross.value_length_mismatch(lengths, "enr", "dem", "patid")
 
 
+_NAMES = {"part": "p_name", "nation": "n_name", "region": "r_name"}
+
+
+@query(
+    "x6_value_length_differences",
+    "WITH "
+    + ", ".join(f"{t[0]} AS (SELECT CAST(LENGTH({c}) AS INTEGER) AS l, COUNT(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY ALL)" for t, c in _NAMES.items())
+    + " UNION ALL ".join(
+        f""" SELECT 'PART' AS table1, '{t.upper()}' AS table2, 'name' AS variable, p.l AS length1, {t[0]}.l AS length2, p.n AS count1, {t[0]}.n AS count2
+        FROM p FULL OUTER JOIN {t[0]} ON p.l = {t[0]}.l WHERE p.l IS NULL OR {t[0]}.l IS NULL"""
+        for t in ("nation", "region")
+    ),
+)
+def _(d: Data) -> DataFrame:
+    named = {t: d(t).select(F.col(c).alias("name")) for t, c in _NAMES.items()}
+    lengths = cross.value_lengths(named, "name")
+    return tables.union_all([cross.value_length_differences(lengths, "part", t, "name") for t in ("nation", "region")])
+
+
 @query(
     "x7_attribute_mismatch",
     """SELECT DISTINCT 'sex' AS variable, m.sex AS value FROM mil m JOIN dem x ON m.mpatid IS NOT DISTINCT FROM x.patid

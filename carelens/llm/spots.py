@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,7 +185,7 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
     held: tuple | None = None
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(1)).to_pylist()
+        sizes = pc.binary_length(batch.column(1)).to_pylist()
         for i, j in _chunks(sizes):
             part = batch.slice(i, j - i)
             ids, texts, place = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)[0].as_py()

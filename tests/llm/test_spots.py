@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pytest
@@ -31,7 +32,8 @@ def brute(text):
             last = i
         elif not (i - last >= spots.DROUGHT and int(spots._hashes_of([w])[0]) % spots.STAND_IN == 0):
             continue
-        chain = [words[k] for k in content if k > i][: spots.CHAIN]
+        k = bisect_right(content, i)
+        chain = [words[c] for c in content[k : k + spots.CHAIN]]
         if len(chain) == spots.CHAIN:
             out.add((w, *chain))
     if text:

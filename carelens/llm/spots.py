@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,7 +161,7 @@ _HEAD, _TAIL = 1, 2
 
 
 def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about CHUNK_BYTES code points, or of one row."""
+    """Ranges of rows of about CHUNK_BYTES in all, or of one row."""
     i, held = 0, 0
     for j, size in enumerate(sizes):
         if held and held + size > CHUNK_BYTES:
@@ -171,8 +172,13 @@ def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield i, len(sizes)
 
 
+@F.arrow_udf("binary")
+def _packed(texts: pa.Array) -> pa.Array:
+    return pa.array([zlib.compress(t.encode(), 1) for t in texts.to_pylist()], pa.binary())
+
+
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text, range) of a range in order: results of all but the last, whose follower is in a later range;
+    """Rows (doc_id, packed text, range) of a range in order: results of all but the last, whose follower is in a later range;
     that one and the first come with their texts, as edges."""
 
     def edge(kind: int, place: int, doc_id: int | None, text: str) -> pa.RecordBatch:
@@ -186,9 +192,10 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple | None = None
     for batch in batches:
         sizes = pc.binary_length(batch.column(1)).to_pylist()
-        for i, j in _chunks(sizes):
+        for i, j in _chunks([3 * size for size in sizes]):
             part = batch.slice(i, j - i)
-            ids, texts, place = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)[0].as_py()
+            ids, place = part.column(0).to_pylist(), part.column(2)[0].as_py()
+            texts = [zlib.decompress(t).decode() for t in part.column(1).to_pylist()]
             if held is None:
                 yield edge(_HEAD, place, ids[0], texts[0])
             else:
@@ -218,13 +225,13 @@ def fingerprint_docs(work: Work, docs: DataFrame) -> DataFrame:
     replaced by the first as many, or all, of the next text. Null text: empty; its fingerprint is empty, too, and alike
     to none but an empty one. Other columns take no part. No rows: no rows.
 
-    Texts move once, in a range sort. A task reads its range in order and holds one text and a piece of a batch; only a
+    Texts move once, packed, in a range sort. A task reads its range in order and holds one text and a piece of a batch; only a
     range's first and last texts are written, to be brought together with the last and first of the ranges beside it.
     """
     order = [F.desc_nulls_last("doc_id"), F.asc("_hash"), F.asc("_read")]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumns({"_hash": F.xxhash64("text"), "_read": F.monotonically_increasing_id()})
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("range"))
+    rows = rows.select("doc_id", _packed("text").alias("packed"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_read"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "packed", F.spark_partition_id().alias("range"))
     found = work.keep(rows.mapInArrow(_in_order, _EDGE), "fingerprints")
     ranges = found.where(F.col("edge") == _TAIL).select("range")
     wide = Window.orderBy("range")  # a number per range

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from bisect import bisect_right
 
 import numpy as np
@@ -104,7 +105,7 @@ def test_pieces_of_batches(spark, work, monkeypatch):
     many = texts(4, 60)
     monkeypatch.setattr(spots, "CHUNK_BYTES", 50)
     ids, bodies = list(range(len(many)))[::-1], sorted(many)
-    batches = [spots.pa.record_batch([spots.pa.array(ids[i : i + 9], spots.pa.int64()), spots.pa.array(bodies[i : i + 9]), spots.pa.array([4] * len(ids[i : i + 9]), spots.pa.int32())], names=["doc_id", "text", "range"]) for i in range(0, len(ids), 9)]
+    batches = [spots.pa.record_batch([spots.pa.array(ids[i : i + 9], spots.pa.int64()), spots.pa.array([zlib.compress(t.encode()) for t in bodies[i : i + 9]]), spots.pa.array([4] * len(ids[i : i + 9]), spots.pa.int32())], names=["doc_id", "text", "range"]) for i in range(0, len(ids), 9)]
     out = [r for b in spots._in_order(iter(batches)) for r in b.to_pylist()]
     done = [r for r in out if r["edge"] is None]
     assert [(r["edge"], r["doc_id"]) for r in out if r["edge"]] == [(1, ids[0]), (2, ids[-1])]

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelens.llm.common import CHUNK_BYTES, Work, mix64
@@ -172,9 +172,12 @@ def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield i, len(sizes)
 
 
-@F.arrow_udf("binary")
-def _packed(texts: pa.Array) -> pa.Array:
-    return pa.array([zlib.compress(t.encode(), 1) for t in texts.to_pylist()], pa.binary())
+def _packed(text: Column) -> Column:
+    @F.arrow_udf("binary")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([zlib.compress(t.encode(), 1) for t in texts.to_pylist()], pa.binary())
+
+    return run(text)
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +233,7 @@ def fingerprint_docs(work: Work, docs: DataFrame) -> DataFrame:
     """
     order = [F.desc_nulls_last("doc_id"), F.asc("_hash"), F.asc("_read")]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", _packed("text").alias("packed"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_read"))
+    rows = rows.select("doc_id", _packed(F.col("text")).alias("packed"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_read"))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "packed", F.spark_partition_id().alias("range"))
     found = work.keep(rows.mapInArrow(_in_order, _EDGE), "fingerprints")
     ranges = found.where(F.col("edge") == _TAIL).select("range")

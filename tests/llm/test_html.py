@@ -1,8 +1,14 @@
 """Main text of pages: given pages against their marked article, and hand-made ones for each rule."""
 
 import html as decode
+import random
 import re
+from collections import Counter
+from html.parser import HTMLParser
 
+import pytest
+
+from carelens.llm import html as rules
 from carelens.llm.html import blocks, extract
 from carelens.llm.queries import QUERIES
 
@@ -70,7 +76,7 @@ def test_broken_markup():
     assert extract(f"<article><p>{GOOD} 1 < 2 &amp; 3 > 2</p></div></b></article>") == f"{GOOD} 1 < 2 & 3 > 2"
     assert extract(f"<article><p>{GOOD}</p><script>never closed") == GOOD
     assert extract(f"<article><p>{GOOD}</p><!-- never closed") == GOOD
-    assert extract(f"<nav><ul><li>the a of<article><p>{GOOD}</p></article>") == ""  # what an open menu holds is menu
+    assert extract(f"<nav><ul><li>the a of<article><p>{GOOD}</p></article>") == GOOD  # a menu that nothing ends holds the article
     deep = "<div>" * 50_000 + GOOD
     assert extract(deep) == GOOD
     long = f"<article><p>{GOOD * 20_000}</p></article>"
@@ -134,3 +140,175 @@ def test_given_pages_without_their_article_elements(spark):
         body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         got = extract(re.sub(r"(</?)article>", r"\1div>", r.html))
         assert all(b.text in got for b in blocks(body) if len(b.text) >= 80)
+
+
+NOTE = "All of the comments by readers are to be read with care, and they have not been the opinion of this site."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='overflow-hidden'><article><p>{}</p></article></div>",
+        "<div class='wrap has-sidebar'><main><p>{}</p></main></div>",
+        "<div id='page' class='site no-sidebar'><article><p>{}</p></article></div>",
+        "<form action='x'><input name='state'><div><main><p>{}</p></main></div></form>",
+        "<nav><ul><li><a href='a'>one</a><article><p>{}</p></article>",
+        "<div class='comments-open'><article><p>{}</p></article></div>",
+        "<article><div class='overflow-hidden'><p>{}</p></div></article>",
+        "<article><p>{}</p><div class='article-comments'><p>" + NOTE + "</p></div></article>",
+        "<article><p>{}</p><div class='comment-body'><p>" + NOTE + "</p></div></article>",
+        "<main><p>{}</p><section class='post-comments'><p>" + NOTE + "</p></section></main>",
+        "<main><p>{}</p><section><article><p>" + NOTE[:100] + "</p></article></section></main>",
+        "<main><article><p>{}</p><article>" + NOTE[:100] + "</article></article></main>",
+        "<main><p>{}</p></main><div class='comments'><article><p>" + NOTE * 5 + "</p></article></div>",
+    ],
+)
+def test_marks_that_hold_the_article_do_not_count_and_comments_always_do(page):
+    assert extract(f"<html><body>{page.format(GOOD)}</body></html>") == GOOD
+
+
+def test_wrappers_on_pages_of_divs():
+    links = "<div>" + "".join(f'<a href="/{i}">entry number {i}</a> ' for i in range(8)) + "</div>"
+    for mark in ("class='has-sidebar'", "id='content-menu'", "class='overflow-hidden'"):
+        assert extract(f"<body><div {mark}>{links}<div>{GOOD}</div><div>{GOOD}</div><div class='cookie-bar'>{NOTE}</div></div></body>") == f"{GOOD} {GOOD}"
+    assert extract(f"<body><form>{links}<p>{GOOD}</p><p>{GOOD}</p></form><div>&copy; 2020 {NOTE}</div></body>") == f"{GOOD} {GOOD}"
+    assert extract(f"<body>{links}<footer>{GOOD}</footer></body>") == ""  # a whole footer stays one
+    assert extract(f"<body><div class='ad'>{GOOD}</div><div class='sidebar'>{GOOD}</div><div>{GOOD}</div></body>") == GOOD
+    story = f"<main><p>{GOOD}</p><article><p>{GOOD}</p><p>{GOOD}</p></article></main>"
+    assert extract(story) == f"{GOOD} {GOOD} {GOOD}"  # an article larger than what stands before it is no comment
+
+
+def test_stop_words_decide(monkeypatch):
+    links = f"<div><a href='a'>{GOOD}</a></div>"
+    pages = [f"{links}<p>It was as it is.</p><div>{GOOD}</div>", f"<div>{GOOD}</div><div>{GOOD}</div>{links}<div>{OTHERS[0]}</div>{links}"]
+    before = [extract(p) for p in pages]
+    monkeypatch.setattr(rules, "STOP", frozenset())
+    assert all(a != extract(p) for a, p in zip(before, pages, strict=True))
+
+
+def bare(page):
+    """A given page without a mark: article, menu, footer and advert are all div elements."""
+    return re.sub(r"(</?)(article|nav|footer)>", r"\1div>", page).replace('<div class="ad">', "<div>")
+
+
+def test_given_pages_without_any_mark(spark):
+    """Recall of the article's characters above 99 %, and less than 6 % of the characters around it come along."""
+    got = size = along = around = 0
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)
+        kept = Counter(b.text for b in rules.decide(*rules.parse(bare(r.html))))
+        rest = bare(r.html[: body.start()] + "<hr>" + r.html[body.end() :])
+        for text, inside in [(b.text, True) for b in blocks(body[1])] + [(b.text, False) for b in blocks(rest)]:
+            found = len(text) if kept[text] else 0
+            kept[text] -= found > 0
+            got, size, along, around = (got + found, size + len(text), along, around) if inside else (got, size, along + found, around + len(text))
+    assert got > 0.99 * size and along < 0.06 * around
+
+
+class Tree(HTMLParser):
+    """A second reading of well-formed pages: blocks with the chain of elements around them."""
+
+    def __init__(self):
+        super().__init__()
+        self.chain, self.found, self.text, self.linked = [], [], "", 0
+
+    def flush(self):
+        if self.text.split():
+            self.found.append((" ".join(self.text.split()), self.linked, list(self.chain)))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag != "a":
+            self.flush()
+        self.chain.append((len(self.found), id(attrs), tag, dict(attrs).get("class", "")))
+
+    def handle_endtag(self, tag):
+        if tag != "a":
+            self.flush()
+        self.chain.pop()
+
+    def handle_data(self, data):
+        self.text += data
+        if any(c[2] == "a" for c in self.chain):
+            self.linked += len(data.strip())
+
+
+def second(page):
+    """The rules for pages without article elements and with marks of adverts and comments only, said plainly."""
+    tree = Tree()
+    tree.feed(page)
+    tree.flush()
+    found = []
+    for text, linked, chain in tree.found:
+        words = re.findall(r"\w+", text.lower())
+        share = sum(w in rules.STOP for w in words) / max(1, len(words))
+        tags = [c[2] for c in chain]
+        p, heading, marked = "p" in tags, "h2" in tags, any(c[3] in ("ad", "comments") for c in chain)
+        if linked > 0.4 * len(text) or marked or text.startswith("©") and not p:
+            label = "bad"
+        elif len(text) < 80 or heading:
+            label = "open"
+        elif share >= 0.2:
+            label = "good"
+        else:
+            label = "long" if len(set(words)) > 1 or len(words) == 1 else "bad"
+        found.append([text, label, p, heading, share, next((c[:2] for c in chain if c[3]), None)])
+    size = {x: sum(len(f[0]) for f in found if f[1] == x) for x in ("good", "long")}
+    plain = [f for f in found if f[5] is None]
+    for i, f in enumerate(plain):
+        if f[1] == "long":
+            before = next((g[1] for g in plain[:i][::-1] if g[1] in ("good", "bad")), None)
+            after = next((g[1] for g in plain[i + 1 :] if g[1] in ("good", "bad")), None)
+            f.append("good" if size["long"] >= size["good"] or {before, after} - {None} != {"bad"} else "bad")
+    for f in found:
+        if f[1] == "long":
+            f[1] = f.pop()
+    for i, f in enumerate(found):
+        if f[1] == "open" and f[2]:
+            a, b = i, i
+            while a > 0 and found[a - 1][2] and found[a - 1][5] == f[5]:
+                a -= 1
+            while b + 1 < len(found) and found[b + 1][2] and found[b + 1][5] == f[5]:
+                b += 1
+            run = {g[1] for g in found[a : b + 1]}
+            if "good" in run and "bad" not in run:
+                f.append("run")
+    for f in found:
+        if f[-1] == "run":
+            f[1] = "good"
+    kept = []
+    for i, f in enumerate(found):
+        label = f[1]
+        if label == "open":
+            before = next(((i - j, found[j][1]) for j in range(i - 1, -1, -1) if found[j][1] != "open"), (i + 1, "bad"))
+            after = next(((j - i, found[j][1]) for j in range(i + 1, len(found)) if found[j][1] != "open"), (len(found) - i, "bad"))
+            if f[3]:
+                label = after[1]
+            elif before[0] == after[0] and before[1] != after[1]:
+                label = "good" if f[2] and f[4] >= 0.2 else "bad"
+            else:
+                label = min(before, after)[1]
+        if label == "good":
+            kept.append(f[0])
+    return " ".join(kept)
+
+
+def test_random_pages_against_a_second_reading():
+    rng = random.Random(8)
+    texts = [GOOD, NOTE, *OTHERS, "Short one.", "It is as it was.", "x", "© 2020 the site", "Name", "zq " * 50]
+    for _ in range(400):
+        page, depth = "", 0
+        for _ in range(rng.randint(1, 14)):
+            kind, text = rng.choice(["div", "p", "h2", "links", "ad", "open", "close"]), rng.choice(texts)
+            if kind == "links":
+                page += "<div>" + "".join(f"<a>{t}</a> " for t in rng.sample(texts, 3)) + "</div>"
+            elif kind == "ad":
+                page += f"<div class='{rng.choice(['ad', 'comments'])}'><p>{text}</p></div>"
+            elif kind == "open":
+                page, depth = page + "<section>", depth + 1
+            elif kind == "close" and depth:
+                page, depth = page + "</section>", depth - 1
+            elif kind != "close":
+                page += f"<{kind}>{text}</{kind}>"
+        page = f"<div>{GOOD}</div>{page}" + "</section>" * depth
+        assert extract(page) == second(page), page

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles; longer single texts form a step of their own.
@@ -147,6 +147,16 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def quoted(name: str) -> str:
+    """A column's name as it is, whatever characters it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one struct."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in df.columns])
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join by keys that are unique on the right, so that a key which very many rows of the left share may be split.
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Work
+from carelens.llm.common import Work, whole_row
 
 #: Lines found in so many documents go.
 MIN_DOCS = 10
@@ -209,7 +209,7 @@ def strip(docs: DataFrame, found: DataFrame, frequent: DataFrame) -> DataFrame:
     Columns: doc (all columns of docs), n_lines, n_dropped, kept.
     """
     drops = found.join(frequent, ["a", "b"]).groupBy("k1", "k2").agg(F.collect_set("line_no").alias("drops"))
-    rows = docs.select(*_row_key(docs), F.struct(*docs.columns).alias("doc")).join(drops, ["k1", "k2"], "left")
+    rows = docs.select(*_row_key(docs), whole_row(docs).alias("doc")).join(drops, ["k1", "k2"], "left")
     rows = rows.withColumn("lines", _lines(F.col("doc.text"))).withColumn("n_lines", F.size("lines").cast("long"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
     kept = F.when(F.col("drops").isNull(), F.coalesce(F.col("doc.text"), F.lit(""))).otherwise(

@@ -8,9 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from carelens.llm.common import Work, components, flat, local_components, mix64, split_join, steps, whole_groups
+from carelens.llm.common import Work, components, flat, local_components, mix64, split_join, steps, whole_groups, whole_row
 from carelens.llm.words import WHITE, hashes, spans
 
 #: Words in a shingle; a link needs 100 * intersection >= PERCENT * union.
@@ -21,6 +20,9 @@ SAMPLES = BANDS * ROWS
 #: Bits of an odd sketch, and the estimated similarity from which a pair is looked at: more than six standard
 #: deviations of the estimate below 0.85.
 BITS, SCREEN = 256, 0.55
+#: Where near-duplicates are dropped: links from 0.8, which no band shows with a probability of 5e-8, and a screen that
+#: misses one with 8e-8.
+NEAR_PERCENT, NEAR_SCREEN = 80, 0.5
 #: Rows of a bucket, and bytes of a cluster's texts, that are compared in one piece; larger ones are compared in pairs of pieces.
 BUCKET_BLOCK, TEXT_BLOCK = 1024, 4 << 20
 _CHUNK = 4 << 20
@@ -253,17 +255,19 @@ def _sets_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(values), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
-def drop_near(work: Work, docs: DataFrame, percent: int = PERCENT, screen: float = SCREEN) -> DataFrame:
-    """docs, all columns, with one document of each component of links from percent: the one whose doc_id names it.
+def drop_near(work: Work, docs: DataFrame, percent: int = NEAR_PERCENT, screen: float = NEAR_SCREEN) -> DataFrame:
+    """docs, all columns, with one row of each component of links from percent: that of the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows without doc_id stay.
+    Every row is a node, so rows that share a doc_id are near each other only if their texts are. Of rows with the
+    smallest doc_id the one whose columns hash least stays. Rows without doc_id stay. No rows: no rows.
     """
-    found = work.keep(near_documents(work, docs, percent, screen), "near")
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("doc"))
-    left = rows.join(gone.withColumnRenamed("doc_id", "id"), "id", "left_anti")
-    # The rows lie by id already; rows without one are groups of their own, by a hash of all they hold.
-    digest = F.xxhash64("doc")
-    own = Window.partitionBy("id", F.when(F.col("id").isNull(), digest)).orderBy(digest)
-    nth = F.when(F.col("id").isNotNull(), F.row_number().over(own)).otherwise(1)
-    return left.withColumn("nth", nth).where("nth = 1").select("doc.*")
+    rows = work.keep(docs.select(F.monotonically_increasing_id().alias("r"), whole_row(docs).alias("doc")), "rows")
+    nodes = rows.where("doc.doc_id IS NOT NULL").select(F.col("r").alias("doc_id"), "doc.text")
+    near = near_documents(work, nodes, percent, screen)
+    moved = work.keep(near.where("NOT kept").select(F.col("component_id").alias("c"), F.col("doc_id").alias("r")), "near")
+    linked = moved.unionByName(moved.select("c", F.col("c").alias("r")).distinct())
+    # What a component's rows come to is one row each by then, combined before the shuffle.
+    linked = work.keep(linked.join(rows.select("r", F.struct("doc.doc_id", F.xxhash64("doc"), "r").alias("rank")), "r"), "linked")
+    first = linked.groupBy("c").agg(F.min("rank").alias("first"))
+    gone = split_join(linked, first, ["c"]).where(F.col("r") != F.col("first.r")).select("r")
+    return rows.join(gone, "r", "left_anti").select("doc.*")

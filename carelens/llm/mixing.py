@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from carelens.llm.common import Work
+from carelens.llm.common import Work, whole_row
 
 #: Weights that the sources take in turn, by code point.
 WEIGHTS = (5, 2, 1)
@@ -103,6 +103,6 @@ def mix(work: Work, docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int
     """The mixed rows themselves: every row of docs as often as `plan` says, all its columns kept as they are."""
     sizes = work.keep(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     rated = rates(work, sizes, weights, most)
-    rows = docs.select("doc_id", "source", F.struct(*docs.columns).alias("doc"))
+    rows = docs.select("doc_id", "source", whole_row(docs).alias("doc"))
     out = _with_copies(rows, rated).where("copies > 0")
     return out.select(F.explode(F.array_repeat("doc", F.col("copies").cast("int"))).alias("doc")).select("doc.*")

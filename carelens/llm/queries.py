@@ -101,22 +101,44 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_SAME = f"regexp_replace(translate(trim(body, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')"
+#: Units with their places (r, doc_id, start, size, body) to those that stand earlier.
+_LATER = f"""w AS (SELECT *, {_SAME} AS unit FROM u WHERE trim(body, {_WHITE}) <> ''),
+n AS (SELECT *, CAST(len(string_split(unit, ' ')) AS BIGINT) AS n_words FROM w),
+f AS (SELECT *, row_number() OVER o AS place, first_value(doc_id) OVER o AS kept_doc_id, first_value(start) OVER o AS kept_start
+      FROM n WHERE n_words >= {units.MIN_WORDS} WINDOW o AS (PARTITION BY unit ORDER BY doc_id NULLS LAST, r, start))
+SELECT doc_id, start, CAST(start + size AS BIGINT) AS "end", n_words, kept_doc_id, kept_start FROM f WHERE place > 1"""
+
+
+def _units(spark: SparkSession, sf_dir: str, name: str, breaks: int) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = units.unit_dedup(Work(spark, name), docs, breaks).select("doc.doc_id", F.explode("gone").alias("g"))
+    return out.select("doc_id", "g.start", "g.end", "g.n_words", "g.kept_doc_id", "g.kept_start")
 
 
 @_query("op2_unit_dedup", f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
 p AS (SELECT *, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_at FROM l),
-u AS (SELECT r, doc_id, CAST(line_at + strlen(line) - strlen(ltrim(line, {_WHITE})) AS BIGINT) AS start, strlen(trim(line, {_WHITE})) AS size,
-        regexp_replace(translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g') AS unit FROM p),
-w AS (SELECT *, CAST(len(string_split(unit, ' ')) AS BIGINT) AS n_words FROM u WHERE unit <> ''),
-f AS (SELECT *, row_number() OVER o AS place, first_value(doc_id) OVER o AS kept_doc_id, first_value(start) OVER o AS kept_start
-      FROM w WHERE n_words >= {units.MIN_WORDS} WINDOW o AS (PARTITION BY unit ORDER BY doc_id NULLS LAST, r, start))
-SELECT doc_id, start, CAST(start + size AS BIGINT) AS "end", n_words, kept_doc_id, kept_start FROM f WHERE place > 1""")
+u AS (SELECT r, doc_id, CAST(line_at + strlen(line) - strlen(ltrim(line, {_WHITE})) AS BIGINT) AS start, strlen(trim(line, {_WHITE})) AS size, line AS body FROM p),
+{_LATER}""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = units.unit_dedup(Work(spark, "op2"), docs).select("doc.doc_id", F.explode("gone").alias("g"))
-    return out.select("doc_id", "g.start", "g.end", "g.n_words", "g.kept_doc_id", "g.kept_start")
+    return _units(spark, sf_dir, "op2", units.LINE)
+
+
+_GAP = "[\\x20\\x09\\x0B-\\x0D]"
+#: Words with no more than one line break between them.
+_PARAGRAPH = f"[^\\x20\\x09-\\x0D]+(?:(?:{_GAP}+|{_GAP}*\\n{_GAP}*)[^\\x20\\x09-\\x0D]+)*"
+
+
+@_query("paragraph_dedup", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_PARAGRAPH}') AS us, string_split_regex(coalesce(text, ''), '{_PARAGRAPH}') AS gaps FROM documents),
+l AS (SELECT r, doc_id, generate_subscripts(us, 1) AS i, unnest(us) AS body, gaps FROM d),
+u AS (SELECT r, doc_id, body, strlen(body) AS size, CAST(sum(strlen(gaps[i])) OVER w + coalesce(sum(strlen(body)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+      FROM l WINDOW w AS (PARTITION BY r ORDER BY i)),
+{_LATER}""")
+def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _units(spark, sf_dir, "paragraphs", units.PARAGRAPH)
 
 
 @_query("op3_main_text")

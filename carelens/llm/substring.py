@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm import suffixes
-from carelens.llm.common import Work, flat, mix64, split_join, steps, whole_groups
+from carelens.llm.common import Work, flat, mix64, split_join, steps, whole_groups, whole_row
 from carelens.llm.words import byte_hashes
 
 #: Bytes of a string that may stand only once; bytes of an anchor; windows of the cells that units are cut into.
@@ -362,7 +362,7 @@ def substring_dedup(work: Work, docs: DataFrame, length: int = LENGTH, **sizes:
     from `length` bytes on all of it goes, in every row. Null or repeated doc_ids are of no account. No rows: no rows.
     """
     spans = repeated(work, docs, length, **sizes)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(whole_row(docs).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc", "text", *_text_key()).join(spans, ["k1", "k2"], "left")
     out = rows.withColumn("out", _cut_out(F.col("text"), F.col("spans"))).select("doc", "out.kept", "spans", "out.n_removed", "out.n_spans")
     return out.withColumn("n_bytes", F.octet_length(F.coalesce("doc.text", F.lit(""))).cast("long"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Work, flat, mix64, split_join, steps
+from carelens.llm.common import Work, flat, mix64, split_join, steps, whole_row
 from carelens.llm.words import WHITE, hashes, spans
 
-#: Units of fewer words are left alone: short lines recur in clean text.
+#: Units of fewer words are left alone: short lines recur in clean text (see the README for how many documents with a good
+#: label would lose some).
 MIN_WORDS = 10
 #: Line breaks between words that part units: one for lines, two for paragraphs.
 LINE, PARAGRAPH = 1, 2
+_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]*")
 _BASE = 0x9E3779B97F4A7C15 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -49,32 +52,32 @@ def units(data: np.ndarray, offsets: np.ndarray, breaks: int, min_words: int) ->
 
 
 def occurrences(rows: DataFrame, breaks: int = LINE, min_words: int = MIN_WORDS) -> DataFrame:
-    """Units of rows (r, doc_id, text): r, doc_id, start, end, n_words, digest (a, b)."""
+    """Units of rows (r, doc_id, tie, text): r, doc_id, tie, start, end, n_words, digest (a, b)."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = flat(batch.column(2))
+            data, at = flat(batch.column(3))
             for i, j in steps(at):
                 owner, *rest = units(data[at[i] : at[j]], at[i : j + 1] - at[i], breaks, min_words)
                 back = pa.array(owner + i)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(back), batch.column(1).take(back), *map(pa.array, rest)], names=["r", "doc_id", "start", "end", "n_words", "a", "b"]
+                    [*(batch.column(k).take(back) for k in range(3)), *map(pa.array, rest)], names=["r", "doc_id", "tie", "start", "end", "n_words", "a", "b"]
                 )
 
-    shape = f"r long, doc_id {kind}, start long, end long, n_words long, a long, b long"
-    return rows.select("r", "doc_id", "text").mapInArrow(run, shape)
+    shape = f"r long, doc_id {kind}, tie long, start long, end long, n_words long, a long, b long"
+    return rows.select("r", "doc_id", "tie", "text").mapInArrow(run, shape)
 
 
 def repeats(work: Work, rows: DataFrame, breaks: int = LINE, min_words: int = MIN_WORDS) -> DataFrame:
-    """Units of rows (r, doc_id, text) that stand earlier, too: r, doc_id, start, end, n_words, kept_doc_id, kept_start.
+    """Units of rows (r, doc_id, tie, text) that stand earlier, too: r, doc_id, start, end, n_words, kept_doc_id, kept_start.
 
-    Occurrences rank by doc_id, null last, then by r and place. Digests of 128 bits are grouped; the first rank of a
+    Occurrences rank by doc_id, null last, then by tie, r and place. Digests of 128 bits are grouped; the first rank of a
     group comes out of the aggregate, so a unit that very many texts have is no more than one row per task there, and
     one key of a join that may split it.
     """
     found = work.keep(occurrences(rows, breaks, min_words), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r", "start")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "r", "start")
     first = found.groupBy("a", "b").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select("a", "b", "first")
     later = split_join(found, first, ["a", "b"]).where((F.col("r") != F.col("first.r")) | (F.col("start") != F.col("first.start")))
     return later.select("r", "doc_id", "start", "end", "n_words", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start"))
@@ -91,7 +94,7 @@ def _cut(text: Column, gone: Column) -> Column:
             for s in sorted(found or [], key=lambda s: s["start"]):
                 if s["start"] > at:
                     stay.append({"start": at, "end": s["start"]})
-                at = s["end"] + len(body[s["end"] :]) - len(body[s["end"] :].lstrip(b" \t\n\x0b\x0c\r"))
+                at = _SPACE.match(body, s["end"]).end()
             if at < len(body):
                 stay.append({"start": at, "end": len(body)})
             kept.append(b"".join(body[s["start"] : s["end"]] for s in stay).decode("utf-8", "replace"))
@@ -106,11 +109,12 @@ def unit_dedup(work: Work, docs: DataFrame, breaks: int = LINE, min_words: int =
     """docs, each row as struct doc, with kept, the text without units that stand earlier, places, the bytes of the
     original text that kept is made of, and gone, the removed units with where their earliest occurrence stands.
 
-    Null or empty text: nothing goes. Rows that repeat a doc_id rank as they were read. Null doc_id: ranks last. No
-    rows: no rows.
+    Null or empty text: nothing goes. Rows that repeat a doc_id rank by a hash of their columns; if that is equal, too,
+    the rows are, and any may be the first. Null doc_id: ranks last. No rows: no rows.
     """
-    rows = work.keep(docs.select(F.monotonically_increasing_id().alias("r"), F.struct(*docs.columns).alias("doc")), "rows")
-    found = work.keep(repeats(work, rows.select("r", "doc.doc_id", F.coalesce("doc.text", F.lit("")).alias("text")), breaks, min_words), "repeats")
+    rows = work.keep(docs.select(F.monotonically_increasing_id().alias("r"), whole_row(docs).alias("doc")), "rows")
+    told = rows.select("r", "doc.doc_id", F.xxhash64("doc").alias("tie"), F.coalesce("doc.text", F.lit("")).alias("text"))
+    found = work.keep(repeats(work, told, breaks, min_words), "repeats")
     gone = found.groupBy("r").agg(F.collect_list(F.struct("start", "end", "n_words", "kept_doc_id", "kept_start")).alias("gone"))
     out = rows.join(gone, "r", "left").withColumn("out", _cut(F.coalesce("doc.text", F.lit("")), F.col("gone")))
     return out.select("doc", "out.kept", "out.places", "gone")

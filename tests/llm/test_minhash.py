@@ -21,7 +21,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [(i, shingles(t)) for i, t in rows]
     low = {i: i for i, _ in rows if i is not None}
     index = {}
@@ -34,7 +34,7 @@ def brute(rows):
         for x in s if i is not None else ():
             for m in index[x]:
                 shared[m] = shared.get(m, 0) + 1
-        links |= {(k, m) for m, n in shared.items() if m > k and 100 * n >= 85 * (len(s) + len(sets[m][1]) - n)}
+        links |= {(k, m) for m, n in shared.items() if m > k and 100 * n >= percent * (len(s) + len(sets[m][1]) - n)}
     moved = True
     while moved:
         moved = False
@@ -87,7 +87,7 @@ def test_edges(work, frame):
     assert minhash.near_documents(work, docs.where("false")).count() == 0
     left = minhash.drop_near(work, docs)
     assert left.columns == docs.columns
-    assert sorted(repr(r.doc_id) for r in left.collect()) == sorted(repr(i) for i in (0, 1, 2, 3, 5, 6, 8, 9, 12, 13, None, None))
+    assert sorted(repr(r.doc_id) for r in left.collect()) == sorted(repr(i) for i in (0, 1, 2, 3, 5, 6, 8, 9, 11, 12, 13, None, None))
 
 
 def test_sketches_estimate_similarity():
@@ -128,6 +128,21 @@ def test_drop_near_at_another_percent(work, frame):
     """At 80, with a screen of 0.5, the copies of similarity 0.80 to 0.85 go that 85 leaves."""
     rows = families(2)
     docs = frame([(i, t, None) for i, t in rows])
-    left = {p: sorted(r.doc_id for r in minhash.drop_near(work, docs, p, s).collect()) for p, s in ((80, 0.5), (85, minhash.SCREEN))}
+    left = {p: sorted(r.doc_id for r in minhash.drop_near(work, docs, p, s).collect()) for p, s in ((minhash.NEAR_PERCENT, minhash.NEAR_SCREEN), (85, minhash.SCREEN))}
     assert left == {p: kept_by_all_pairs(rows, p) for p in left}
     assert len(left[80]) < len(left[85])
+
+
+def test_rows_of_one_doc_id_are_documents_of_their_own(work, frame):
+    """20 unrelated texts under one doc_id stay; copies of one of them, under that id or another, go."""
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("aeiou") for _ in range(6)) for _ in range(40)) for _ in range(20)]
+    rows = [(5, t, "s") for t in texts] + [(5, texts[0], "s"), (5, texts[1] + " end", "s"), (9, texts[2], "s"), (3, texts[3], "s")]
+    left = minhash.drop_near(work, frame(rows)).collect()
+    assert len(left) == 20 and {r.text.removesuffix(" end") for r in left} == set(texts)
+    assert sorted(r.doc_id for r in left) == [3] + [5] * 19
+
+
+def test_a_doc_id_that_very_many_rows_have(work, frame):
+    rows = [(1, f"{i} b c d e {i}", "s") for i in range(3000)]
+    assert minhash.drop_near(work, frame(rows)).count() == 3000

@@ -63,7 +63,7 @@ def test_lines(steps):
 
 def test_near(steps):
     given = rows(steps["near_dedup"])
-    kept = Counter(i for i, _, _, stays in plain_near.brute([(r[0], r[1]) for r in given]) if stays)
+    kept = Counter(i for i, _, _, stays in plain_near.brute([(r[0], r[1]) for r in given], 80) if stays)
     assert rows(steps["mixing"]) == [r for r in given if kept[repr(r[0])]]
 
 

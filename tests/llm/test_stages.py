@@ -12,7 +12,7 @@ ROWS = [
     (4, LONG, "t"), (5, LONG + " x", "t"), (6, "\n\n", "u"), (7, "é \x0b ß", "u"),
 ]
 # As size, kept, a come with the fixture; these are the names that the operators use themselves.
-EXTRA = {"doc": "1", "copies": "2", "r": "3", "n_lines": "4", "score": "0.5", "k1": "7", "component_id": "8", "piece": "9", "n": "10", "id": "11", "line_no": "12", "draw": "13"}
+EXTRA = {"doc": "1", "copies": "2", "r": "3", "n_lines": "4", "score": "0.5", "k1": "7", "component_id": "8", "piece": "9", "n": "10", "id": "11", "line_no": "12", "draw": "13", "`a.b`": "14", "`c``d`": "15", "tie": "16"}
 
 
 @pytest.fixture
@@ -28,7 +28,8 @@ def docs(frame):
 
 
 def rows(df, docs):
-    return Counter(tuple(r) for r in df.select(*docs.columns).collect())
+    assert df.columns == docs.columns
+    return Counter(tuple(r) for r in df.collect())
 
 
 @pytest.mark.parametrize("name", [n for n in STAGES if n != "packing"])

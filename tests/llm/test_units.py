@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -59,5 +60,24 @@ def test_against_brute_force(work, frame, breaks, least):
         assert b"".join(body[p.start : p.end] for p in r.places).decode() == r.kept
 
 
+def test_a_long_text_of_repeated_lines_is_cut_in_linear_time(work, frame):
+    line = "one two three four five six seven eight nine ten\n"
+    text = line * 80_000  # 4 MB, all but one line goes
+    docs = frame([(1, text, None), (2, line, None)])
+    start = time.time()
+    got = sorted((r.doc.doc_id, r.kept, len(r.gone or [])) for r in units.unit_dedup(work, docs).select("doc", "kept", "gone").collect())
+    assert time.time() - start < 60  # cutting the rest of the text for every line took minutes
+    assert got == [(1, line, 79_999), (2, "", 1)]
+
+
+def test_rows_that_repeat_a_doc_id_rank_by_their_columns(spark, work, frame):
+    rows = [(7, "first line of ten words which is here and there again\nx", "a"), (7, "first line of ten words which is here and there again\ny", "b")]
+    kept = []
+    for parts in (rows, rows[::-1]):
+        docs = frame(parts).repartition(2, "source")
+        kept.append(sorted((r.doc.source, r.kept) for r in units.unit_dedup(work, docs).collect()))
+    assert kept[0] == kept[1]
+
+
 def test_empty(work, frame):
     assert units.unit_dedup(work, frame([(1, "x", None)]).where("false")).count() == 0

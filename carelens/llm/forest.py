@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Work, components, local_components, split_join
+from carelens.llm.common import Work, components, local_components, mix64, split_join
 from carelens.llm.vectors import usable
 
 #: Least cosine of a link.
@@ -23,6 +24,11 @@ LEAF, FIT_ROWS = 1024, 32_768
 #: Leaves of more rows, such as those of one vector that very many rows repeat, are compared block by block.
 BLOCK = 2048
 _LEAST_FIT = 32
+#: A leaf with more than twice LEAF rows is split anew by about so many rows of its own; so many of its rows meet these
+#: splits in one task.
+FRESH, PIECE = 2048, 8192
+#: The number of a leaf holds its tree above so many bits; the trees are followed by the dense groups.
+_TREE = 48
 #: A row of the sample is dense if it stands for links to a leaf's fourth of rows, and has so many in the sample; rows
 #: whose cosine to a group's centre reaches CORE are the group's own.
 DENSE_SHARE, _LEAST_DENSE, CORE = 0.25, 8, 0.92
@@ -38,6 +44,9 @@ class Tree:
             node, part = open_nodes.pop()
             if len(part) < _LEAST_FIT or len(part) / len(sample) * rows <= leaf:
                 continue
+            centre = part.mean(axis=0)
+            if (part @ centre >= CORE * np.sqrt((centre**2).sum())).mean() > 0.5:  # mostly one group
+                continue
             at = part @ self.direction(node)
             low, high = np.quantile(at, [0.5 - spill, 0.5 + spill])
             left, right = at <= high, at >= low
@@ -45,6 +54,17 @@ class Tree:
                 continue
             self.splits[node] = (float(low), float(high))
             open_nodes += [(2 * node, part[left]), (2 * node + 1, part[right])]
+        self._number()
+
+    @classmethod
+    def of(cls, splits: dict[int, tuple[float, float]], dim: int, seed: tuple[int, ...]) -> Tree:
+        """A tree with given splits."""
+        tree = cls.__new__(cls)
+        tree.seed, tree.splits, tree.dim = seed, splits, dim
+        tree._number()
+        return tree
+
+    def _number(self) -> None:
         parents = set(self.splits)
         ends = sorted({c for p in parents for c in (2 * p, 2 * p + 1)} - parents) or [1]
         self.leaves = {node: i for i, node in enumerate(ends)}
@@ -163,13 +183,70 @@ def _padded(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: int = TREES, spill: float = SPILL, leaf: int = LEAF, fit_rows: int = FIT_ROWS, block: int = BLOCK, seed: int = 9) -> DataFrame:
+def _split_wide(work: Work, placed: DataFrame, trees: int, spill: float, leaf: int, seed: int, fresh: int, piece: int) -> DataFrame:
+    """placed with every leaf of more than twice `leaf` rows split anew, by splits drawn from its own rows, until none is
+    left that can be split; `leaves` then lists what each row is in.
+
+    All wide leaves are split at once, about fresh / 32 parts a round, so the rounds are a logarithm of the rows. A leaf's
+    draw is about `fresh` rows, chosen by a hash; its rows meet the splits in pieces. A leaf whose rows are mostly one
+    group is not cut; like any large leaf it is compared block by block.
+    """
+    done: list[DataFrame] = []
+    now, round_ = placed, 0
+    one_leaf = ["dim", "leaf"]
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
+    while True:
+        in_trees = now.where(F.col("leaf") < (trees << _TREE))
+        wide = work.keep(in_trees.groupBy(*one_leaf).agg(F.count("*").alias("rows")).where(F.col("rows") > 2 * leaf), "wide")
+        if wide.isEmpty():
+            break
+        round_ += 1
+        drawn = split_join(now, wide, one_leaf).where(F.pmod(F.xxhash64("r", F.lit(round_)), "rows") < fresh).select("dim", "leaf", "rows", "embedding")
+
+        def draw(found: pd.DataFrame) -> pd.DataFrame:
+            dim, at, rows = int(found["dim"].iloc[0]), int(found["leaf"].iloc[0]), int(found["rows"].iloc[0])
+            tree = Tree(unit(np.stack(found["embedding"].to_list()).astype(np.float64)), rows, (seed, dim, at), spill, leaf)
+            low, high = zip(*tree.splits.values(), strict=True) if tree.splits else ((), ())
+            return pd.DataFrame({"dim": [dim], "leaf": [at], "rows": [rows], "nodes": [list(tree.splits)], "low": [list(low)], "high": [list(high)]})
+
+        cuts = drawn.groupBy(*one_leaf).applyInPandas(draw, "dim int, leaf long, rows long, nodes array<long>, low array<double>, high array<double>")
+        cuts = work.keep(cuts.where("size(nodes) > 0"), "cuts")
+        if cuts.isEmpty():
+            break
+        done.append(now.join(cuts.select(*one_leaf), one_leaf, "left_anti"))
+        pieces = F.ceil(F.col("rows") / piece).cast("int")
+        each = cuts.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        sent = split_join(now, cuts.select(*one_leaf, pieces.alias("pieces")), one_leaf).withColumn("piece", F.pmod(F.xxhash64("r"), "pieces").cast("int"))
+
+        def send(found: pd.DataFrame, cut: pd.DataFrame) -> pd.DataFrame:
+            if not len(found) or not len(cut):
+                return found.drop(columns=["pieces", "piece"], errors="ignore").iloc[:0]
+            dim, at = int(found["dim"].iloc[0]), int(found["leaf"].iloc[0])
+            splits = {int(n): (a, b) for n, a, b in zip(cut["nodes"].iloc[0], cut["low"].iloc[0], cut["high"].iloc[0], strict=True)}
+            row, to = Tree.of(splits, dim, (seed, dim, at)).descend(unit(np.stack(found["embedding"].to_list()).astype(np.float64)))
+            out = found.iloc[row].drop(columns=["pieces", "piece"])
+            under = mix64(np.uint64(at) * np.uint64(1 << 20) + to.astype(np.uint64)) & np.uint64((1 << _TREE) - 1)
+            out["leaf"] = (at >> _TREE << _TREE) + under.astype(np.int64)
+            return out
+
+        key = [*one_leaf, "piece"]
+        now = work.keep(sent.groupBy(*key).cogroup(each.groupBy(*key)).applyInPandas(send, shape), "split")
+    if not done:
+        return placed
+    every = work.keep(reduce(DataFrame.unionByName, [*done, now]).drop("leaves"), "placed")
+    lists = every.where(F.col("leaf") < (trees << _TREE)).groupBy("r").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
+    none = F.array().cast("array<bigint>")
+    return work.keep(every.join(lists, "r", "left").withColumn("leaves", F.coalesce("leaves", none)).select(placed.columns), "leaves")
+
+
+def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: int = TREES, spill: float = SPILL, leaf: int = LEAF, fit_rows: int = FIT_ROWS, block: int = BLOCK, seed: int = 9, fresh: int = FRESH, piece: int = PIECE) -> DataFrame:
     """Per row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Rows with equal vectors are one class, which counts as often as it has rows. The trees' cuts come from at most
     fit_rows classes, chosen by a hash. Where that sample is dense, any cut would part links, so a dense group's classes
     go down no tree: they are compared with each other and with all classes that can link to them, so all their links
-    are found. Every other class goes down every tree. Classes of a leaf are compared with each other, so a pair is
+    are found. Every other class goes down every tree; leaves that are still wide are split again from rows of their own
+    (`_split_wide`), so a leaf's rows do not grow with the input. Classes of a leaf are compared with each other, so a pair is
     found if any tree leaves it together. A pair counts in the first of the leaves that it shares: rows carry their
     leaves of all trees, so links are counted without being listed. Groups and leaves hand on counts per row and a star
     of edges per group of linked rows; these stars are joined up.
@@ -207,22 +284,23 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
                 core, free = np.flatnonzero(group >= 0), np.flatnonzero(group < 0)
                 at = [tree.descend(x[free]) for tree in forests[dim]]
                 row = np.concatenate([free[a] for a, _ in at])
-                spot = np.concatenate([(t << 24) + b for t, (_, b) in enumerate(at)])
+                spot = np.concatenate([(t << _TREE) + b.astype(np.int64) for t, (_, b) in enumerate(at)])
                 order = np.lexsort((spot, row))
                 row, spot = row[order], spot[order]
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(x)))])
-                spots = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(spot.astype(np.int32)))
+                spots = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(spot.astype(np.int64)))
                 guest = np.repeat([False, True], [len(row) + len(core), len(near)])
-                spot = np.concatenate([spot, (trees << 24) + group[core], (trees << 24) + to])
+                spot = np.concatenate([spot, (trees << _TREE) + group[core], (trees << _TREE) + to])
                 back = pa.array(np.concatenate([row, core, near]))
                 yield pa.RecordBatch.from_arrays(
-                    [*[own.column(c).take(back) for c in ("r", "vec_id", "w", "embedding", "dim")], pa.array(spot.astype(np.int32)), spots.take(back), pa.array(guest)],
+                    [*[own.column(c).take(back) for c in ("r", "vec_id", "w", "embedding", "dim")], pa.array(spot.astype(np.int64)), spots.take(back), pa.array(guest)],
                     names=["r", "vec_id", "w", "embedding", "dim", "leaf", "leaves", "guest"],
                 )
 
     kinds = {f.name: f.dataType.simpleString() for f in good.schema}
-    shape = f"r long, vec_id {kinds['vec_id']}, w long, embedding {kinds['embedding']}, dim int, leaf int, leaves array<int>, guest boolean"
+    shape = f"r long, vec_id {kinds['vec_id']}, w long, embedding {kinds['embedding']}, dim int, leaf long, leaves array<long>, guest boolean"
     placed = work.keep(good.select("r", "vec_id", "w", "embedding", "dim").mapInArrow(place, shape), "leaves")
+    placed = _split_wide(work, placed, trees, spill, leaf, seed, fresh, piece)
     # Own rows have the first nb blocks, guests the ng after them; guests of a group are not compared with each other.
     number = [F.ceil(F.count_if(kind) / block).cast("int").alias(name) for kind, name in ((~F.col("guest"), "nb"), (F.col("guest"), "ng"))]
     blocks = placed.groupBy("dim", "leaf").agg(*number).where("nb > 0")
@@ -237,7 +315,7 @@ def near_vectors(work: Work, vectors: DataFrame, least: float = COSINE, trees: i
         first = (found["b"] == found["bi"]).to_numpy()
         x = unit(np.stack(found["embedding"].to_list()).astype(np.float64))
         lists = [np.asarray(v) for v in found["leaves"]]
-        earlier = [_padded([v[(v >> 24 == t) & (v < leaf)] for v in lists]) for t in range((leaf >> 24) + 1)]
+        earlier = [_padded([v[(v >> _TREE == t) & (v < leaf)] for v in lists]) for t in range((leaf >> _TREE) + 1)]
         if found["bi"].iloc[0] == found["bj"].iloc[0]:
             i, j = _pairs(x, None, least)
         else:

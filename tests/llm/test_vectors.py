@@ -138,3 +138,44 @@ def test_groups_whose_rows_reach_into_each_other(spark, work):
     got = forest.near_vectors(work, table, leaf=60, block=100, fit_rows=400).orderBy("vec_id").collect()
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     assert [r.n_links for r in got] == ((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist()
+
+
+def test_leaves_stay_small_whatever_the_sample(spark, work):
+    """8,000 rows, splits from 100 of them: leaves are split again from rows of their own, and links still found."""
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((400, 64))
+    x = np.repeat(centres, 20, axis=0) + 0.2 * rng.standard_normal((8000, 64))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    given = dict(leaf=64, block=50, fit_rows=100, fresh=300, piece=200)
+    seen = {}
+
+    def watched(*args, plain=forest._split_wide):
+        found = plain(*args)
+        seen["sizes"] = [[r["n"] for r in df.groupBy("leaf").count().withColumnRenamed("count", "n").collect()] for df in (args[1], found)]
+        seen["lists"] = found.select("r", "leaf", "leaves").collect()
+        return found
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(forest, "_split_wide", watched)
+        got = forest.near_vectors(work, table, **given).orderBy("vec_id").collect()
+    before, after = seen["sizes"]
+    assert max(before) > 1000 and max(after) <= 128
+    assert all(r.leaf in r.leaves and r.leaves == sorted(set(r.leaves)) for r in seen["lists"])
+    y = x / np.sqrt((x**2).sum(axis=1, keepdims=True))
+    near = y @ y.T >= 0.9
+    np.fill_diagonal(near, False)
+    n = np.array([r.n_links for r in got])
+    assert (n <= near.sum(axis=1)).all() and n.sum() >= 0.99 * near.sum()
+
+
+def test_a_wide_leaf_of_one_group_stays_whole(spark, work):
+    """A near group that the sample misses is not cut where most of a leaf is its rows."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.standard_normal((600, 64)), near_group(rng, 500, 0.1)])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = forest.near_vectors(work, table, leaf=32, block=60, fit_rows=12, fresh=200, piece=100).orderBy("vec_id").collect()
+    y = x / np.sqrt((x**2).sum(axis=1, keepdims=True))
+    near = y @ y.T >= 0.9
+    np.fill_diagonal(near, False)
+    n = np.array([r.n_links for r in got])
+    assert (n <= near.sum(axis=1)).all() and n.sum() >= 0.99 * near.sum()

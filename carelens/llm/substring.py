@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from carelens.llm import suffixes
 from carelens.llm.common import Work, flat, mix64, split_join, steps, whole_groups, whole_row
+from carelens.llm.order import numbered
 from carelens.llm.words import byte_hashes
 
 #: Bytes of a string that may stand only once; bytes of an anchor; windows of the cells that units are cut into.
 LENGTH, ANCHOR, CELLS = 400, 32, (64, 8, 1)
-#: Bytes of strings in a sorted run and, about, in a range of the merged order; strings that draw the ranges' bounds.
-RUN_BYTES, RANGE_BYTES, BOUND_ROWS = 32 << 20, 32 << 20, 65_536
+#: Bytes of strings in a sorted run and, about, in a range of the merged order; strings that draw each range's bound.
+RUN_BYTES, RANGE_BYTES, BOUND_ROWS = 32 << 20, 32 << 20, 16
 _EVERY = 64
 _SEED = 77
 _SEGMENT = 1 << 22
@@ -228,10 +229,10 @@ def claims(work: Work, docs: DataFrame, length: int = LENGTH, anchor: int = ANCH
     )
 
 
-def sorted_runs(strings: DataFrame, length: int, run_bytes: int = RUN_BYTES) -> DataFrame:
+def sorted_runs(strings: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Strings sorted in runs of about run_bytes. Two kinds of rows: per string (k1, k2, x0, x1, own) its run, its number
     among the run's distinct strings, and whether the run holds it twice; per run one block with its distinct strings,
-    front-coded, their total size, and heads of some for drawing ranges."""
+    front-coded, their total size, and some of them for drawing ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = TaskContext.get().partitionId() << 24
@@ -254,7 +255,7 @@ def sorted_runs(strings: DataFrame, length: int, run_bytes: int = RUN_BYTES) ->
                 [pa.array([name] * n), pa.array(number, pa.int64()), pa.array([weight[k] > 1 for k in number]), *[pa.array([e[c] for e in held], pa.int64()) for c in (2, 3, 4, 5)],
                  pa.array([e[6] for e in held], pa.bool_()), nothing, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.binary()))], names=names,
             )
-            heads = [s[:length] for s in distinct[::_EVERY]]
+            heads = distinct[::_EVERY]
             nulls = [pa.nulls(1, kind) for kind in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name]), *nulls, pa.array([block], pa.binary()), pa.array([sum(map(len, distinct))]), pa.array([heads], pa.list_(pa.binary()))], names=names
@@ -275,26 +276,49 @@ def sorted_runs(strings: DataFrame, length: int, run_bytes: int = RUN_BYTES) ->
     return strings.mapInArrow(run, "run long, entry long, sure boolean, k1 long, k2 long, x0 long, x1 long, own boolean, block binary, size long, heads array<binary>")
 
 
-def confirmed(work: Work, runs: DataFrame, length: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def bounds_of(work: Work, blocks: DataFrame, ranges: int, per_range: int = BOUND_ROWS) -> list[bytes]:
+    """Bounds that cut the strings of all runs into about `ranges` ranges of like size.
+
+    They are drawn in proportion: about per_range strings a range, chosen by a hash, are sorted by ranges of their own and
+    numbered, and every per_range-th is a bound, cut to the bytes that tell it from the one before. A bound is so the
+    beginning of a string that is there. All that comes to the driver is these beginnings, a range each.
+    """
+    heads = blocks.select(F.explode("heads").alias("head")).distinct()
+    heads = work.keep(heads, "heads")
+    many = heads.count()
+    if many > per_range * ranges:
+        heads = heads.where(F.pmod(F.xxhash64("head"), F.lit(many)) < per_range * ranges)
+    placed = work.keep(numbered(work, heads, [], ["head"], "ordered"), "placed")
+    turn = F.floor(F.col("place") * ranges / F.col("n"))
+    before = placed.select((F.col("place") + 1).alias("place"), F.col("head").alias("before"))
+    drawn = placed.where(turn > F.floor((F.col("place") - 1) * ranges / F.col("n"))).where("place > 0").join(before, "place")
+
+    @F.arrow_udf("binary")
+    def beginning(heads: pa.Array, others: pa.Array) -> pa.Array:
+        return pa.array([a[: suffixes.common_prefix(a, b, 0) + 1] for a, b in zip(heads.to_pylist(), others.to_pylist(), strict=True)], pa.binary())
+
+    return sorted(bytes(r["b"]) for r in drawn.select(beginning("head", "before").alias("b")).collect())
+
+
+def confirmed(work: Work, runs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The strings (run, entry) that another one begins with or equals.
 
-    Runs are cut at the ranges' bounds and sent there front-coded. Bounds look at `length` bytes only, so a string and
-    those that begin with it meet in one range. Equal strings of a run are sent once, so a string that very many rows
-    have comes once per run.
+    Runs are cut at the ranges' bounds and sent there front-coded. Equal strings of a run are sent once, so a string that
+    very many rows have comes once per run. A string is met by the one before or after it in the merged order. Where that
+    one is in the next range, the bound between them begins with the string; and as the bound is the beginning of a string
+    that is there, this is all that the last string of a range needs to know.
     """
     blocks = runs.where("block IS NOT NULL").select("run", "block", "size", "heads")
     total = blocks.agg(F.sum("size")).first()[0] or 0
     ranges = int(-(-total // range_bytes)) or 1
-    heads = blocks.select("run", F.explode("heads").alias("head")).orderBy(F.xxhash64("run", "head")).limit(BOUND_ROWS)
-    drawn = sorted({bytes(r["head"]) for r in heads.select("head").collect()})
-    bounds = sorted({drawn[len(drawn) * i // ranges] for i in range(1, ranges)}) if drawn else []
+    bounds = bounds_of(work, blocks, ranges) if ranges > 1 else []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 parts: dict[int, list] = {}
                 for number, shared, string in suffixes.decode(block):
-                    to = bisect_right(bounds, string[:length])
+                    to = bisect_right(bounds, string)
                     if to not in parts:
                         parts[to], shared = [], 0
                     parts[to].append((number, shared, string))
@@ -309,7 +333,7 @@ def confirmed(work: Work, runs: DataFrame, length: int, range_bytes: int = RANGE
                 names = table["run"].slice(start, end - start).to_pylist()
                 streams = [suffixes.decode(b) for b in table["block"].slice(start, end - start).to_pylist()]
                 found: list[tuple[int, int]] = []
-                last, last_size, last_in = None, 0, True
+                last, last_size, last_in, string = None, 0, True, b""
                 for stream, number, shared, string in suffixes.merge(streams):
                     if last and not last_in and shared >= last_size:
                         found.append(last)
@@ -317,16 +341,19 @@ def confirmed(work: Work, runs: DataFrame, length: int, range_bytes: int = RANGE
                     last_in = shared >= last_size
                     if last_in:
                         found.append(last)
+                to = table["to"][int(start)].as_py()
+                if last and not last_in and to < len(bounds) and bounds[to].startswith(string):
+                    found.append(last)
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["run", "entry"])
 
-    sent = blocks.select("run", "block").mapInArrow(cut, "to int, run long, block binary").repartition(ranges, "to").sortWithinPartitions("to")
+    sent = blocks.select("run", "block").mapInArrow(cut, "to int, run long, block binary").repartition("to").sortWithinPartitions("to")
     return sent.mapInArrow(merge, "run long, entry long")
 
 
 def repeated(work: Work, docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, run_bytes: int = RUN_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Per distinct text with repeats (k1, k2): spans, the stretches [start, end) that other places repeat."""
-    runs = work.keep(sorted_runs(claims(work, docs, length, anchor), length, run_bytes), "runs")
-    merged = confirmed(work, runs, length, range_bytes).withColumn("yes", F.lit(True))
+    runs = work.keep(sorted_runs(claims(work, docs, length, anchor), run_bytes), "runs")
+    merged = confirmed(work, runs, range_bytes).withColumn("yes", F.lit(True))
     held = runs.where("block IS NULL AND own").select("run", "entry", "sure", "k1", "k2", "x0", "x1").join(merged, ["run", "entry"], "left").where("sure OR yes")
     spans = held.groupBy("k1", "k2").agg(F.collect_list(F.struct(F.col("x0").alias("start"), (F.col("x1") + length).alias("end"))).alias("spans"))
     return work.keep(spans, "spans")

@@ -11,6 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 
 
+#: Bytes that one part of a packed run holds.
+PART_BYTES = 1 << 18
+
+
 def common_prefix(a: bytes, b: bytes, start: int) -> int:
     """Length of the common prefix, of which `start` bytes are known."""
     end = min(len(a), len(b))
@@ -36,27 +40,44 @@ def prefixes(run: list[bytes]) -> list[int]:
     return [0, *(common_prefix(a, b, 0) for a, b in zip(run, run[1:], strict=False))][: len(run)]
 
 
-def encode(entries: list[tuple[int, int, bytes]]) -> bytes:
-    """Front coding of a run: (number, shared bytes, string) becomes the shared length and the rest of the string."""
+def _packed(entries: list[tuple[int, int, bytes]]) -> bytes:
     number = np.array([e[0] for e in entries], np.int64)
     shared = np.array([e[1] for e in entries], np.int32)
     tails = [e[2][e[1] :] for e in entries]
     length = np.array([len(t) for t in tails], np.int32)
-    body = np.int64(len(entries)).tobytes() + number.tobytes() + shared.tobytes() + length.tobytes() + b"".join(tails)
-    return zlib.compress(body, 1)
+    body = zlib.compress(np.int64(len(entries)).tobytes() + number.tobytes() + shared.tobytes() + length.tobytes() + b"".join(tails), 1)
+    return len(body).to_bytes(8, "little") + body
+
+
+def encode(entries: list[tuple[int, int, bytes]]) -> bytes:
+    """Front coding of a run: (number, shared bytes, string) becomes the shared length and the rest of the string. A run is
+    packed in parts of about PART_BYTES, so that reading it holds one of them."""
+    out, start, size = [], 0, 0
+    for i, (_, shared, string) in enumerate(entries):
+        size += len(string) - shared + 16
+        if size >= PART_BYTES:
+            out.append(_packed(entries[start : i + 1]))
+            start, size = i + 1, 0
+    if start < len(entries):
+        out.append(_packed(entries[start:]))
+    return b"".join(out)
 
 
 def decode(block: bytes) -> Iterator[tuple[int, int, bytes]]:
-    body = zlib.decompress(block)
-    n = int(np.frombuffer(body, np.int64, 1)[0])
-    number = np.frombuffer(body, np.int64, n, 8).tolist()
-    shared = np.frombuffer(body, np.int32, n, 8 + 8 * n).tolist()
-    length = np.frombuffer(body, np.int32, n, 8 + 12 * n).tolist()
-    at, last = 8 + 16 * n, b""
-    for k, s, m in zip(number, shared, length, strict=True):
-        last = last[:s] + body[at : at + m]
-        at += m
-        yield k, s, last
+    here, last = 0, b""
+    while here < len(block):
+        size = int.from_bytes(block[here : here + 8], "little")
+        body = zlib.decompress(block[here + 8 : here + 8 + size])
+        here += 8 + size
+        n = int(np.frombuffer(body, np.int64, 1)[0])
+        number = np.frombuffer(body, np.int64, n, 8).tolist()
+        shared = np.frombuffer(body, np.int32, n, 8 + 8 * n).tolist()
+        length = np.frombuffer(body, np.int32, n, 8 + 12 * n).tolist()
+        at = 8 + 16 * n
+        for k, s, m in zip(number, shared, length, strict=True):
+            last = last[:s] + body[at : at + m]
+            at += m
+            yield k, s, last
 
 
 def merge(runs: list[Iterator[tuple[int, int, bytes]]]) -> Iterator[tuple[int, int, int, bytes]]:

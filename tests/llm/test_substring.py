@@ -68,6 +68,42 @@ def test_families_against_brute_force(work, frame, seed, length, sizes):
     assert any(w[2] for w in want)
 
 
+def test_many_ranges_against_brute_force(work, frame, monkeypatch):
+    """Every string draws a bound, so ranges part strings that begin alike for more than the least length."""
+    monkeypatch.setattr(substring, "_EVERY", 1)
+    monkeypatch.setattr(substring, "BOUND_ROWS", 2)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 64)
+    texts = family(4) + ["q" * n for n in range(35, 60)]
+    seen = []
+    with monkeypatch.context() as patch:
+        patch.setattr(substring, "bounds_of", lambda *a, plain=substring.bounds_of: seen.append(plain(*a, 2)) or seen[-1])
+        docs = frame([(i, t, None) for i, t in enumerate(texts)])
+        want = sorted((repr(i), *w) for i, w in enumerate(brute(texts, 40)))
+        assert got(substring.substring_dedup(work, docs, 40, anchor=8, run_bytes=400, range_bytes=60)) == want
+    bounds = seen[0]
+    assert len(bounds) > 50 and bounds == sorted(set(bounds)) and max(map(len, bounds)) > 40
+
+
+@pytest.mark.parametrize("range_bytes", [1, 30, 1 << 20])
+def test_strings_that_another_one_begins_with(spark, work, monkeypatch, range_bytes):
+    monkeypatch.setattr(substring, "_EVERY", 1)
+    rng = random.Random(range_bytes)
+    strings = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 9))) for _ in range(120)] + ["b" * n for n in range(10, 40)] + ["a" * 50] * 5
+    rows = [(bytes(s, "ascii"), 1, i, 0, 0, 0, True) for i, s in enumerate(strings)]
+    table = spark.createDataFrame(rows, "bytes binary, w long, k1 long, k2 long, x0 long, x1 long, own boolean").repartition(4)
+    runs = work.keep(substring.sorted_runs(table, 300), "runs")
+    met = {(r.run, r.entry) for r in substring.confirmed(work, runs, range_bytes).collect()}
+    found = {r.k1 for r in runs.where("block IS NULL").collect() if r.sure or (r.run, r.entry) in met}
+    assert found == {i for i, s in enumerate(strings) if any(k != i and t.startswith(s) for k, t in enumerate(strings))}
+
+
+def test_a_packed_run_is_read_in_parts(monkeypatch):
+    monkeypatch.setattr(suffixes, "PART_BYTES", 50)
+    run = sorted(f"{i % 7}-{i}".encode() * 4 for i in range(200))
+    entries = list(zip(range(200), suffixes.prefixes(run), run, strict=True))
+    assert list(suffixes.decode(suffixes.encode(entries))) == entries and list(suffixes.decode(suffixes.encode([]))) == []
+
+
 def test_empty(work, frame):
     docs = frame([(1, "x", None)])
     assert substring.substring_dedup(work, docs.where("false")).count() == 0

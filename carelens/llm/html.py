@@ -307,15 +307,13 @@ def _nested(found: list[Block], good: list[int], holders: list[Holder]) -> set[i
     return gone
 
 
-def _standing(found: list[Block], regions: list[Region], holders: list[Holder]) -> list[bool]:
-    """Whether each block is free of marks that count.
+def _standing(found: list[Block], good: list[int], regions: list[Region], holders: list[Holder]) -> list[bool]:
+    """Whether each block is free of marks that count; `good` tells each block's characters of good text.
 
     A mark does not count for an element that holds the article: the article or main element with most good text outside
     of comments and adverts; or, if the mark is one of layout, more than half of the good text in a run of two blocks or
     more; or all text there is. A menu, footer or the like that its own end tag closes counts even then.
     """
-    labels = [judge(b) for b in found]
-    good = [len(b.text) if x in (GOOD, LONG) else 0 for b, x in zip(found, labels, strict=True)]
     sure = [False] * len(regions)  # comments, adverts, notices: here or around
     for i, r in enumerate(regions):
         sure[i] = r.kind in ("strict", "comments") or r.around >= 0 and sure[r.around]
@@ -384,16 +382,17 @@ def decide(found: list[Block], regions: list[Region] = (), holders: list[Holder]
     Blocks whose marks count are bad. A page that marks its article says itself that text outside is something else.
     """
     best = max((b.inside for b in found), default=0)
-    free = _standing(found, regions, holders) if regions else [True] * len(found)
+    first = [judge(b) for b in found]
+    good = [len(b.text) if x in (GOOD, LONG) else 0 for b, x in zip(found, first, strict=True)]
+    free = _standing(found, good, regions, holders) if regions else [True] * len(found)
     if holders:
-        good = [len(b.text) if f and judge(b) in (GOOD, LONG) else 0 for b, f in zip(found, free, strict=True)]
-        gone = _nested(found, good, holders)
+        gone = _nested(found, [g if f else 0 for g, f in zip(good, free, strict=True)], holders)
         free = [f and b.holder not in gone for f, b in zip(free, found, strict=True)]
     if best:
-        found = [b for b, f in zip(found, free, strict=True) if f and b.inside == best]
-        free = [True] * len(found)
+        stay = [i for i, (b, f) in enumerate(zip(found, free, strict=True)) if f and b.inside == best]
+        found, first, free = [found[i] for i in stay], [first[i] for i in stay], [True] * len(stay)
     # What a marked element holds is bad, whatever it says, and does not weigh on what long blocks are.
-    settled = iter(_settle([b for b, f in zip(found, free, strict=True) if f], [judge(b) for b, f in zip(found, free, strict=True) if f]))
+    settled = iter(_settle([b for b, f in zip(found, free, strict=True) if f], [x for x, f in zip(first, free, strict=True) if f]))
     labels = _in_good_runs(found, [next(settled) if f else BAD for f in free])
     ahead: list[tuple[int, str] | None] = [None] * len(found)
     nearest = None if best else (len(found), BAD)

@@ -89,11 +89,27 @@ RECORD_COUNT = [
     Range(4, 4, "4"),
     Range(5, None, ">4"),
 ]
-FIVE_YEAR_AGE = (
-    [Range(None, 0, "<0", True), Range(0, 1, "00-01"), Range(2, 4, "02-04")]
-    + [Range(a, a + 4, f"{a:02d}-{a + 4:02d}") for a in range(5, 80, 5)]
-    + [Range(80, None, "80+")]
-)
+FIVE_YEAR_AGE = [
+    Range(None, 0, "<0", True),
+    Range(0, 1, "00-01"),
+    Range(2, 4, "02-04"),
+    Range(5, 9, "05-09"),
+    Range(10, 14, "10-14"),
+    Range(15, 19, "15-19"),
+    Range(20, 24, "20-24"),
+    Range(25, 29, "25-29"),
+    Range(30, 34, "30-34"),
+    Range(35, 39, "35-39"),
+    Range(40, 44, "40-44"),
+    Range(45, 49, "45-49"),
+    Range(50, 54, "50-54"),
+    Range(55, 59, "55-59"),
+    Range(60, 64, "60-64"),
+    Range(65, 69, "65-69"),
+    Range(70, 74, "70-74"),
+    Range(75, 79, "75-79"),
+    Range(80, None, "80+"),
+]
 PEDIATRIC_1 = "0-18 (Pediatric Populations I)"
 PEDIATRIC_2 = "0-21 (Pediatric Populations II)"
 YOUNG_ADULT = "0-<26 (Young Adult Coverage Eligible)"

@@ -14,6 +14,8 @@ STRICT = ["flagid", "flag_descr", "flag_type", "abort_yn"]
 INFORMATIONAL = ["message"]
 HOUR = 3600  # fixed value: a shift of exactly one hour is a clock change
 
+# Fixed values in the functions below: test groups, grades, sources and result texts of the published consistency report.
+
 
 def unsplit(name: Column) -> Column:
     """Table name in lower case without the number of a split table."""

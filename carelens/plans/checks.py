@@ -17,6 +17,7 @@ from carelens.plans.level2 import DETAIL, port_checks
 from carelens.sources import runs, sinks
 from carelens.sources.tables import Tables, table, union_all
 
+# Checks that end a run, and below the texts of the variable checks.
 ABORT_CHECKS = {"100", "101", "200", "217", "218", "219"}
 
 

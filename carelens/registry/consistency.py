@@ -13,6 +13,8 @@ from carelens.registry.level3 import _GAPS, _IDS, _gap_sql
 from carelens.registry.views import Data
 from carelens.sources import logs, tables
 
+# Fixed values throughout this file: test groups, grades, sources and result texts of the published consistency report.
+
 # --- table names ----------------------------------------------------------------------------
 
 ACTUAL = "SELECT upper(event_type) || CAST(user_id % 4 AS STRING) AS memname FROM events"

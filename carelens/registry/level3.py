@@ -299,13 +299,30 @@ def _(d: Data) -> DataFrame:
     return summary.bucketed_sums(d("mil"), "age", formats.AGE_YEARS, ["birth_type"])
 
 
+# The labels of the published formats.
 _BIRTH = """CASE WHEN {0} IS NULL THEN '.' WHEN {0} = 0 THEN '0= Unspecified number of live births' WHEN {0} = 1 THEN '1= 1 live birth'
-  WHEN {0} IN (2, 3, 4) THEN {0} || '= ' || {0} || ' live births' WHEN {0} BETWEEN 5 AND 8 THEN '5-8= Multiple live births, unspecified number'
+  WHEN {0} = 2 THEN '2= 2 live births' WHEN {0} = 3 THEN '3= 3 live births' WHEN {0} = 4 THEN '4= 4 live births'
+  WHEN {0} BETWEEN 5 AND 8 THEN '5-8= Multiple live births, unspecified number'
   WHEN {0} = 9 THEN '9= Conflicting code(s) for number of live births' ELSE CAST({0} AS VARCHAR) END"""
 _MAGE = """CASE WHEN {0} IS NULL THEN '.' WHEN {0} BETWEEN 10 AND 19 THEN '10-19' WHEN {0} BETWEEN 20 AND 44 THEN '20-44'
   WHEN {0} BETWEEN 45 AND 54 THEN '45-54' ELSE CAST({0} AS VARCHAR) END"""
-_FIVE = """CASE WHEN {0} IS NULL THEN NULL WHEN {0} < 0 THEN '<0' WHEN {0} <= 1 THEN '00-01' WHEN {0} <= 4 THEN '02-04' WHEN {0} >= 80 THEN '80+'
-  ELSE LPAD(CAST({0} - {0} % 5 AS VARCHAR), 2, '0') || '-' || LPAD(CAST({0} - {0} % 5 + 4 AS VARCHAR), 2, '0') END"""
+_FIVE = """CASE WHEN {0} IS NULL THEN NULL WHEN {0} < 0 THEN '<0' WHEN {0} <= 1 THEN '00-01' WHEN {0} <= 4 THEN '02-04'
+  WHEN {0} <= 9 THEN '05-09'
+  WHEN {0} <= 14 THEN '10-14'
+  WHEN {0} <= 19 THEN '15-19'
+  WHEN {0} <= 24 THEN '20-24'
+  WHEN {0} <= 29 THEN '25-29'
+  WHEN {0} <= 34 THEN '30-34'
+  WHEN {0} <= 39 THEN '35-39'
+  WHEN {0} <= 44 THEN '40-44'
+  WHEN {0} <= 49 THEN '45-49'
+  WHEN {0} <= 54 THEN '50-54'
+  WHEN {0} <= 59 THEN '55-59'
+  WHEN {0} <= 64 THEN '60-64'
+  WHEN {0} <= 69 THEN '65-69'
+  WHEN {0} <= 74 THEN '70-74'
+  WHEN {0} <= 79 THEN '75-79'
+  ELSE '80+' END"""
 # numbers from -40 up, with gaps that are missing
 _NUMBERS = """SELECT CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE CAST(l_partkey % 500 - 40 AS INTEGER) END AS x FROM lineitem"""
 

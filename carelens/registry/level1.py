@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from carelens.operators import flags as fl
 from carelens.operators import linkage, profile
 from carelens.registry.catalog import query
 from carelens.registry.views import Data
-from carelens.sources import sinks, tables
+from carelens.sources import runs, sinks, tables, work
 
 IDS = ["mpatid", "cpatid", "encounterid", "adate"]
 REVIEWED = ["mil", "enr", "dem", "enc", "dis", "lab", "vit", "dth", "cod"]
@@ -126,16 +127,48 @@ def _(d: Data) -> DataFrame:
 )
 def _(d: Data) -> DataFrame:
     by = lambda t, c: d(t).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("count"))
-    work = {
+    made = {
         "l2_enc_types": by("enc", "enctype"),
         "l2_race": by("dem", "race"),
         "all_l1_flags_mstr": d("mil"),
         "all_l2_flags": d("mil"),
     }
-    kept = sinks.publishable(work, "site1")
+    kept = sinks.publishable(made, "site1")
     return tables.union_all([t.select("dp", F.lit(n).alias("name"), "value", "count") for n, t in kept.items()])
 
 
+def _two_runs(d: Data) -> str:
+    """A folder with one published run, and a later one that wrote other counts and failed at a table with identifiers."""
+    out = f"{work.shared_dir(d.spark)}/published-{uuid.uuid4().hex}"
+    with runs.Run(d.spark, out) as run:
+        run.write_rows(d("mil").where("mpatid IS NULL").select("cpatid", "adate"), "mil_unlinked")
+        run.write_aggregate(d("enc").groupBy("enctype").agg(F.count("*").alias("count")), "enc_types")
+        run.write_work(d("dem").limit(0), "scratch")
+    try:
+        with runs.Run(d.spark, out) as run:
+            run.write_aggregate(d("enc").where("adate IS NULL").groupBy("enctype").agg(F.count("*").alias("count")), "enc_types")
+            run.write_aggregate(d("enc").select("patid"), "enc_patients")
+    except ValueError as refused:
+        if "identifier" not in str(refused):
+            raise
+    return out
+
+
+@query("io9_published_run", "SELECT enctype, COUNT(*) AS count FROM enc GROUP BY enctype")
+def _(d: Data) -> DataFrame:
+    return runs.read_published(d.spark, _two_runs(d), "enc_types")
+
+
+@query(
+    "io9_run_manifest",
+    """SELECT 1 AS number, 'completed' AS status, 'row_level' AS zone, 'mil_unlinked' AS name, COUNT(*) AS rows FROM mil WHERE mpatid IS NULL
+       UNION ALL SELECT 1, 'completed', 'aggregate', 'enc_types', COUNT(DISTINCT COALESCE(enctype, '')) FROM enc
+       UNION ALL SELECT 2, 'failed', NULL, NULL, NULL""",
+)
+def _(d: Data) -> DataFrame:
+    return runs.manifest(d.spark, _two_runs(d)).select(F.col("number").cast("int").alias("number"), "status", "zone", "name", "rows")
+
+
 # --- structure ------------------------------------------------------------------------------
 
 _COUNTS = " UNION ALL ".join(f"SELECT '{t.upper()}' AS tabid, COUNT(*) AS count_obs FROM {t}" for t in REVIEWED)

@@ -34,7 +34,8 @@ def draws(key: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Per source: size and target. One row per source, so the ordered windows see that many rows.
+    """Per source: size and target. One row per source, and one task whose ordered windows see all of these: a source names a
+    collection, not a host or a page.
 
     All sizes are shared by weight. Sources in order of size per weight fill up first; a source is full where its
     share of what the fuller ones leave reaches `most` times its size.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -58,6 +60,25 @@ class Work:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession, hours: float = 24.0) -> list[str]:
+    """Remove the work tables of runs that wrote nothing for so many hours, and tell their folders' names.
+
+    A query's result may read tables that its `Work` has kept, so these stay when it returns. Only folders that are named
+    as `Work` names them, a name and 32 hexadecimal digits, are looked at.
+    """
+    jvm, top = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = (time.time() - 3600 * hours) * 1000
+    gone = []
+    for folder in store.listStatus(top) if store.exists(top) else []:
+        name = folder.getPath().getName()
+        if folder.isDirectory() and re.fullmatch(r".+-[0-9a-f]{32}", name):
+            newest = max([folder.getModificationTime(), *(f.getModificationTime() for f in store.listStatus(folder.getPath()))])
+            if newest < before and store.delete(jvm.org.apache.hadoop.fs.Path(folder.getPath().toString()), True):
+                gone.append(name)
+    return sorted(gone)
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column as one array, and where each row starts; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -1,6 +1,9 @@
 """Helpers: components, whole groups, flat texts, rolling hashes."""
 
+import os
+import pathlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -113,3 +116,17 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     Session.sparkContext.master = "local-cluster[2,1,1024]"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_dir(Session())
+
+
+def test_sweep_removes_old_work_tables_only(spark):
+    old, new = common.Work(spark, "swept"), common.Work(spark, "swept")
+    kept = old.keep(spark.range(3), "t"), new.keep(spark.range(4), "t")
+    folder = common.shared_dir(spark).removeprefix("file://")
+    other = pathlib.Path(folder, "not-a-work-folder")
+    other.mkdir(exist_ok=True)
+    past = time.time() - 7200
+    for path in [pathlib.Path(old.root.removeprefix("file://")), *pathlib.Path(old.root.removeprefix("file://")).iterdir(), other]:
+        os.utime(path, (past, past))
+    gone = common.sweep(spark, 1.5)
+    assert old.root.rsplit("/", 1)[1] in gone and new.root.rsplit("/", 1)[1] not in gone
+    assert kept[1].count() == 4 and other.exists() and not pathlib.Path(old.root.removeprefix("file://")).exists()

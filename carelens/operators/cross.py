@@ -114,17 +114,21 @@ def _observed(table: str, variable: str) -> Column:
     return (F.col("tabid") == table.upper()) & (F.col("variable") == variable)
 
 
-def value_length_differences(lengths: DataFrame, table1: str, table2: str, variable: str) -> DataFrame:
-    """Observed lengths that only one of two tables has: the other side is null; and how many values have them.
+def value_length_differences(lengths: DataFrame, pairs: list[tuple[str, str]], variable: str) -> DataFrame:
+    """Observed lengths that only one table of a pair has: the other side is null; and how many values have them.
 
-    Compares the histograms that `value_lengths` gives, by two sums per length, so there are no more rows than lengths.
+    Compares the histograms that `value_lengths` gives, all pairs of tables in one aggregate with a row per length, so a
+    pair has no more rows than there are lengths.
     """
-    here = [_observed(t, variable) for t in (table1, table2)]
-    sums = [F.sum(F.when(on, F.col("count"))).alias(f"count{n}") for n, on in enumerate(here, 1)]
+    here = lengths.where(F.col("variable") == variable).groupBy("valuelength")
+    counts = here.agg(F.map_from_entries(F.collect_list(F.struct("tabid", "count"))).alias("counts"))  # a table each
+    each = F.array(*[F.struct(F.lit(a.upper()).alias("table1"), F.lit(b.upper()).alias("table2")) for a, b in pairs])
+    both = counts.select("valuelength", "counts", F.explode(each).alias("pair")).select(
+        "pair.*", "valuelength", *[F.try_element_at("counts", F.col(f"pair.table{n}")).alias(f"count{n}") for n in (1, 2)]
+    )
     sides = [F.when(F.col(f"count{n}").isNotNull(), F.col("valuelength")).alias(f"length{n}") for n in (1, 2)]
-    names = [F.lit(table1.upper()).alias("table1"), F.lit(table2.upper()).alias("table2"), F.lit(variable).alias("variable")]
-    both = lengths.where(here[0] | here[1]).groupBy("valuelength").agg(*sums)
-    return both.where("count1 IS NULL OR count2 IS NULL").select(*names, *sides, "count1", "count2")
+    alone = F.col("count1").isNull() != F.col("count2").isNull()
+    return both.where(alone).select("table1", "table2", F.lit(variable).alias("variable"), *sides, "count1", "count2")
 
 
 def value_length_mismatch(lengths: DataFrame, table1: str, table2: str, variable: str) -> DataFrame:

@@ -175,11 +175,16 @@ def aggregates(tables: Tables) -> Tables:
     return out
 
 
-def patterns(matrix: DataFrame) -> Tables:
-    """For each two tables, the patients that one has and the other lacks, from the written presence matrix."""
+def patterns(matrix: DataFrame, lengths: DataFrame) -> Tables:
+    """For each two tables, the patients that one has and the other lacks, from the written presence matrix, and the
+    lengths of patient ids that one has and the other lacks, from the written lengths."""
     names = [c for c in matrix.columns if c not in ("dp", "count")]
     pairs = [(a, b) for a in names for b in names if a != b]
-    return {"l2_pattern_counts": cross.pattern_counts(matrix, pairs)}
+    once = [(a, b) for a, b in pairs if a < b]
+    return {
+        "l2_pattern_counts": cross.pattern_counts(matrix, pairs),
+        "l2_value_length_differences": cross.value_length_differences(lengths, once, "patid"),
+    }
 
 
 def results(written: Tables, only_abort: bool = False) -> Tables:

@@ -111,7 +111,7 @@ def _levels(
         return done
     seen = put(2, level2.aggregates(tables))
     if "l2_presence_matrix" in seen:
-        put(2, level2.patterns(seen["l2_presence_matrix"]))
+        put(2, level2.patterns(seen["l2_presence_matrix"], seen["l2_value_lengths"]))
     put(3, level3.results(put(3, level3.masters(mil))))
     both = put(3, {"all_l1_l2_flags": fl.roll_up([first["all_l1_flags"], second["all_l2_flags"]])})
     if previous is not None:

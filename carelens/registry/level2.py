@@ -500,7 +500,7 @@ _NAMES = {"part": "p_name", "nation": "n_name", "region": "r_name"}
 def _(d: Data) -> DataFrame:
     named = {t: d(t).select(F.col(c).alias("name")) for t, c in _NAMES.items()}
     lengths = cross.value_lengths(named, "name")
-    return tables.union_all([cross.value_length_differences(lengths, "part", t, "name") for t in ("nation", "region")])
+    return cross.value_length_differences(lengths, [("part", "nation"), ("part", "region")], "name")
 
 
 @query(

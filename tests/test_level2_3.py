@@ -181,15 +181,16 @@ def test_value_lengths_of_one_side_grow_with_the_lengths(spark, rows):
     """40 and 30 lengths, 10 of them shared: 50 rows, where pairs would be 1,190."""
     t = {"a": spark.range(40).selectExpr("repeat('x', cast(id + 1 as int)) v"), "b": spark.range(60).selectExpr("repeat('y', cast(id % 30 + 31 as int)) v")}
     lengths = cross.value_lengths(t | {"c": t["a"]}, "v")
-    got = rows(cross.value_length_differences(lengths, "a", "b", "v").drop("table1", "table2", "variable"))
+    got = rows(cross.value_length_differences(lengths, [("a", "b")], "v").drop("table1", "table2", "variable"))
     assert got == sorted([(n, None, 1, None) for n in range(1, 31)] + [(None, n, None, 2) for n in range(41, 61)], key=repr)
     assert cross.value_length_mismatch(lengths, "a", "b", "v").count() == 40 * 30 - 10
-    assert cross.value_length_differences(lengths, "a", "c", "v").count() == 0
+    many = cross.value_length_differences(lengths, [("a", "c"), ("a", "b"), ("b", "c")], "v")
+    assert rows(many.groupBy("table1", "table2").count()) == [("A", "B", 50), ("B", "C", 50)]
 
 
 def test_value_lengths_of_an_empty_table(spark, rows):
     t = {"a": spark.createDataFrame([("xx",), ("yyy",), ("zz ",)], "v string"), "b": spark.createDataFrame([(None,)], "v string")}
-    got = cross.value_length_differences(cross.value_lengths(t, "v"), "a", "b", "v")
+    got = cross.value_length_differences(cross.value_lengths(t, "v"), [("a", "b")], "v")
     assert rows(got) == [("A", "B", "v", 2, None, 2, None), ("A", "B", "v", 3, None, 1, None)]
 
 

@@ -141,7 +141,7 @@ def test_review_to_the_end(spark, tmp_path):
     for name, path in done.written.items():
         if f"/{sinks.AGGREGATE_ZONE}/" in path:
             sinks.refuse_identifiers(spark.read.parquet(path))
-    assert {"sign_off", "l2_presence_matrix", "l2_surplus_duplicates", "l2_pattern_counts", "l2_completeness", "l2_adate_percentiles", "enr_l2_overlap"} <= set(done.written)
+    assert {"sign_off", "l2_presence_matrix", "l2_surplus_duplicates", "l2_pattern_counts", "l2_value_length_differences", "l2_completeness", "l2_adate_percentiles", "enr_l2_overlap"} <= set(done.written)
     assert "MIL_9" in {r.flagid for r in spark.read.parquet(done.written["sign_off"]).collect()}
     assert {"dis_pat_rxcount", "mil_linkage_rates", "l3_mil_aggregate_deliv", "all_l1_l2_flags"} <= set(done.written)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import time
 import uuid
 from collections.abc import Iterator
@@ -13,22 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.sources.work import shared_dir
+
 #: Bytes of text that one numpy step handles; longer single texts form a step of their own.
 CHUNK_BYTES = 1 << 19
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a local session without one gets a temporary one."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there
-    if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    there = "file://" + tempfile.mkdtemp(prefix="carelens-")
-    spark.conf.set("spark.checkpoint.dir", there)
-    return there
-
-
 class Work:
     """Tables written between steps, so that lineage ends there and a lost executor repeats one step only."""
 

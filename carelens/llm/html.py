@@ -433,6 +433,10 @@ def main_text(html: Column) -> Column:
 
 
 def pages_text(pages: DataFrame) -> DataFrame:
-    """Per row of pages (page_id, url, html): page_id, url, text, n_chars. Rows stay rows, repeated or with nulls."""
+    """Per row of pages (page_id, url, html): page_id, url, text, n_chars.
+
+    Rows stay rows, repeated ones and such with nulls, too; null or empty html: an empty text. A page is read whole in one
+    task, whatever its length, in time in proportion to it. Other columns take no part. No rows: no rows.
+    """
     out = pages.select("page_id", "url", main_text(F.col("html")).alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

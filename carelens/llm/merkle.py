@@ -77,16 +77,18 @@ def proofs(work: Work, rows: DataFrame, bits: int = BITS) -> DataFrame:
     blocks are the next rows to climb, so every pass leaves a 2**bits-th of the rows, however many a lang has. No rows:
     no rows.
     """
-    size = 1 << bits
     lang = F.when(F.col("lang").isNull(), "").otherwise(F.concat(F.lit("+"), "lang"))  # sorts as lang does, null first
     now = numbered(work, rows.withColumns({"_lang": lang, "node": F.col("leaf")}), ["_lang"], ["doc_id", "leaf"], "leaves")
     group, passes = ["_lang"], []
     while True:
-        climbed = _climb(now, group, bits)
+        most = now.agg(F.max("n")).first()[0] or 1
+        levels = min(bits, max(1, (most - 1).bit_length()))  # no more than the largest group has
+        size = 1 << levels
+        climbed = _climb(now, group, levels)
         passes.append(climbed)
         heads = climbed.where(F.col("place") % size == 0)
-        if (now.agg(F.max("n")).first()[0] or 0) > size:
-            after = F.shiftright(F.col("n") + (size - 1), bits).alias("n")
+        if most > size:
+            after = F.shiftright(F.col("n") + (size - 1), levels).alias("n")
             now = work.keep(heads.select(*group, F.col("block").alias("place"), after, F.col("top").alias("node")), "blocks")
         elif group:
             of_langs = len(passes)

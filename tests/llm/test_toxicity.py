@@ -112,3 +112,34 @@ def test_long_texts_do_not_make_the_draw_smaller(spark, frame, monkeypatch):
     toxicity.fit(frame(rows), labels, fit_rows=12)
     short = sum(len(t) <= 400 for _, t, _ in rows)
     assert short >= 12 and seen[0] >= 12 * 4 // 5 - 1
+
+
+def test_every_labelled_row_moves_the_weights(spark, frame, monkeypatch):
+    """A word that only long texts and rows beyond the first draw have is learned, and words are counted over all rows."""
+    given, y = texts(900, 7)
+    rng = np.random.default_rng(8)
+    ids = [i for i in range(1, 1600) if zlib.crc32(str(i).encode()) % 4 != 2][:900]
+    # In a third of the toxic rows the rude word is a new one, and these texts are longer than any that is drawn.
+    late = [bool(label) and rng.random() < 0.4 for label in y]
+    filler = " ".join(["aeiou"] * 60)
+    rows = [(i, f"{filler} zounds {filler}" if z else t, None) for i, t, z in zip(ids, given, late, strict=True)]
+    rows = [(i, t if z or label else f"{t} {filler} {filler}" if i % 2 else t, None) for (i, t, _), z, label in zip(rows, late, y, strict=True)]
+    labels = spark.createDataFrame([(i, int(label)) for i, label in zip(ids, y, strict=True)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 500)
+    monkeypatch.setattr(toxicity, "REPLICA_ROWS", 300)
+    model = toxicity.fit(frame(rows), labels, fit_rows=40)
+    new = model.model.scores(*flat(pa.array(["aeiou zounds rstun", "aeiou rstun ouiea", f"{filler} {filler}"])))
+    assert new[0] >= 0.3 > max(new[1:])
+    test, want = texts(200, 9)
+    assert ((model.model.scores(*flat(pa.array(test))) >= 0.3) == want).mean() > 0.95
+    again = toxicity.fit(frame(rows), labels, fit_rows=40)
+    assert again.thresholds == model.thresholds and np.array_equal(again.model.rows(), model.model.rows())
+
+
+def test_a_score_of_many_rows_counts_as_often():
+    rng = np.random.default_rng(10)
+    score, y, n = np.round(rng.random(60), 2), rng.integers(0, 2, 60), rng.integers(1, 5, 60)
+    assert toxicity._best(score, y, 0.3, n) == toxicity._best(np.repeat(score, n), np.repeat(y, n), 0.3)
+    of = toxicity.Model.of
+    model = toxicity._start(np.zeros((4, 2, toxicity.BUCKETS)), np.zeros(2), rng)
+    assert np.array_equal(of(of(model.rows()).rows()).out, model.out) and np.array_equal(of(model.rows()).filters[2], model.filters[2])

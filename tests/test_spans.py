@@ -271,3 +271,18 @@ def test_attrition_counts_rows_and_distinct(spark, rows):
     steps = [F.col("p").isNull(), F.col("x") > 4]
     assert rows(summary.attrition(df, steps, "g").select("level", "num", "removed")) == [("1", 3, 1), ("2", 1, 2)]
     assert rows(summary.attrition(df, steps, "g", ["p", "d"]).select("level", "num", "removed")) == [("1", 2, 1), ("2", 1, 1)]
+
+
+def test_day_coverage_holds_a_fixed_share_of_rows_in_a_task(spark):
+    """Rows that pack well are not put together again: both shuffles keep their number of partitions."""
+    days = spark.range(0, 40_000, 1, 8).select(
+        F.concat(F.lit("M"), F.col("id") % 4000).alias("patid"), F.date_add(F.lit("2020-01-01"), (F.col("id") % 7).cast("int")).alias("d")
+    )
+    enr = days.select("patid", F.col("d").alias("enr_start"), F.date_add("d", 3).alias("enr_end")).distinct()
+    out = spans.day_coverage(days, enr, ["patid"], "d")
+    assert out.rdd.getNumPartitions() == spans.PARTS
+    assert out.agg(F.sum("n")).first()[0] == 40_000
+    # One patient and day of very many rows reaches the last task as a few rows.
+    one = spark.range(0, 20_000, 1, 40).select(F.lit("M").alias("patid"), F.lit("2020-01-01").cast("date").alias("d"))
+    only = spans.day_coverage(one, enr.limit(1), ["patid"], "d", weights={"n": F.lit(1), "rows": F.lit(1)}).where("patid = 'M'")
+    assert tuple(only.select("n", "rows").first()) == (20_000, 20_000)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.rulesets import WHOLE_MARK, Flag
+from carelens.operators.spans import DEALS, PARTS
 from carelens.sources.tables import union_all
 
 FLAG_COLUMNS = ["flagid", "flag_descr", "message", "flag_type", "abort_yn"]
@@ -47,10 +48,14 @@ def row_checks(df: DataFrame, checks: list[tuple[Flag, Column]], keep: list[str]
 
 
 def count_messages(flagged: DataFrame) -> DataFrame:
-    """Rows per flag and message."""
-    return flagged.groupBy("flagid", "message", "flag_descr", "flag_type", "abort_yn").agg(
-        F.count("*").alias("count")
-    )
+    """Rows per flag and message. Nearly every message differs, so tasks hold a fixed share of them (PARTS).
+
+    Rows of one message are dealt by where they come from, so that they meet in up to DEALS tasks before the last one.
+    """
+    keys = ["flagid", "message", "flag_descr", "flag_type", "abort_yn"]
+    dealt = flagged.select(*keys, F.pmod(F.spark_partition_id(), F.lit(DEALS)).alias("_deal"))
+    first = dealt.repartition(PARTS, "message", "_deal").groupBy(*keys, "_deal").agg(F.count("*").alias("count"))
+    return first.repartition(PARTS, "message").groupBy(*keys).agg(F.sum("count").alias("count"))
 
 
 def count_rows(flagged: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from carelens.functions.dates import us_date
 from carelens.functions.rulesets import flag
 from carelens.operators import rules
 from carelens.operators.flags import flag_struct
+from carelens.operators.spans import DEALS, PARTS
 
 ALL_CLASSES = [
     "linkagestatus", "birth_type", "year", "yearmonth", "icd_ver", "agegroup", "enctype", "sex",
@@ -25,14 +26,17 @@ ICD10_START = "2015-10-01"  # fixed value
 
 
 def birth_type_linkage(mil: DataFrame) -> DataFrame:
-    """Linked deliveries whose number of distinct infants differs from Birth_Type 1 to 5."""
+    """Linked deliveries whose number of distinct infants differs from Birth_Type 1 to 5.
+
+    Tasks hold a fixed share of the rows (PARTS). Infants of one delivery are dealt by their id, so that they are told
+    apart in up to DEALS tasks.
+    """
     keys = ["mpatid", "adate", "encounterid", "birth_type"]
-    infants = (
-        mil.where(rules.linked() & F.col("birth_type").between(1, 5))
-        .groupBy(*keys)
-        .agg(F.countDistinct("cpatid").alias("crows"))
-        .where("crows <> birth_type")
+    dealt = mil.where(rules.linked() & F.col("birth_type").between(1, 5)).select(
+        *keys, "cpatid", F.pmod(F.xxhash64("cpatid"), F.lit(DEALS)).alias("_deal")
     )
+    first = dealt.repartition(PARTS, *keys, "_deal").groupBy(*keys, "_deal").agg(F.countDistinct("cpatid").alias("crows"))
+    infants = first.repartition(PARTS, *keys).groupBy(*keys).agg(F.sum("crows").alias("crows")).where("crows <> birth_type")
     b = F.col("birth_type").cast("string")
     tail = "not consistent with number of linkages; confirmation required"
     message = F.concat(

@@ -5,7 +5,8 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from carelens.operators import cross, keys, linkage, spans, summary
+from carelens.operators import cross, flags, keys, linkage, spans, summary
+from carelens.registry.views import Data
 
 
 @contextlib.contextmanager
@@ -106,6 +107,23 @@ def test_hot_mother_in_linkage(spark):
     assert [r.linkagerate for r in linkage.linkage_rates(linkage.deliveries(mil)).collect()] == [1.0] * 5
 
 
+def test_linkage_messages_hold_a_fixed_share_of_rows_in_a_task(spark):
+    """Rows that pack well are not put together again, from the lines' join to the counts of messages."""
+    who = F.col("id") % 5000
+    mil = spark.range(0, 20_000, 1, 8).select(
+        F.concat(F.lit("M"), who).alias("mpatid"), F.concat(F.lit("C"), F.col("id") % 10_000).alias("cpatid"), F.concat(F.lit("E"), who).alias("encounterid"),
+        F.date_add(F.lit("2020-01-01"), (who % 9).cast("int")).alias("adate"), (3 + who % 3).cast("int").alias("birth_type"),
+    )
+    found = linkage.birth_type_linkage(mil)
+    assert found.rdd.getNumPartitions() == spans.PARTS
+    assert found.agg(F.count("*"), F.min("crows"), F.max("crows")).first()[:] == (5000, 2, 2)
+    counted = flags.count_messages(found.withColumn("message", F.lit("one")).unionByName(found))
+    assert counted.rdd.getNumPartitions() == spans.PARTS
+    assert counted.agg(F.count("*"), F.sum("count")).first()[:] == (5003, 10_000)
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        assert Data(spark, "/root/testdata/sf0.001")("mil").rdd.getNumPartitions() == spans.PARTS
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "dis")
     one_patient(spark, 100).select("patid", F.col("enr_start").alias("rxdate"), F.lit("x").alias("other")).write.parquet(path)

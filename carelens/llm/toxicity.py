@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from carelens.llm.common import Work, as_batch, flat, mix64, steps
 from carelens.llm.words import LOWER, NOT_ALNUM, byte_hashes, spans
 
-#: The weights begin where at most so many labelled rows lead them, half of them toxic, none longer than FIT_BYTES.
-FIT_ROWS, FIT_BYTES = 6000, 1 << 16
-#: All labelled rows then move them, so many times, in up to REPLICAS models of REPLICA_ROWS rows or more, averaged each time.
+#: All labelled rows move the weights, so many times after EPOCHS of full pace, in up to REPLICAS models of REPLICA_ROWS rows or
+#: more, averaged each time.
 PASSES, REPLICAS, REPLICA_ROWS = 3, 64, 8192
+#: Where a caller asks for a beginning by few rows (fit_rows), no text of it is longer.
+FIT_BYTES = 1 << 16
 #: Thresholds are told apart by so many steps to one of the logit.
 BINS = 64
 #: Rows of each hashed embedding table, numbers in an embedding, filters of each width.
@@ -324,13 +325,16 @@ def _descend(begin: np.ndarray, pace: float) -> Callable[[Iterator[pa.RecordBatc
     return run
 
 
-def _summed(work: Work, rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> tuple[np.ndarray, ...]:
-    """What all tasks send, summed up by Spark: models, keys, texts, values. No more than the weights of the models."""
+def _summed(
+    work: Work, rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], values: list[Column]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """What all tasks send, summed up by Spark: model, keys and values, one model at a time, which is all the driver holds."""
     sent = rows.mapInArrow(run, _SENT_SQL).groupBy("model", "key").agg(*[F.sum(c).alias(c) for c in _SENT.names[2:]])
-    kept = work.keep(sent, "sums")  # what was shuffled goes with the step
-    got = kept.toArrow()
+    kept = work.keep(sent.select("model", "key", *[v.alias(f"v{i}") for i, v in enumerate(values)]), "sums")  # what was shuffled goes with the step
+    for m in range(_MODELS):
+        got = kept.where(F.col("model") == m).drop("model").toArrow()
+        yield m, got["key"].to_numpy(), np.stack([got[f"v{i}"].to_numpy() for i in range(len(values))], axis=1)
     work.drop(kept)
-    return got["model"].to_numpy(), got["key"].to_numpy(), got["n"].to_numpy(), np.stack([got[f"v{i}"].to_numpy() for i in range(SIZE)], axis=1)
 
 
 def _labelled(work: Work, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -346,7 +350,16 @@ def _labelled(work: Work, docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _beginning(rows: DataFrame, fit_rows: int, epochs: int, seed: int, met: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Where the models begin: from counts over all rows, and a few rows that are quick to go through many times."""
+    """Where the models begin: from counts over all rows and, where fit_rows are asked for, a few rows gone through many times."""
+    if not fit_rows:
+        out = []
+        for m in range(_MODELS):
+            folds = [f for f in (0, 1) if f != m - 1]
+            number = texts[folds].sum(axis=0)
+            model = _start(met[folds].sum(axis=0), number, np.random.default_rng(seed))
+            model.out[-1] += _logit(number[1] / max(1, number.sum()))
+            out.append(model.rows())
+        return np.stack(out)
     short = rows.where(F.octet_length("text") <= FIT_BYTES)
     drawn = [short.where(F.col("toxic") == c).orderBy("place", F.xxhash64("text")).limit(fit_rows // 2) for c in (0, 1)]
     got = drawn[0].unionByName(drawn[1]).select("text", "toxic", "fold", "place").toArrow().sort_by("place").combine_chunks().to_batches()
@@ -397,32 +410,34 @@ def _thresholds(work: Work, rows: DataFrame, weights: np.ndarray) -> tuple[dict[
     return {name: best(groups.where(F.col("lang").eqNullSafe(F.lit(name))), pooled) for name in langs}, pooled
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, epochs: int = EPOCHS, seed: int = SEED) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 0, epochs: int = EPOCHS, seed: int = SEED) -> Classifier:
     """Learn from all labelled rows of docs (doc_id, text, lang) that are not held out, whatever their length.
 
-    How often words are met in toxic texts is counted over all of them. The weights begin where `epochs` rounds over at
-    most fit_rows rows, chosen by a hash, lead; then each task goes through all its rows and the tasks' weights are
-    averaged, PASSES times. Thresholds come from all rows, too: two more models leave out one half of the rows each, and
+    How often words are met in toxic texts is counted over all of them, and the weights begin there. Then each task goes
+    through all its rows and the tasks' weights are averaged, `epochs` times at full pace and PASSES times at a falling one.
+    With fit_rows, the first `epochs` rounds go over at most so many rows, chosen by a hash, alone. Thresholds come from all rows, too: two more models leave out one half of the rows each, and
     every row is scored by the one that has not seen it. Null doc_ids and null labels are passed over; of several labels
     of one document the greatest counts. Without rows of both classes every score is the share of toxic labels, and no
     threshold is reached. Scores use texts alone; languages only choose among thresholds.
     """
     work = Work(docs.sparkSession, "toxicity")
     rows = _labelled(work, docs, labels)
-    fold, key, _, values = _summed(work, rows, _count)
-    counts = np.zeros((2, (1 + len(BEGINNINGS)) * BUCKETS + 1, 2))
-    counts[fold, key] = values[:, :2]
+    counts = np.zeros((_MODELS, (1 + len(BEGINNINGS)) * BUCKETS + 1, 2))
+    for fold, key, values in _summed(work, rows, _count, [F.col("v0"), F.col("v1")]):
+        counts[fold, key] = values
+    counts = counts[:2]
     texts = counts[:, -1]
     met = counts[:, :-1].reshape(2, -1, BUCKETS, 2).swapaxes(2, 3)
     if not texts.sum(axis=0).all():
         share = texts[:, 1].sum() / max(1, texts.sum())
         return Classifier(Model.of(np.zeros_like(_start(met[0], texts[0], np.random.default_rng(seed)).rows()), _logit(share)), {}, 2.0)
     models = _beginning(rows, fit_rows, epochs, seed, met, texts)
-    for turn in range(PASSES):
+    moved = [(F.col(f"v{i}") / (F.col("n") * _UNIT)).cast("float") for i in range(SIZE)]
+    for turn in range(1 if fit_rows else 1 - epochs, 1 + PASSES):
         begin = models.astype(np.float16)
-        m, key, n, values = _summed(work, rows, _descend(begin, 1 / (1 + turn)))
-        models = begin.astype(np.float32)
-        models[m, key] += (values / (n[:, None] * _UNIT)).astype(np.float32)
+        models[:] = begin
+        for m, key, values in _summed(work, rows, _descend(begin, 1 / max(1, turn)), moved):
+            models[m, key] += values
     # With too few rows of a class a model that leaves out their fold would tell nothing.
     by, pooled = _thresholds(work, rows, models[1:].astype(np.float16)) if texts.min() >= 3 else ({}, THRESHOLD)
     work.drop(rows)

@@ -143,3 +143,38 @@ def test_a_score_of_many_rows_counts_as_often():
     of = toxicity.Model.of
     model = toxicity._start(np.zeros((4, 2, toxicity.BUCKETS)), np.zeros(2), rng)
     assert np.array_equal(of(of(model.rows()).rows()).out, model.out) and np.array_equal(of(model.rows()).filters[2], model.filters[2])
+
+
+def test_no_rows_are_drawn_to_the_driver(spark, frame, monkeypatch):
+    """The models begin from counts over all rows, and all rows in tasks do what a draw did before."""
+
+    def drawn(*a, **k):
+        raise AssertionError("rows were drawn to the driver")
+
+    monkeypatch.setattr(toxicity, "train", drawn)
+    monkeypatch.setattr(toxicity, "REPLICA_ROWS", 200)
+    given, y = texts(600, 11)
+    ids = [i for i in range(1, 1200) if zlib.crc32(str(i).encode()) % 4 != 2][:600]
+    labels = spark.createDataFrame([(i, int(label)) for i, label in zip(ids, y, strict=True)], "doc_id long, toxic int")
+    model = toxicity.fit(frame([(i, t, None) for i, t in zip(ids, given, strict=True)]), labels)
+    test, want = texts(200, 12)
+    assert ((model.model.scores(*flat(pa.array(test))) >= 0.3) == want).mean() > 0.95
+
+
+def test_sums_come_one_model_at_a_time(spark, work):
+    """The driver is sent the wanted numbers of one model alone, changes in single precision."""
+
+    def run(batches):
+        for batch in batches:
+            for m in (0, 2):
+                keys = np.arange(3) + m
+                yield toxicity._sent(m, keys, batch.num_rows, np.outer(keys, np.full(toxicity.SIZE, 1024 * batch.num_rows)))
+
+    rows = spark.range(0, 100, 1, 4)
+    moved = [(F.col(f"v{i}") / (F.col("n") * 1024)).cast("float") for i in range(toxicity.SIZE)]
+    got = list(toxicity._summed(work, rows, run, moved))
+    assert [m for m, _, _ in got] == [0, 1, 2] and [len(keys) for _, keys, _ in got] == [3, 0, 3]
+    for _, keys, values in got:
+        assert values.dtype == np.float32 and np.array_equal(values, np.outer(keys, np.ones(toxicity.SIZE)))
+    counts = list(toxicity._summed(work, rows, run, [F.col("n")]))
+    assert [values.ravel().tolist() for _, _, values in counts] == [[100] * 3, [], [100] * 3]
